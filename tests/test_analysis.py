@@ -1,0 +1,199 @@
+import math
+import random
+from datetime import date
+
+import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from helpers import (
+    ANALYSIS_INPUT,
+    END,
+    RUN,
+    START,
+    assert_rows,
+    assert_same_rows,
+    at,
+    group,
+    plan,
+    readings,
+)
+from vanewatch import analyse, anomalies, anomaly_thresholds, in_period, turbine_statistics
+
+ONE_HIT = [(at("2022-03-01 16:00:00"), 1, 4.5, RUN)]
+
+
+def found(spark, rows, **options):
+    result = analyse(readings(spark, rows), RUN, START, END, **options)[1]
+    return sorted((r.turbine_id is not None, r.turbine_id, r.power_output) for r in result.collect())
+
+
+def powers(spark, *values, **options):
+    return [p for _, _, p in found(spark, group(*values), **options)]
+
+
+@pytest.mark.parametrize("broadcast_groups", [100_000, 1])
+def test_summary_and_anomalies(spark, broadcast_groups):
+    got_summary, got_anomalies = analyse(
+        readings(spark, ANALYSIS_INPUT), RUN, START, END, broadcast_groups=broadcast_groups
+    )
+    assert_rows(
+        got_summary, [(1, 1.6, 4.5, 2.685714285714286, RUN), (2, 5.0, 10.0, 7.5, RUN)]
+    )
+    assert got_summary.columns == [
+        "turbine_id", "min_power_output", "max_power_output", "mean_power_output", "event_id",
+    ]
+    assert_rows(got_anomalies, ONE_HIT)
+    assert got_anomalies.columns == ["telemetry_time", "turbine_id", "power_output", "event_id"]
+
+
+def test_without_time(spark):
+    result = analyse(readings(spark, ANALYSIS_INPUT), RUN, START, END, include_time=False)[1]
+    assert result.columns == ["turbine_id", "power_output", "event_id"]
+    assert_rows(result, [(1, 4.5, RUN)])
+
+
+def test_thresholds(spark):
+    df = in_period(readings(spark, ANALYSIS_INPUT), START, END)
+    row = anomaly_thresholds(turbine_statistics(df)).filter("turbine_id = 1").first()
+    assert row.readings == 21
+    assert math.isclose(row.stddev_power_output, 0.87537747, abs_tol=1e-8)
+    assert math.isclose(row.power_output_anomaly_threshold_min, 0.93496, abs_tol=1e-5)
+    assert math.isclose(row.power_output_anomaly_threshold_max, 4.43647, abs_tol=1e-5)
+
+
+def test_factor(spark):
+    assert powers(spark, 1, 1, 1, 1, 1, 9, k=3.0) == []
+    assert powers(spark, 1, 1, 1, 1, 1, 9) == [9.0]
+
+
+def test_period_is_closed(spark):
+    times = ["2022-02-28 23:59:59", START, "2022-03-01 12:00:00", END, "2022-03-02 00:00:01"]
+    df = readings(spark, [(t, 1, 1.0) for t in times])
+    assert [r.telemetry_time for r in in_period(df, START, END).sort("telemetry_time").collect()] == [
+        at(t) for t in times[1:4]
+    ]
+
+
+@pytest.mark.parametrize("start, end", [(date(2022, 3, 1), date(2022, 3, 2)), (at(START), at(END)), ("2022-03-01", "2022-03-02")])
+@pytest.mark.parametrize("dtype", ["timestamp", "timestamp_ntz"])
+@pytest.mark.parametrize("zone", ["UTC", "Asia/Kolkata"])
+def test_bound_and_column_types(spark, with_conf, start, end, dtype, zone):
+    with_conf("spark.sql.session.timeZone", zone)
+    df = spark.createDataFrame(
+        [("2022-02-28 23:59:59",), (START,), (END,), ("2022-03-02 00:00:01",)], "telemetry_time string"
+    )
+    df = df.select(F.col("telemetry_time").cast(dtype))
+    assert in_period(df, start, end).count() == 2
+
+
+def test_bad_and_reversed_bounds(spark):
+    df = readings(spark, ANALYSIS_INPUT)
+    for bad in ("last week", "2022-02-30", "", 5, None):
+        with pytest.raises(ValueError):
+            in_period(df, START, bad)
+        with pytest.raises(ValueError):
+            in_period(df, bad, END)
+    assert in_period(df, END, START).isEmpty()
+
+
+def test_one_reading_constant_and_null(spark):
+    assert powers(spark, 5) == []
+    assert powers(spark, *[3.0] * 8) == []
+    assert powers(spark, None, 1.0) == []
+    assert powers(spark, None, 1, 1, 1, 1, 1, 1, 50) == [50.0]
+
+
+def test_low_side_and_duplicates(spark):
+    assert powers(spark, 9, 9, 9, 9, 9, 9, -40) == [-40.0]
+    rows = group(*[1.0, 1.1] * 20, 50.0, 50.0)
+    assert [p for _, _, p in found(spark, rows)] == [50.0, 50.0]
+
+
+def test_not_a_number_flags_its_whole_group(spark):
+    assert powers(spark, 1.0, 2.0, math.nan) == [1.0, 2.0]
+    assert powers(spark, math.nan, math.nan) == []
+    assert powers(spark, 1.0, math.inf) == [1.0, math.inf]
+
+
+@pytest.mark.parametrize("broadcast_groups", [100_000, 1])
+def test_unknown_turbine_is_a_group(spark, broadcast_groups):
+    rows = group(1.0, 1.0, 1.1, 1.0, 1.0, 1.0, 99.0, key=None) + group(5.0, key=7)
+    rows += group(1.0, 2.0, math.nan, key=8) + group(1.0, math.inf, key=9)
+    assert found(spark, rows, broadcast_groups=broadcast_groups) == [
+        (False, None, 99.0), (True, 8, 1.0), (True, 8, 2.0), (True, 9, 1.0), (True, 9, math.inf),
+    ]
+
+
+def test_five_readings_are_never_anomalous(spark):
+    rng = random.Random(3)
+    rows = []
+    for key in range(300):
+        n = rng.randint(1, 5)
+        rows += group(*[rng.choice([0.0, 1.0, -1e9, 1e9, rng.gauss(0, 1)]) for _ in range(n)], key=key)
+    assert found(spark, rows) == []
+
+
+def test_other_runs_do_not_matter(spark):
+    both = readings(spark, ANALYSIS_INPUT).unionByName(readings(spark, group(*[1e6] * 50), run="other"))
+    got_summary, got_anomalies = analyse(both, RUN, START, END)
+    assert_rows(got_anomalies, ONE_HIT)
+    assert got_summary.count() == 2
+
+
+def skewed(spark, with_nan=True):
+    """A third of all readings on one turbine, some without turbine, many turbines of every size."""
+    rng = random.Random(11)
+    keys = [1] * 4000 + [None] * 900 + [rng.randint(2, 60) for _ in range(4000)]
+    keys += [1000 + i // 4 for i in range(3000)]
+    rows = [("2022-03-01 12:00:00", k, round(rng.gauss(5, 1) ** 2, 3)) for k in keys]
+    if with_nan:
+        rows += group(1.0, 2.0, math.nan, key=70) + group(None, 3.0, key=71)
+    return readings(spark, rows).repartition(6)
+
+
+def by_window(df):
+    w = Window.partitionBy("turbine_id")
+    mean, spread = F.mean("power_output").over(w), F.stddev("power_output").over(w) * 2
+    return (
+        df.withColumn("lo", mean - spread).withColumn("hi", mean + spread)
+        .filter("power_output < lo or power_output > hi")
+        .select("telemetry_time", "turbine_id", "power_output", "event_id")
+    )
+
+
+@pytest.mark.parametrize("broadcast_groups", [100_000, 50, 5, 1])
+def test_join_equals_window(spark, broadcast_groups):
+    df = skewed(spark)
+    got = analyse(df, RUN, START, END, broadcast_groups=broadcast_groups)[1]
+    assert got.count() > 300
+    assert_same_rows(got, by_window(df))
+
+
+def test_statistics_bracket_the_mean(spark):
+    stats = turbine_statistics(skewed(spark, with_nan=False))
+    assert stats.filter(
+        "mean_power_output < min_power_output - 1e-9 or mean_power_output > max_power_output + 1e-9"
+    ).isEmpty()
+
+
+def test_readings_do_not_move_when_bands_are_broadcast(spark, folder):
+    skewed(spark).write.parquet(folder + "/s")
+    got = analyse(spark.read.parquet(folder + "/s"), RUN, START, END)[1]
+    text = plan(got)
+    assert "BroadcastHashJoin" in text
+    assert "Exchange hashpartitioning" not in text and "Python" not in text
+
+
+def test_heavy_turbines_are_kept_out_of_the_shuffle(spark):
+    df = skewed(spark)
+    stats = turbine_statistics(df).checkpoint()
+    got = anomalies(df, anomaly_thresholds(stats), RUN, broadcast_groups=10)
+    assert 0 < stats.filter(F.col("readings") > df.count() / 10).count() <= 10
+    text = plan(got)
+    assert "SortMergeJoin" in text and "LeftAnti" in text and text.count("BroadcastHashJoin") == 2
+
+
+def test_statistics_are_aggregated_before_the_shuffle(spark):
+    text = plan(turbine_statistics(skewed(spark)))
+    assert text.count("HashAggregate") == 2 and "partial_stddev_samp" in text

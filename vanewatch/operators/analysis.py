@@ -19,14 +19,15 @@ Bound = str | datetime | date
 
 
 def _bound(spark: SparkSession, value: Bound, dtype: AtomicType) -> Column:
-    if isinstance(value, str):
-        # constant-folded on the driver, runs no job
-        query = f"SELECT try_cast(:bound AS {dtype.simpleString()}) IS NULL AS bad"
-        if spark.sql(query, args={"bound": value}).first().bad:
-            raise ValueError(f"not a timestamp: {value!r}")
-    elif not isinstance(value, (datetime, date)):
+    if not isinstance(value, (str, datetime, date)):
         raise ValueError(f"a period bound must be text or a date-time, got {value!r}")
-    return F.lit(value).cast(dtype)
+    # a date-time without a zone thus means the session time zone, as text does
+    text = str(value)
+    # constant-folded on the driver, runs no job
+    query = f"SELECT try_cast(:bound AS {dtype.simpleString()}) IS NULL AS bad"
+    if spark.sql(query, args={"bound": text}).first().bad:
+        raise ValueError(f"not a timestamp: {text!r}")
+    return F.lit(text).cast(dtype)
 
 
 def period_bounds(
