@@ -17,7 +17,7 @@ DAY = "telemetry_day"
 
 # Hive partition naming, fixed values: the folder of a NULL value, and the escaped characters.
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
-ESCAPED = set("\"#%'*/:=?\\{}[]^\x7f") | {chr(code) for code in range(0x20)}
+ESCAPED = set("\"#%'*/:=?\\{[]^\x7f") | {chr(code) for code in range(0x20)}
 
 
 def partition_folder(run: str | None) -> str:
