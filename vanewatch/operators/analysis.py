@@ -18,23 +18,26 @@ BROADCAST_GROUPS = 100_000
 Bound = str | datetime | date
 
 
-def _bound(spark: SparkSession, value: Bound, dtype: AtomicType) -> Column:
-    if not isinstance(value, (str, datetime, date)):
-        raise ValueError(f"a period bound must be text or a date-time, got {value!r}")
-    # a date-time without a zone thus means the session time zone, as text does
-    text = str(value)
-    # constant-folded on the driver, runs no job
-    query = f"SELECT try_cast(:bound AS {dtype.simpleString()}) IS NULL AS bad"
-    if spark.sql(query, args={"bound": text}).first().bad:
-        raise ValueError(f"not a timestamp: {text!r}")
-    return F.lit(text).cast(dtype)
-
-
 def period_bounds(
     spark: SparkSession, start: Bound, end: Bound, dtype: AtomicType = TimestampType()
 ) -> tuple[Column, Column]:
-    """Both bounds as literals of the given timestamp type; ``ValueError`` if one cannot be read."""
-    return _bound(spark, start, dtype), _bound(spark, end, dtype)
+    """Both bounds as literals of the given timestamp type; ``ValueError`` if one cannot be read.
+
+    A date-time without a zone means the session time zone, as text does.
+    """
+    for bound in (start, end):
+        if not isinstance(bound, (str, datetime, date)):
+            raise ValueError(f"a period bound must be text or a date-time, got {bound!r}")
+    kind = dtype.simpleString()
+    # constant-folded on the driver, runs no job
+    readable = spark.sql(
+        f"SELECT try_cast(? AS {kind}) IS NOT NULL, try_cast(? AS {kind}) IS NOT NULL",
+        args=[str(start), str(end)],
+    ).first()
+    for bound, is_readable in zip((start, end), readable):
+        if not is_readable:
+            raise ValueError(f"not a timestamp: {bound!r}")
+    return F.lit(str(start)).cast(dtype), F.lit(str(end)).cast(dtype)
 
 
 def in_period(df: DataFrame, start: Bound, end: Bound, column: str = "telemetry_time") -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vanewatch.functions.convert import lenient_double, lenient_int, lenient_timestamp
@@ -16,24 +16,20 @@ CONVERSIONS = {
     "power_output": lenient_double,
 }
 
-MAX_DIRECTION = 359
-
 
 def _converted(field: str) -> str:
     return f"converted_{field}"
 
 
-def failed_rules() -> dict[str, Column]:
-    """One never-NULL Boolean per validity rule, true where a typed reading breaks it."""
-    direction = F.col(_converted("wind_direction"))
-    return {
-        "bad_time": F.col(_converted("timestamp")).isNull(),
-        "bad_turbine": F.col(_converted("turbine_id")).isNull(),
-        "bad_speed": F.col(_converted("wind_speed")).isNull(),
-        "bad_direction": direction.isNull(),
-        "direction_range": ~F.coalesce(direction.between(0, MAX_DIRECTION), F.lit(True)),
-        "bad_power": F.col(_converted("power_output")).isNull(),
-    }
+# What makes a typed reading invalid. Every condition is true or false, never NULL.
+RULES = {
+    "bad_time": "converted_timestamp IS NULL",
+    "bad_turbine": "converted_turbine_id IS NULL",
+    "bad_speed": "converted_wind_speed IS NULL",
+    "bad_direction": "converted_wind_direction IS NULL",
+    "direction_range": "coalesce(converted_wind_direction NOT BETWEEN 0 AND 359, false)",
+    "bad_power": "converted_power_output IS NULL",
+}
 
 
 def for_run(df: DataFrame, run: str | None) -> DataFrame:
@@ -51,13 +47,14 @@ def flag_quality(df: DataFrame) -> DataFrame:
     typed = F.struct(
         *[convert(F.col(field)).alias(_converted(field)) for field, convert in CONVERSIONS.items()]
     )
-    is_error = F.lit(False)
-    for failed in failed_rules().values():
-        is_error = is_error | failed
     return (
         df.select(*RAW_FIELDS, RUN, F.inline(F.array(typed)))
-        .select(*RAW_FIELDS, *map(_converted, CONVERSIONS), RUN)
-        .withColumn("is_error", is_error)
+        .select(
+            *RAW_FIELDS,
+            *map(_converted, CONVERSIONS),
+            RUN,
+            F.expr(" OR ".join(RULES.values())).alias("is_error"),
+        )
     )
 
 
