@@ -86,11 +86,14 @@ def test_stamp(spark):
 def test_conform(spark):
     df = spark.sql("select 'r' event_id, 2L turbine_id, 1f min_power_output, 2f max_power_output, 9 extra")
     with pytest.raises(ValueError, match="mean_power_output"):
-        conform(df, SUMMARY)
-    got = conform(df.withColumn("mean_power_output", F.lit(1)), SUMMARY)
+        conform(df, "summary_statistics")
+    got = conform(df.withColumn("mean_power_output", F.lit(1)), "summary_statistics")
     assert [f.dataType for f in got.schema] == [f.dataType for f in SUMMARY]
     assert got.columns == SUMMARY.names
-    assert "mean_power_output" not in conform(df, SUMMARY, optional=("mean_power_output",)).columns
+    with pytest.raises(ValueError, match="telemetry_time"):
+        conform(df, "silver")
+    narrow = df.selectExpr("event_id", "turbine_id", "9 power_output")
+    assert conform(narrow, "turbine_power_output_anomaly").columns == ["turbine_id", "power_output", "event_id"]
 
 
 # --- parquet --------------------------------------------------------------------------------------

@@ -12,8 +12,8 @@ from vanewatch.operators.quality import for_run
 from vanewatch.schemas import RUN
 from vanewatch.scratch import settle
 
-# A broadcast threshold row is a key and two doubles, so this many stay near 10 MB.
-BROADCAST_GROUPS = 100_000
+# A band is a key and two doubles, some 100 bytes in a broadcast hash table, so this many take 50 MB.
+BROADCAST_GROUPS = 500_000
 
 Bound = str | datetime | date
 

@@ -65,13 +65,15 @@ def table_info(name: str) -> tuple[str, str, StructType]:
     return TABLES[name]
 
 
-def conform(df: DataFrame, schema: StructType, optional: tuple[str, ...] = ()) -> DataFrame:
-    """Select the declared columns in their declared order and type.
+def conform(df: DataFrame, table: str) -> DataFrame:
+    """Select a table's columns in their declared order and type.
 
-    Columns listed in ``optional`` may be missing from ``df`` and are then left out.
+    Anomalies may come without their time, all other columns are needed.
     """
-    wanted = [f for f in schema.fields if f.name in df.columns or f.name not in optional]
-    missing = [f.name for f in wanted if f.name not in df.columns]
+    fields = table_info(table)[2].fields
+    if table == "turbine_power_output_anomaly" and "telemetry_time" not in df.columns:
+        fields = [f for f in fields if f.name != "telemetry_time"]
+    missing = [f.name for f in fields if f.name not in df.columns]
     if missing:
         raise ValueError(f"missing columns {missing}, got {df.columns}")
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in wanted])
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields])

@@ -23,7 +23,8 @@ class JdbcStore:
     """Tables ``<layer>.<table>`` reached with the given JDBC options (``url``, ``user``, ...).
 
     Writing appends, as a database table has no partition to replace; delete a run's rows before
-    running its stage again. ``connections`` bounds the number of connections that read or write
+    running its stage again. Each task inserts in a transaction of its own, so a task that is
+    repeated after its commit leaves its rows twice. ``connections`` bounds the number of connections that read or write
     at the same time. ``splits`` names, per table, the conditions that divide its scan; they must
     be disjoint and cover every row, rows with NULLs too.
     """
@@ -54,9 +55,7 @@ class JdbcStore:
 
     def write(self, table: str, df: DataFrame, run: str | None, compact: bool = False) -> None:
         """Append ``df``; the run id is the one in its rows, and ``compact`` has no meaning here."""
-        schema = table_info(table)[2]
-        df = conform(df, schema, optional=("telemetry_time",) if "anomaly" in table else ())
-        df.write.jdbc(
+        conform(df, table).write.jdbc(
             self.url,
             self.name(table),
             mode="append",

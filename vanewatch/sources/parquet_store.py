@@ -60,8 +60,7 @@ class ParquetStore:
 
         ``compact`` evens out file sizes for results that are much smaller than their input.
         """
-        schema = table_info(table)[2]
-        df = conform(df, schema, optional=("telemetry_time",) if "anomaly" in table else ())
+        df = conform(df, table)
         if table == "silver":
             df = df.withColumn(DAY, utc_day(F.col("telemetry_time")))
         if compact:
