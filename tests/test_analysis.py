@@ -1,5 +1,6 @@
 import math
 import random
+import statistics
 from datetime import date
 
 import pytest
@@ -95,6 +96,7 @@ def test_bad_and_reversed_bounds(spark):
         with pytest.raises(ValueError):
             in_period(df, bad, END)
     assert in_period(df, END, START).isEmpty()
+    assert [part.count() for part in analyse(df, RUN, END, START)] == [0, 0]
 
 
 def test_one_reading_constant_and_null(spark):
@@ -170,6 +172,22 @@ def test_join_equals_window(spark, broadcast_groups):
     assert_same_rows(got, by_window(df))
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_against_brute_force(spark, seed):
+    rng = random.Random(seed)
+    groups = {
+        key: [rng.choice([rng.gauss(3, 1), rng.gauss(3, 8)]) for _ in range(rng.randint(1, 40))]
+        for key in range(40)
+    }
+    want = []
+    for key, values in groups.items():
+        if len(values) > 1:
+            mean, spread = statistics.fmean(values), 2 * statistics.stdev(values)
+            want += [(True, key, v) for v in values if v < mean - spread or v > mean + spread]
+    rows = [row for key, values in groups.items() for row in group(*values, key=key)]
+    assert found(spark, rows, broadcast_groups=rng.choice([1, 7, 100])) == sorted(want)
+
+
 def test_statistics_bracket_the_mean(spark):
     stats = turbine_statistics(skewed(spark, with_nan=False))
     assert stats.filter(

