@@ -1,6 +1,6 @@
 """Run one stage, or all of them, as a Spark application.
 
-    spark-submit ... vanewatch/__main__.py ingest RUN --store ROOT --source PATH
+    spark-submit --py-files vanewatch.zip vanewatch/__main__.py ingest RUN --store ROOT --source PATH
     python -m vanewatch publish RUN --jdbc-url URL --user NAME --start T --end T
 
 The database password is read from the environment variable JDBC_PASSWORD.
