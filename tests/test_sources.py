@@ -277,17 +277,20 @@ def test_jdbc_reads(spark):
     store = JdbcStore(calls, CONNECTION, splits={"bronze": ["turbine_id < '5'", "turbine_id >= '5' or turbine_id is null"]})
     assert store.read("bronze", RUN).count() == 7
     assert store.read_all("bronze").count() == 14
+    login = {k: v for k, v in CONNECTION.items() if k != "url"}
     url, table, options = calls.seen[0]
     assert (url, table) == (CONNECTION["url"], "bronze.wind_turbine_telemetry")
-    assert options["properties"] == {k: v for k, v in CONNECTION.items() if k != "url"}
-    assert len(options["predicates"]) == 2
+    assert options["properties"] == login and len(options["predicates"]) == 2
     store.read("silver", RUN, period=("2022-03-01", "2022-03-02"))
-    assert calls.seen[-1][2] | {"properties": None} == {
-        "column": "telemetry_time", "lowerBound": "2022-03-01", "upperBound": "2022-03-02",
-        "numPartitions": 8, "properties": None,
+    assert calls.seen[-1][2] == {
+        "predicates": None,
+        "properties": login | {
+            "partitionColumn": "telemetry_time", "lowerBound": "2022-03-01",
+            "upperBound": "2022-03-02", "numPartitions": "8",
+        },
     }
     store.read("silver", RUN)
-    assert list(calls.seen[-1][2]) == ["properties"]
+    assert calls.seen[-1][2] == {"predicates": None, "properties": login}
 
 
 def test_jdbc_write(spark, monkeypatch):

@@ -73,23 +73,25 @@ class JdbcStore:
 
         Scans in parallel where ``splits`` or a period on silver tells how.
         """
-        options: dict = {}
+        options = {}
         if period and table == "silver" and table not in self.splits:
+            # text options, as the named arguments of the reader take whole numbers only
             options = {
-                "column": "telemetry_time",
+                "partitionColumn": "telemetry_time",
                 "lowerBound": str(period[0]),
                 "upperBound": str(period[1]),
-                "numPartitions": self.connections,
+                "numPartitions": str(self.connections),
             }
-        return for_run(self._scan(table, **options), run)
+        return for_run(self._scan(table, options), run)
 
     def read_all(self, table: str) -> DataFrame:
         """Rows of every run."""
-        return self._scan(table)
+        return self._scan(table, {})
 
-    def _scan(self, table: str, **options) -> DataFrame:
-        if table in self.splits:
-            options["predicates"] = self.splits[table]
+    def _scan(self, table: str, options: dict[str, str]) -> DataFrame:
         return self.spark.read.jdbc(
-            self.url, self.name(table), properties=self.properties, **options
+            self.url,
+            self.name(table),
+            predicates=self.splits.get(table),
+            properties={**self.properties, **options},
         )
