@@ -199,17 +199,28 @@ def test_readings_do_not_move_when_bands_are_broadcast(spark, folder):
     skewed(spark).write.parquet(folder + "/s")
     got = analyse(spark.read.parquet(folder + "/s"), RUN, START, END)[1]
     text = plan(got)
-    assert "BroadcastHashJoin" in text
+    # one join by turbine, one for the readings without a turbine
+    assert text.count("BroadcastHashJoin") == 2
+    assert text.count("BroadcastHashJoin [turbine_id") == 1
     assert "Exchange hashpartitioning" not in text and "Python" not in text
 
 
+def test_known_turbines_need_one_join(spark, folder):
+    skewed(spark).filter("turbine_id is not null").write.parquet(folder + "/s")
+    text = plan(analyse(spark.read.parquet(folder + "/s"), RUN, START, END)[1])
+    assert text.count("BroadcastHashJoin") == text.count("FileScan") == 1
+
+
 def test_heavy_turbines_are_kept_out_of_the_shuffle(spark):
     df = skewed(spark)
     stats = turbine_statistics(df).checkpoint()
     got = anomalies(df, anomaly_thresholds(stats), RUN, broadcast_groups=10)
     assert 0 < stats.filter(F.col("readings") > df.count() / 10).count() <= 10
     text = plan(got)
-    assert "SortMergeJoin" in text and "LeftAnti" in text and text.count("BroadcastHashJoin") == 2
+    assert "SortMergeJoin" in text and "LeftAnti" in text
+    assert text.count("BroadcastHashJoin") == 3  # heavy, not heavy, without turbine
+    light = text[text.index("SortMergeJoin") : text.index("LeftAnti") + 2000]
+    assert "isnotnull(turbine_id" in light
 
 
 def test_statistics_are_aggregated_before_the_shuffle(spark):

@@ -103,36 +103,47 @@ def anomalies(
     ``broadcast_groups`` of them, so their bands are broadcast and their readings never shuffled,
     while the readings of the many light turbines are joined by key.
 
+    Readings without a turbine id form one more group, with a single band. They are joined on their
+    own: a null-safe key for all readings would make the hash join several times slower.
+
     Counts ``thresholds`` once, which should therefore be a settled frame (see ``analyse``).
     """
-    total = thresholds.agg(F.count(F.lit(1)).alias("groups"), F.sum("readings").alias("rows")).first()
-    same_turbine = F.col("r.turbine_id").eqNullSafe(F.col("b.turbine_id"))
+    total = thresholds.agg(
+        F.count(F.lit(1)).alias("groups"),
+        F.sum("readings").alias("rows"),
+        F.count_if(F.col("turbine_id").isNull()).alias("unknown"),
+    ).first()
     power = F.col("r.power_output")
+    same_turbine = F.col("r.turbine_id") == F.col("b.turbine_id")
+    columns = ["r.telemetry_time"] * include_time + ["r.turbine_id", "r.power_output"]
 
-    columns = ["turbine_id", "power_output"]
-    if include_time:
-        columns.insert(0, "telemetry_time")
-
+    readings = readings.alias("r")
     bands = thresholds.alias("b").filter(
         _outside(F.col("b.min_power_output"), F.col("b.max_power_output"))
     )
-    readings = readings.alias("r")
 
-    def hits(rows: DataFrame, bands: DataFrame) -> DataFrame:
-        joined = rows.join(bands, same_turbine, "inner").filter(_outside(power, power))
-        return joined.select(
-            *[F.col(f"r.{name}") for name in columns], F.lit(run).cast("string").alias(RUN)
-        )
+    def hits(rows: DataFrame, bands: DataFrame, on: Column = same_turbine) -> DataFrame:
+        found = rows.join(bands, on, "inner").filter(_outside(power, power))
+        return found.select(*columns, F.lit(run).cast("string").alias(RUN))
 
     if total["groups"] <= broadcast_groups:
-        return hits(readings, F.broadcast(bands))
-
-    is_heavy = F.col("b.readings") > F.lit(total["rows"] / broadcast_groups)
-    heavy = F.broadcast(thresholds.alias("b").filter(is_heavy).select("b.turbine_id").alias("b"))
-    light_rows = readings.join(heavy, same_turbine, "left_anti")
-    return hits(readings, F.broadcast(bands.filter(is_heavy))).unionByName(
-        hits(light_rows, bands.filter(~is_heavy).hint("merge"))
-    )
+        result = hits(readings, F.broadcast(bands))
+    else:
+        is_heavy = F.col("b.readings") > F.lit(total["rows"] / broadcast_groups)
+        heavy = F.broadcast(thresholds.alias("b").filter(is_heavy).select("turbine_id").alias("b"))
+        light_readings = readings.join(heavy, same_turbine, "left_anti")
+        result = hits(readings, F.broadcast(bands.filter(is_heavy))).unionByName(
+            hits(light_readings, bands.filter(~is_heavy).hint("merge"))
+        )
+    if total["unknown"]:
+        result = result.unionByName(
+            hits(
+                readings.filter(F.col("r.turbine_id").isNull()),
+                F.broadcast(bands.filter(F.col("b.turbine_id").isNull())),
+                F.col("r.turbine_id").eqNullSafe(F.col("b.turbine_id")),
+            )
+        )
+    return result
 
 
 def period_readings(df: DataFrame, run: str | None, start: Bound, end: Bound) -> DataFrame:
