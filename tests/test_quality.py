@@ -17,7 +17,9 @@ def test_conversion_and_flag(spark, with_conf, ansi):
     assert_rows(with_quality(bronze(spark, QUALITY_INPUT), RUN), expected)
 
 
-def test_quality_layout(spark):
+@pytest.mark.parametrize("default", ["TIMESTAMP_LTZ", "TIMESTAMP_NTZ"])
+def test_quality_layout(spark, with_conf, default):
+    with_conf("spark.sql.timestampType", default)
     schema = with_quality(bronze(spark, QUALITY_INPUT), RUN).schema
     assert [(f.name, type(f.dataType)) for f in schema] == [
         ("timestamp", StringType),

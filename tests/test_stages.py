@@ -1,6 +1,6 @@
 import pytest
 
-from helpers import ANALYSIS_INPUT, QUALITY_INPUT, RUN, assert_rows, at
+from helpers import ANALYSIS_INPUT, RUN, assert_rows, at
 from vanewatch import ParquetStore, publish, refine, run_pipeline, run_stage
 from vanewatch.__main__ import main, parse
 from vanewatch.schemas import TABLES

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampType
 
 # Padding that Spark's string casts ignore: ASCII control characters and blank.
 _PAD = r"[\x00-\x20\x7F]*"
@@ -30,4 +31,5 @@ def lenient_double(text: Column) -> Column:
 
 def lenient_timestamp(text: Column) -> Column:
     """Timestamp in the session time zone, from any text Spark's timestamp cast accepts."""
-    return F.try_to_timestamp(text)
+    # given as an object: the name "timestamp" means another type under spark.sql.timestampType
+    return text.try_cast(TimestampType())

@@ -115,7 +115,9 @@ def anomalies(
     ).first()
     power = F.col("r.power_output")
     same_turbine = F.col("r.turbine_id") == F.col("b.turbine_id")
-    columns = ["r.telemetry_time"] * include_time + ["r.turbine_id", "r.power_output"]
+    columns = ["r.turbine_id", "r.power_output"]
+    if include_time:
+        columns.insert(0, "r.telemetry_time")
 
     readings = readings.alias("r")
     bands = thresholds.alias("b").filter(
