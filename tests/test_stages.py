@@ -1,3 +1,5 @@
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 
 from helpers import ANALYSIS_INPUT, RUN, assert_rows, at
@@ -48,6 +50,14 @@ def test_pipeline_and_rerun(spark, store, source):
     assert counts(store) == EXPECTED and counts(store, "second") == EXPECTED
 
 
+def test_runs_at_the_same_time(spark, store, source):
+    runs = ["r1", "r2", "r3"]
+    with ThreadPoolExecutor(3) as pool:
+        list(pool.map(lambda run: run_pipeline(spark, store, source, run, *PERIOD), runs))
+    assert [counts(store, run) for run in runs] == [EXPECTED] * 3
+    assert store.read_all("bronze").count() == 3 * EXPECTED["bronze"]
+
+
 def test_append_doubles(spark, store, source):
     store.mode = "append"
     run_stage(spark, "ingest", RUN, store, path=source)

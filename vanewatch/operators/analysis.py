@@ -28,7 +28,7 @@ def period_bounds(
     for bound in (start, end):
         if not isinstance(bound, (str, datetime, date)):
             raise ValueError(f"a period bound must be text or a date-time, got {bound!r}")
-    kind = dtype.simpleString()
+    kind = "timestamp_ltz" if dtype == TimestampType() else dtype.simpleString()
     # constant-folded on the driver, runs no job
     readable = spark.sql(
         f"SELECT try_cast(? AS {kind}) IS NOT NULL, try_cast(? AS {kind}) IS NOT NULL",
