@@ -47,14 +47,11 @@ def flag_quality(df: DataFrame) -> DataFrame:
     typed = F.struct(
         *[convert(F.col(field)).alias(_converted(field)) for field, convert in CONVERSIONS.items()]
     )
-    return (
-        df.select(*RAW_FIELDS, RUN, F.inline(F.array(typed)))
-        .select(
-            *RAW_FIELDS,
-            *map(_converted, CONVERSIONS),
-            RUN,
-            F.expr(" OR ".join(RULES.values())).alias("is_error"),
-        )
+    return df.select(*RAW_FIELDS, RUN, F.inline(F.array(typed))).select(
+        *RAW_FIELDS,
+        *map(_converted, CONVERSIONS),
+        RUN,
+        F.expr(" OR ".join(RULES.values())).alias("is_error"),
     )
 
 
