@@ -36,6 +36,19 @@ from vanewatch.operators.quality import RULES
 from vanewatch.schemas import RAW_FIELDS
 from vanewatch.scratch import shared_dir
 
+try:  # the training-data operators are an optional part
+    from vanewatch.llm import queries as llm_queries
+except ModuleNotFoundError as missing:
+    if not (missing.name or "").startswith("vanewatch.llm"):
+        raise
+    llm_queries = None
+try:
+    import corpus_pipeline
+except ModuleNotFoundError as missing:
+    if missing.name != "corpus_pipeline" and not (missing.name or "").startswith("vanewatch.llm"):
+        raise
+    corpus_pipeline = None
+
 RUN = "load-1"
 RUNS = ("click", "error", "purchase", "signup", "view")
 START, END = "2024-01-05 00:00:00", "2024-01-20 00:00:00"
@@ -290,7 +303,7 @@ def publish_job(spark, sf_dir):
     return turbines.join(found, "event_id", "left").fillna(0, ["anomalies"])
 
 
-def pipeline(spark, sf_dir):
+def telemetry_pipeline(spark, sf_dir):
     store = new_store(spark)
     run_pipeline(spark, store, csv_folder(spark, sf_dir), RUN, START, END)
     return wall_clock(store.read("turbine_power_output_anomaly", RUN))
@@ -306,6 +319,15 @@ def null_key_anomalies(spark, sf_dir):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    found = telemetry_queries()
+    if llm_queries:
+        found |= llm_queries.queries()
+    if corpus_pipeline:
+        found["pipeline"] = corpus_pipeline.run
+    return found
+
+
+def telemetry_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "csv_ingest": csv_ingest,
         "bronze_roundtrip": bronze_roundtrip,
@@ -330,7 +352,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "power_anomalies_stored": power_anomalies_stored,
         "summary_store": summary_store,
         "publish_job": publish_job,
-        "pipeline": pipeline,
+        "telemetry_pipeline": telemetry_pipeline,
         "events_anomalies": events_anomalies,
         "null_key_anomalies": null_key_anomalies,
     }
@@ -451,9 +473,13 @@ select r.event_id, count(distinct r.turbine_id) as turbines,
 from per_run r join typed_runs t on t.event_id = r.event_id and t.turbine_id = r.turbine_id
 where t.telemetry_time between timestamp '{START}' and timestamp '{END}'
 group by r.event_id""",
-        "pipeline": anomalies_sql,
+        "telemetry_pipeline": anomalies_sql,
     }
     sql = {name: _CTE + text for name, text in body.items()}
     sql["events_anomalies"] = _typed_sql("user_id")
     sql["null_key_anomalies"] = _typed_sql("nullif(user_id % 20, 7)")
+    if llm_queries:
+        sql |= llm_queries.oracle_sql()
+    if corpus_pipeline and corpus_pipeline.ORACLE_SQL:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
     return sql

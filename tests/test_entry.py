@@ -26,9 +26,9 @@ def ordered(rows):
     return sorted((tuple(r) for r in rows), key=lambda r: tuple((v is not None, str(v)) for v in r))
 
 
-@pytest.mark.parametrize("name", entry.queries())
+@pytest.mark.parametrize("name", entry.telemetry_queries())
 def test_query_equals_sql(spark, db, name):
-    df = entry.queries()[name](spark, SF)
+    df = entry.telemetry_queries()[name](spark, SF)
     sql = entry.oracle_sql()[name]
     assert sorted(df.columns) == sorted(c[0] for c in db.execute(sql).description)
     names = ", ".join(f'"{c}"' for c in df.columns)
@@ -43,7 +43,7 @@ def test_smoke(spark):
 
 
 def test_no_query_runs_python(spark):
-    for name, query in entry.queries().items():
+    for name, query in entry.telemetry_queries().items():
         assert "Python" not in plan(query(spark, "/root/testdata/sf0.001")), name
 
 
