@@ -89,7 +89,8 @@ def remove_lines(
     """
     key, bad = free_names(docs.columns, "text_key", "bad_lines")
     body = F.col(text)
-    found = (
+    # settled, so that the join below has plain exchanges on both sides and may split a text with many copies
+    found = settle(
         docs.select(
             F.xxhash64(body).alias(key),
             F.explode(F.array_distinct(F.transform(_lines(body), _key))).alias("line"),
