@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from vanewatch.llm import (
     license_scan,
     line_dedup,
+    ngram_join,
     quality_ratio,
     source_mix,
     url_filter,
@@ -34,6 +35,10 @@ def op3_source_mix(spark, sf_dir):
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_ngram_join(spark, sf_dir):
+    return ngram_join.group_similar(table(spark, sf_dir, "documents"))
+
+
 def op9_url_filter(spark, sf_dir):
     """The list grows with the table: the canonical URLs of every twentieth page."""
     pages = table(spark, sf_dir, "pages")
@@ -57,6 +62,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_quality_rules": op1_quality_rules,
         "op2_license_scan": op2_license_scan,
         "op3_source_mix": op3_source_mix,
+        "op4_ngram_join": op4_ngram_join,
         "op9_url_filter": op9_url_filter,
         "op10_line_dedup": op10_line_dedup,
     }
