@@ -235,40 +235,40 @@ def group_similar(
     # first, each set against the lowest in any of its buckets
     star = shared.groupBy("node").agg(F.min("lowest").alias("a")).select("a", F.col("node").alias("b")).filter("a <> b")
     links = settle(similar_pairs(star, sets, similar))
+    members = _mixed(shared, links)
     for _ in range(STAR_ROUNDS):
-        parts = _named(shared, links)
         # in buckets with several components left, each set against one of another component
-        head = parts.groupBy("signature").agg(
-            F.min_by("node", F.xxhash64("component", "node")).alias("a"),
-            F.min("component").alias("low"),
-            F.max("component").alias("high"),
-        ).filter("low < high")
+        head = members.groupBy("signature").agg(
+            F.min_by(F.struct("node", "component"), F.xxhash64("component", "node")).alias("head")
+        )
         pairs = (
-            parts.join(head, "signature")
-            .join(parts.select(F.col("signature"), F.col("node").alias("a"), F.col("component").alias("of_a")), ["signature", "a"])
-            .filter("component <> of_a")
-            .groupBy("node").agg(F.min("a").alias("a"))
+            members.join(head, "signature")
+            .filter("component <> head.component")
+            .groupBy("node")
+            .agg(F.min("head.node").alias("a"))
             .select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b"))
             .distinct()
         )
-        more = settle(similar_pairs(pairs, sets, similar))
+        more = settle(_similar_few(pairs, sets, similar))
         if more.isEmpty():
             break
         links = links.unionByName(more)
+        members = _mixed(members, links)
     # last, what no link spans: sets outside a bucket's largest component against those of other components
-    parts = settle(_named(shared, links))
-    mixed = parts.groupBy("signature").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("signature")
-    left = parts.join(mixed, "signature")
-    sizes = left.groupBy("signature", "component").count()
+    sizes = members.groupBy("signature", "component").count()
     largest = sizes.groupBy("signature").agg(F.max_by("component", F.struct("count", "component")).alias("main"))
-    outside = left.join(largest, "signature").filter("component <> main").select("signature", F.col("node").alias("a"), F.col("component").alias("of_a"))
+    outside = (
+        members.join(largest, "signature")
+        .filter("component <> main")
+        .select("signature", F.col("node").alias("a"), F.col("component").alias("of_a"))
+    )
     rest = (
-        outside.join(left, "signature")
+        outside.join(members, "signature")
         .filter("of_a <> component")
         .select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b"))
         .distinct()
     )
-    links = links.unionByName(settle(similar_pairs(rest, sets, similar)))
+    links = links.unionByName(settle(_similar_few(rest, sets, similar)))
 
     components = connected(links)
     classes = (
@@ -281,8 +281,24 @@ def group_similar(
     return linked.select(*columns).unionByName(alone.select(*columns))
 
 
-def _named(shared: DataFrame, links: DataFrame) -> DataFrame:
-    """Bucket members with their component so far."""
-    return shared.join(connected(links), "node", "left").select(
-        "signature", "node", F.coalesce("component", "node").alias("component")
+def _mixed(members: DataFrame, links: DataFrame) -> DataFrame:
+    """Members of those buckets that still hold several components, with their component so far."""
+    bucket = Window.partitionBy("signature")
+    named = (
+        members.select("signature", "node")
+        .join(connected(links), "node", "left")
+        .select("signature", "node", F.coalesce("component", "node").alias("component"))
     )
+    return settle(
+        named.withColumn("low", F.min("component").over(bucket))
+        .withColumn("high", F.max("component").over(bucket))
+        .filter("low < high")
+        .select("signature", "node", "component")
+    )
+
+
+def _similar_few(pairs: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
+    """``similar_pairs`` where the pairs may need few of the sets: only those are shuffled."""
+    pairs = settle(pairs)
+    needed = settle(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
+    return similar_pairs(pairs, _restrict(sets, "node", needed, keep=True), similar)
