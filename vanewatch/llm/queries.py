@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vanewatch.llm import (
+    decontaminate,
     license_scan,
     line_dedup,
     ngram_join,
@@ -39,6 +40,12 @@ def op4_ngram_join(spark, sf_dir):
     return ngram_join.group_similar(table(spark, sf_dir, "documents"))
 
 
+def op6_decontamination(spark, sf_dir):
+    return decontaminate.find_contamination(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
 def op9_url_filter(spark, sf_dir):
     """The list grows with the table: the canonical URLs of every twentieth page."""
     pages = table(spark, sf_dir, "pages")
@@ -63,6 +70,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_license_scan": op2_license_scan,
         "op3_source_mix": op3_source_mix,
         "op4_ngram_join": op4_ngram_join,
+        "op6_decontamination": op6_decontamination,
         "op9_url_filter": op9_url_filter,
         "op10_line_dedup": op10_line_dedup,
     }
