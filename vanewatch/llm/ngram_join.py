@@ -6,9 +6,13 @@ most k shingles, k following from the band's largest size. A hash deals the doma
 differences, so the two agree in some ``PARTS - LOST`` of its partitions: a signature is the content of such
 a subset of partitions. Sets that share a signature are compared exactly.
 
-A partition without shingles would be shared by unrelated sets. Its signature is left out, and some groups are
-added to make up for it. A set with more of such groups than were added draws a new partition with the next
-seed; two similar sets both reach the seed under which one of them is served, so no pair is lost.
+Partitions with too few shingles would be shared by unrelated sets, say those with a common passage. Their
+signatures are left out, and some groups are added to make up for it. A set with more of such groups than were
+added draws new partitions with the next seed; two similar sets both reach the seed under which one of them is
+served, so no pair is lost.
+
+Before that, a histogram of each set's hashes bounds the similarity from above: what differs between two
+histograms differs between the sets. Most chance pairs end there, and no set has to be moved for them.
 
 Sets that are equal are one node. In a bucket of sets with the same signature each set is compared with one
 of them, and only what is not yet linked then is compared with the rest, so that a large bucket of similar sets
@@ -33,11 +37,13 @@ from vanewatch.scratch import settle
 SHINGLE_WORDS = 4
 # similarity in hundredths
 SIMILAR = 85
-PARTS, LOST = 2, 1
+PARTS, LOST = 3, 1
+# Shingles that a signature stands for at least, where sets are large enough.
+CONTENT = 2
 # A band's largest size over its smallest.
 BAND = (100 / SIMILAR) ** 2
 SEEDS = 12
-STAR_ROUNDS = 3
+STAR_ROUNDS = 2
 # Ids that may be broadcast, 16 bytes each.
 BROADCAST_IDS = 1_000_000
 
@@ -72,16 +78,27 @@ def band_start(band: int) -> int:
 
 
 def plan(band: int, similar: int) -> tuple[int, int, int, int, int]:
-    """Partitions of a group, groups, differences allowed in one, spare groups, and the band's k."""
+    """Partitions of a group, groups, differences allowed in one, spare groups, and shingles of a signature."""
     largest = band_start(band + 1) - 1
     # |a - b| + |b - a| is at most (1 - s) / (1 + s) times |a| + |b|
     k = (100 - similar) * 2 * largest // (100 + similar)
     lost = min(LOST, k)
     parts = lost + 1 if k < PARTS else PARTS
     groups, smallest = k // (lost + 1) + 1, max(1, band_start(band) * similar // 100)
-    empty = groups * parts * math.exp(-smallest / (groups * parts))
-    spare = math.ceil(empty + 2 * math.sqrt(empty)) if empty > 0.25 and k > 8 else 0
-    return parts, groups + spare, lost, spare, k
+    # spare groups thin out all of them, so their number is settled step by step
+    for least in range(CONTENT, 0, -1):
+        spare = 0
+        for _ in range(50):
+            mean = smallest * (parts - lost) / ((groups + spare) * parts)
+            scarce = math.exp(-mean) * sum(mean**i / math.factorial(i) for i in range(least))
+            bare = (groups + spare) * math.comb(parts, lost) * scarce
+            wanted = math.ceil(bare + 2 * math.sqrt(bare)) if bare > 0.25 else 0
+            if wanted <= spare:
+                return parts, groups + spare, lost, spare, least
+            spare = wanted
+            if spare > groups / 2:
+                break
+    return parts, groups, lost, 0, 1
 
 
 def signatures(items: np.ndarray, similar: int) -> np.ndarray:
@@ -94,7 +111,7 @@ def signatures(items: np.ndarray, similar: int) -> np.ndarray:
     # a partner is at most 100 / similar times as large; the pair meets in the band of the larger one
     bands = [band] + ([band + 1] if size * 100 >= similar * band_start(band + 1) else [])
     for number in bands:
-        parts, groups, lost, spare, _ = plan(number, similar)
+        parts, groups, lost, spare, least = plan(number, similar)
         for seed in range(SEEDS):
             salt = ta.mix(np.array([number * SEEDS + seed + 1], ta.U64))[0]
             drawn = ta.mix(items ^ salt)
@@ -107,10 +124,10 @@ def signatures(items: np.ndarray, similar: int) -> np.ndarray:
             last = seed == SEEDS - 1
             for which, subset in enumerate(combinations(range(parts), parts - lost)):
                 chosen = list(subset)
-                empty = filled[:, chosen].sum(axis=1) == 0
-                bare |= empty
+                scarce = filled[:, chosen].sum(axis=1) < least
+                bare |= scarce
                 keys = ta.mix(content[:, chosen].sum(axis=1, dtype=ta.U64) ^ ta.seeded(2, which + 1)[which])
-                out.append(keys if last else keys[~empty])
+                out.append(keys if last else keys[~scarce])
             if bare.sum() <= spare:
                 break
     return np.unique(np.concatenate(out))
@@ -120,20 +137,43 @@ def _with_ids(batch: pa.RecordBatch, id_at: int, counts: np.ndarray) -> pa.Array
     return batch.column(id_at).take(pa.array(np.repeat(np.arange(len(counts)), counts)))
 
 
+def sketch(items: np.ndarray) -> bytes:
+    """Histogram of a set over half as many places as it has items, rounded up to a power of two.
+
+    Nothing if a count does not fit a byte, which chance does not bring about.
+    """
+    if len(items) == 0:
+        return b""
+    places = 1 << max(0, (len(items) - 1).bit_length() - 1)
+    counts = np.bincount((items & ta.U64(places - 1)).astype(np.int64), minlength=places)
+    return b"" if counts.max() > 255 else counts.astype(np.uint8).tobytes()
+
+
+def may_be_similar(n_a: int, sketch_a: bytes, n_b: int, sketch_b: bytes, similar: int) -> bool:
+    """False if the histograms differ too much for sets of ``n_a`` and ``n_b`` items to be similar."""
+    difference = abs(n_a - n_b)
+    if sketch_a and sketch_b:
+        a, b = (np.frombuffer(x, np.uint8).astype(np.int64) for x in (sketch_a, sketch_b))
+        places = min(len(a), len(b))
+        difference = int(np.abs(a.reshape(-1, places).sum(axis=0) - b.reshape(-1, places).sum(axis=0)).sum())
+    common = (n_a + n_b - difference) // 2
+    return 100 * common >= similar * (n_a + n_b - common)
+
+
 def describe_sets(docs: DataFrame, id_column: str, text: str, shingle_words: int) -> DataFrame:
-    """``doc_id``, ``n_shingles`` and the set's digest (``d1``, ``d2``) of every row."""
+    """``doc_id``, ``n_shingles``, the set's digest (``d1``, ``d2``) and its ``sketch``, of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [(len(s), *_digest(s)) for s in _sets(batch.column(1), shingle_words)]
-            n, d1, d2 = zip(*found) if found else ((), (), ())
+            found = [(len(s), *_digest(s), sketch(s)) for s in _sets(batch.column(1), shingle_words)]
+            n, d1, d2, sketches = zip(*found) if found else ((), (), (), ())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array(x, pa.int64()) for x in (n, d1, d2))],
-                names=["doc_id", "n_shingles", "d1", "d2"],
+                [batch.column(0), *(pa.array(x, pa.int64()) for x in (n, d1, d2)), pa.array(sketches, pa.binary())],
+                names=["doc_id", "n_shingles", "d1", "d2", "sketch"],
             )
 
     rows = docs.select(F.col(id_column).cast("long"), F.col(text))
-    return rows.mapInArrow(run, "doc_id long, n_shingles long, d1 long, d2 long")
+    return rows.mapInArrow(run, "doc_id long, n_shingles long, d1 long, d2 long, sketch binary")
 
 
 def _signature_rows(docs: DataFrame, shingle_words: int, similar: int) -> DataFrame:
@@ -179,17 +219,32 @@ def _restrict(docs: DataFrame, id_column: str, ids: DataFrame, keep: bool) -> Da
     return docs.join(ids, F.col(id_column) == F.col("of_node"), "left_semi" if keep else "left_anti")
 
 
-def similar_pairs(pairs: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
-    """Those pairs (a, b) of nodes whose sets are similar, counted exactly."""
+def possible_pairs(pairs: DataFrame, sketches: DataFrame, similar: int) -> DataFrame:
+    """Those pairs (a, b) of nodes that their sketches do not rule out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = zip(*(batch.column(i).to_pylist() for i in range(2, 6)))
+            keep = pa.array([may_be_similar(*row, similar) for row in rows], pa.bool_())
+            yield batch.select(["a", "b"]).filter(keep)
+
+    a = sketches.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("sketch_a"))
+    b = sketches.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("sketch_b"))
+    both = pairs.join(a, "a").join(b, "b").select("a", "b", "n_a", "sketch_a", "n_b", "sketch_b")
+    return both.mapInArrow(run, "a long, b long")
+
+
+def similar_pairs(pairs: DataFrame, sketches: DataFrame, texts: DataFrame, shingle_words: int, similar: int) -> DataFrame:
+    """Those pairs (a, b) of nodes whose sets are similar: ruled out by sketch, else counted exactly."""
+    pairs = settle(possible_pairs(pairs, sketches, similar))
+    needed = settle(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
+    sets = _set_rows(_restrict(texts, "node", needed, keep=True), shingle_words)
     a = sets.select(F.col("node").alias("a"), F.col("items").alias("items_a"))
     b = sets.select(F.col("node").alias("b"), F.col("items").alias("items_b"))
     common = F.size(F.array_intersect("items_a", "items_b"))
     n = F.size("items_a") + F.size("items_b")
-    return (
-        pairs.join(a, "a").join(b, "b").select("a", "b", common.alias("common"), n.alias("n"))
-        .filter(F.expr(f"100 * common >= {similar} * (n - common)"))
-        .select("a", "b")
-    )
+    counted = pairs.join(a, "a").join(b, "b").select("a", "b", common.alias("common"), n.alias("n"))
+    return settle(counted.filter(f"100 * common >= {int(similar)} * (n - common)").select("a", "b"))
 
 
 def group_similar(
@@ -230,11 +285,19 @@ def group_similar(
         .filter("lowest < highest")
         .select("signature", "node", "lowest")
     )
-    sets = settle(_set_rows(_restrict(unique, "node", settle(shared.select("node").distinct()), keep=True), shingle_words))
+    members = shared.select(F.col("node").alias("doc_id")).distinct()
+    sketches = settle(
+        described.join(members, "doc_id", "left_semi")
+        .select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"), "sketch")
+        .dropDuplicates(["node"])
+    )
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        return similar_pairs(pairs, sketches, unique, shingle_words, similar)
 
     # first, each set against the lowest in any of its buckets
     star = shared.groupBy("node").agg(F.min("lowest").alias("a")).select("a", F.col("node").alias("b")).filter("a <> b")
-    links = settle(similar_pairs(star, sets, similar))
+    links = verified(star)
     members = _mixed(shared, links)
     for _ in range(STAR_ROUNDS):
         # in buckets with several components left, each set against one of another component
@@ -249,7 +312,7 @@ def group_similar(
             .select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b"))
             .distinct()
         )
-        more = settle(_similar_few(pairs, sets, similar))
+        more = verified(pairs)
         if more.isEmpty():
             break
         links = links.unionByName(more)
@@ -268,13 +331,14 @@ def group_similar(
         .select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b"))
         .distinct()
     )
-    links = links.unionByName(settle(_similar_few(rest, sets, similar)))
+    links = links.unionByName(verified(rest))
 
     components = connected(links)
     classes = (
         nodes.join(components, "node", "left")
         .select(*same, F.coalesce("component", "node").alias("component_id"))
     )
+    described = described.drop("sketch")
     linked = described.filter("n_shingles > 0 and doc_id is not null").join(classes, same)
     alone = described.filter("not (n_shingles > 0 and doc_id is not null)").withColumn("component_id", F.col("doc_id"))
     columns = ["doc_id", "n_shingles", "component_id"]
@@ -295,10 +359,3 @@ def _mixed(members: DataFrame, links: DataFrame) -> DataFrame:
         .filter("low < high")
         .select("signature", "node", "component")
     )
-
-
-def _similar_few(pairs: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
-    """``similar_pairs`` where the pairs may need few of the sets: only those are shuffled."""
-    pairs = settle(pairs)
-    needed = settle(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
-    return similar_pairs(pairs, _restrict(sets, "node", needed, keep=True), similar)
