@@ -14,6 +14,7 @@ from vanewatch.llm import (
     ngram_join,
     quality_ratio,
     source_mix,
+    toxicity,
     url_filter,
 )
 
@@ -40,6 +41,17 @@ def op4_ngram_join(spark, sf_dir):
     return ngram_join.group_similar(table(spark, sf_dir, "documents"))
 
 
+def op5_toxicity(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents")
+    network = toxicity.fit_network(documents, table(spark, sf_dir, "labels"))
+    return toxicity.score_texts(documents.select("doc_id", "text"), network).select(
+        "doc_id",
+        toxicity.held_out("doc_id").alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op6_decontamination(spark, sf_dir):
     return decontaminate.find_contamination(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -70,6 +82,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_license_scan": op2_license_scan,
         "op3_source_mix": op3_source_mix,
         "op4_ngram_join": op4_ngram_join,
+        "op5_toxicity": op5_toxicity,
         "op6_decontamination": op6_decontamination,
         "op9_url_filter": op9_url_filter,
         "op10_line_dedup": op10_line_dedup,
