@@ -15,8 +15,9 @@ Before that, a histogram of each set's hashes bounds the similarity from above:
 histograms differs between the sets. Most chance pairs end there, and no set has to be moved for them.
 
 Sets that are equal are one node. In a bucket of sets with the same signature each set is compared with one
-of them, and only what is not yet linked then is compared with the rest, so that a large bucket of similar sets
-costs as many comparisons as it has members.
+of them, so that a large bucket of similar sets costs as many comparisons as it has members. What is not linked
+then, the sets outside a bucket's largest component, are a query set: in blocks of bounded size they are
+compared with all members of their buckets, inside the tasks, and no pair is written but for the links found.
 """
 
 from __future__ import annotations
@@ -46,6 +47,8 @@ SEEDS = 12
 STAR_ROUNDS = 2
 # Ids that may be broadcast, 16 bytes each.
 BROADCAST_IDS = 1_000_000
+# Shingles of a block of queries, 12 bytes each when broadcast.
+BLOCK_SHINGLES = 2_000_000
 
 
 def _sets(column: pa.Array, shingle_words: int) -> Iterator[np.ndarray]:
@@ -211,7 +214,7 @@ def _set_rows(docs: DataFrame, shingle_words: int) -> DataFrame:
     return docs.mapInArrow(run, "node long, items array<long>")
 
 
-def _restrict(docs: DataFrame, id_column: str, ids: DataFrame, keep: bool) -> DataFrame:
+def restrict(docs: DataFrame, id_column: str, ids: DataFrame, keep: bool) -> DataFrame:
     """Rows whose id is, or is not, among ``ids``: broadcast if they are few, else joined by key."""
     few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
     ids = ids.select(F.col(ids.columns[0]).alias("of_node"))
@@ -238,7 +241,7 @@ def similar_pairs(pairs: DataFrame, sketches: DataFrame, texts: DataFrame, shing
     """Those pairs (a, b) of nodes whose sets are similar: ruled out by sketch, else counted exactly."""
     pairs = settle(possible_pairs(pairs, sketches, similar))
     needed = settle(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
-    sets = _set_rows(_restrict(texts, "node", needed, keep=True), shingle_words)
+    sets = _set_rows(restrict(texts, "node", needed, keep=True), shingle_words)
     a = sets.select(F.col("node").alias("a"), F.col("items").alias("items_a"))
     b = sets.select(F.col("node").alias("b"), F.col("items").alias("items_b"))
     common = F.size(F.array_intersect("items_a", "items_b"))
@@ -247,6 +250,73 @@ def similar_pairs(pairs: DataFrame, sketches: DataFrame, texts: DataFrame, shing
     return settle(counted.filter(f"100 * common >= {int(similar)} * (n - common)").select("a", "b"))
 
 
+def _outside_links(
+    members: DataFrame, sketches: DataFrame, texts: DataFrame, shingle_words: int, similar: int
+) -> DataFrame:
+    """Links (a, b) of sets outside a bucket's largest component with members of other components.
+
+    For each set and each other component one link is given at most. All pairs in ``members`` of different
+    components are compared, as one of the two is outside the largest.
+    """
+    sizes = members.groupBy("signature", "component").count()
+    largest = sizes.groupBy("signature").agg(F.max_by("component", F.struct("count", "component")).alias("main"))
+    outside = settle(members.join(largest, "signature").filter("component <> main").select("signature", "node", "component"))
+    queries = outside.select("node", "component").distinct().join(sketches.select("node", "n"), "node")
+    total = queries.agg(F.sum("n")).first()[0] or 0
+    everyone = members.select("node", "component").distinct()
+    sets = settle(
+        _set_rows(restrict(texts, "node", settle(everyone.select("node")), keep=True), shingle_words)
+        .dropDuplicates(["node"])
+        .join(everyone, "node")
+    )
+    blocks = math.ceil(total / BLOCK_SHINGLES)
+    block = F.pmod(F.xxhash64("node"), F.lit(max(1, blocks)))
+    found = members.sparkSession.createDataFrame([], "a long, b long")
+    for number in range(blocks):
+        asked = outside.filter(block == number)
+        query = sets.join(asked.select("node").distinct(), "node", "left_semi").toArrow()
+        partners = members.join(asked.select("signature").distinct(), "signature", "left_semi")
+        rows = sets.join(partners.select("node").distinct(), "node", "left_semi")
+        compare = _compare_with(members.sparkSession.sparkContext.broadcast(_lay_out(query)), similar)
+        found = found.unionByName(rows.select("node", "items", "component").mapInArrow(compare, "a long, b long"))
+    return settle(found)
+
+
+def _lay_out(query: pa.Table) -> tuple[np.ndarray, ...]:
+    """Shingles in order with the sets that hold them; node, component and size of those sets."""
+    query = query.combine_chunks()
+    nodes, components = (query.column(c).to_numpy() for c in ("node", "component"))
+    lists = query.column("items").combine_chunks()
+    lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) and lists.num_chunks else lists
+    sizes = np.asarray(lists.value_lengths(), np.int64) if len(nodes) else np.zeros(0, np.int64)
+    items = np.asarray(lists.flatten(), np.int64) if len(nodes) else np.zeros(0, np.int64)
+    order = np.argsort(items, kind="stable")
+    return items[order], np.repeat(np.arange(len(nodes), dtype=np.int32), sizes)[order], nodes, components, sizes
+
+
+def _compare_with(shared, similar: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        items, owner, nodes, components, sizes = shared.value
+        for batch in batches:
+            found: list[tuple[int, int]] = []
+            for row in range(batch.num_rows):
+                node, component = batch.column(0)[row].as_py(), batch.column(2)[row].as_py()
+                own = np.asarray(batch.column(1)[row].values, np.int64)
+                low, high = np.searchsorted(items, own, "left"), np.searchsorted(items, own, "right")
+                count = high - low
+                at = np.repeat(low - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
+                common = np.bincount(owner[at], minlength=len(nodes))
+                hit = 100 * common >= similar * (sizes + len(own) - common)
+                hit &= (components != component) & (nodes != node)
+                # the first partner of each other component links the two
+                _, one = np.unique(components[hit], return_index=True)
+                found += [(min(node, int(n)), max(node, int(n))) for n in nodes[hit][one]]
+            a, b = zip(*found) if found else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return run
+
+
 def group_similar(
     docs: DataFrame,
     text: str = "text",
@@ -275,7 +345,7 @@ def group_similar(
         .select("doc_id")
     )
     texts = docs.select(F.col(id_column).cast("long").alias("node"), F.col(text).alias("text"))
-    unique = _restrict(texts.filter("node is not null"), "node", settle(copies), keep=False)
+    unique = restrict(texts.filter("node is not null"), "node", settle(copies), keep=False)
 
     bucket = Window.partitionBy("signature")
     shared = settle(
@@ -317,21 +387,7 @@ def group_similar(
             break
         links = links.unionByName(more)
         members = _mixed(members, links)
-    # last, what no link spans: sets outside a bucket's largest component against those of other components
-    sizes = members.groupBy("signature", "component").count()
-    largest = sizes.groupBy("signature").agg(F.max_by("component", F.struct("count", "component")).alias("main"))
-    outside = (
-        members.join(largest, "signature")
-        .filter("component <> main")
-        .select("signature", F.col("node").alias("a"), F.col("component").alias("of_a"))
-    )
-    rest = (
-        outside.join(members, "signature")
-        .filter("of_a <> component")
-        .select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b"))
-        .distinct()
-    )
-    links = links.unionByName(verified(rest))
+    links = links.unionByName(_outside_links(members, sketches, unique, shingle_words, similar))
 
     components = connected(links)
     classes = (
