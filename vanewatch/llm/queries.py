@@ -12,8 +12,10 @@ from vanewatch.llm import (
     license_scan,
     line_dedup,
     ngram_join,
+    personal_data,
     quality_ratio,
     source_mix,
+    suffix_dedup,
     toxicity,
     url_filter,
 )
@@ -58,6 +60,15 @@ def op6_decontamination(spark, sf_dir):
     )
 
 
+def op7_personal_data(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents")
+    return personal_data.find_personal_data(documents, personal_data.fit_field(documents))
+
+
+def op8_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op9_url_filter(spark, sf_dir):
     """The list grows with the table: the canonical URLs of every twentieth page."""
     pages = table(spark, sf_dir, "pages")
@@ -84,6 +95,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_ngram_join": op4_ngram_join,
         "op5_toxicity": op5_toxicity,
         "op6_decontamination": op6_decontamination,
+        "op7_personal_data": op7_personal_data,
+        "op8_suffix_dedup": op8_suffix_dedup,
         "op9_url_filter": op9_url_filter,
         "op10_line_dedup": op10_line_dedup,
     }
