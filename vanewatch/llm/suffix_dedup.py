@@ -37,7 +37,7 @@ GRAM = 32
 # fixed values: every difference modulo 31 is the difference of two of these
 COVER, SAMPLED = 31, (1, 5, 11, 24, 25, 27)
 # Bytes of text in a group, and names in a range, as far as single texts allow.
-GROUP_TEXT, RANGE_NAMES = 6 << 20, 1 << 20
+GROUP_TEXT, RANGE_NAMES = 2 << 20, 1 << 19
 BROADCAST_KEYS = 1_000_000
 EMPTY = hashlib.sha256(b"").hexdigest()
 
@@ -101,11 +101,12 @@ def _landmark_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 # --- names, sorted over the cluster ---------------------------------------------------------------
 
-NAMES = "range int, group int, names binary, several binary"
-REPLY = "group int, names binary"
+NAMES = "step int, range int, group int, names binary, several binary"
+# The answer to a group's names in a range: a bit for each of them, in order.
+REPLY = "step int, range int, group int, count int, bits binary"
 
 
-def _pack(group: int, names: np.ndarray, ranges: int) -> pa.Table:
+def _pack(step: int, group: int, names: np.ndarray, ranges: int) -> pa.Table:
     """The distinct names of a group, dealt into ranges by order."""
     names, count = np.unique(names, return_counts=True)
     place = (names >> ta.U64(32)) * ta.U64(ranges) >> ta.U64(32)
@@ -113,6 +114,7 @@ def _pack(group: int, names: np.ndarray, ranges: int) -> pa.Table:
     stop = np.append(start[1:], len(names))
     return pa.table(
         {
+            "step": pa.array(np.full(len(used), step, np.int32)),
             "range": pa.array(used.astype(np.int32)),
             "group": pa.array(np.full(len(used), group, np.int32)),
             "names": pa.array([names[a:b].tobytes() for a, b in zip(start, stop)], pa.binary()),
@@ -133,13 +135,17 @@ def _sort_range(rows: pa.Table) -> pa.Table:
     repeated = several.copy()
     repeated[order] |= same[1:] | same[:-1]
     bounds = np.cumsum([0, *sizes])
-    answers = [names[a:b][repeated[a:b]].tobytes() for a, b in zip(bounds[:-1], bounds[1:])]
-    return pa.table({"group": rows.column("group").combine_chunks(), "names": pa.array(answers, pa.binary())})
+    answers = [np.packbits(repeated[a:b]).tobytes() for a, b in zip(bounds[:-1], bounds[1:])]
+    own = {c: rows.column(c).combine_chunks() for c in ("step", "range", "group")}
+    return pa.table(own | {"count": pa.array(sizes, pa.int32()), "bits": pa.array(answers, pa.binary())})
 
 
-def _answered(replies: pa.Table) -> np.ndarray:
-    parts = [np.frombuffer(x, ta.U64) for x in replies.column("names").to_pylist()]
-    return np.sort(np.concatenate(parts)) if parts else np.zeros(0, ta.U64)
+def _answered(step: int, sent: np.ndarray, replies: pa.Table) -> np.ndarray:
+    """Those of the names sent in a step that stand elsewhere too, in order."""
+    rows = sorted((r["range"], r["count"], r["bits"]) for r in replies.to_pylist() if r["step"] == step)
+    bits = [np.unpackbits(np.frombuffer(b, np.uint8), count=n).astype(bool) for _, n, b in rows]
+    sent = np.unique(sent)
+    return sent[np.concatenate(bits)] if bits else sent[:0]
 
 
 def _among(names: np.ndarray, known: np.ndarray) -> np.ndarray:
@@ -170,36 +176,46 @@ def _samples(sums: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return at, names[at]
 
 
+def _sample_names(texts: pa.Table) -> np.ndarray:
+    return np.concatenate([_samples(sums, wanted)[1] for _, _, sums, wanted in _each(texts)] or [np.zeros(0, ta.U64)])
+
+
+def _suffixes(sums: np.ndarray, wanted: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Wanted strings that reach a sample which stands elsewhere too: their starts and names."""
+    at, names = _samples(sums, wanted)
+    shared = np.zeros(len(sums), np.int64)
+    shared[at[_among(names, known)] + 1] = 1
+    shared = np.cumsum(shared)
+    starts = np.flatnonzero(wanted)
+    starts = starts[shared[np.minimum(starts + COVER, len(shared) - 1)] > shared[starts]]
+    return starts, window_names(sums, LENGTH)[starts]
+
+
 def _emit_samples(ranges: int):
     def run(texts: pa.Table) -> pa.Table:
-        found = [_samples(sums, wanted)[1] for _, _, sums, wanted in _each(texts)]
-        return _pack(texts.column("group")[0].as_py(), np.concatenate(found), ranges)
+        return _pack(1, texts.column("group")[0].as_py(), _sample_names(texts), ranges)
 
     return run
 
 
 def _emit_suffixes(ranges: int):
     def run(texts: pa.Table, replies: pa.Table) -> pa.Table:
-        known, found = _answered(replies), [np.zeros(0, ta.U64)]
-        for _, _, sums, wanted in _each(texts):
-            at, names = _samples(sums, wanted)
-            shared = np.zeros(len(sums), np.int64)
-            shared[at[_among(names, known)] + 1] = 1
-            shared = np.cumsum(shared)
-            starts = np.flatnonzero(wanted)
-            starts = starts[shared[np.minimum(starts + COVER, len(shared) - 1)] > shared[starts]]
-            found.append(window_names(sums, LENGTH)[starts])
-        group = texts.column("group")[0].as_py() if texts.num_rows else 0
-        return _pack(group, np.concatenate(found), ranges)
+        if not texts.num_rows:
+            return _pack(2, 0, np.zeros(0, ta.U64), ranges)
+        known = _answered(1, _sample_names(texts), replies)
+        found = [_suffixes(sums, wanted, known)[1] for _, _, sums, wanted in _each(texts)]
+        return _pack(2, texts.column("group")[0].as_py(), np.concatenate(found), ranges)
 
     return run
 
 
 def _cut(texts: pa.Table, replies: pa.Table) -> pa.Table:
-    known, rows = _answered(replies), []
-    for key, data, sums, wanted in _each(texts):
-        starts = np.flatnonzero(wanted)
-        starts = starts[_among(window_names(sums, LENGTH)[starts], known)]
+    known = _answered(1, _sample_names(texts), replies)
+    parts = [(key, data, *_suffixes(sums, wanted, known)) for key, data, sums, wanted in _each(texts)]
+    repeated = _answered(2, np.concatenate([p[3] for p in parts] or [np.zeros(0, ta.U64)]), replies)
+    rows = []
+    for key, data, starts, names in parts:
+        starts = starts[_among(names, repeated)]
         change = np.zeros(len(data) + 1, np.int64)
         np.add.at(change, starts, 1)
         np.add.at(change, starts + LENGTH, -1)
@@ -263,10 +279,10 @@ def remove_repeats(docs: DataFrame, text: str = "text", id_column: str = "doc_id
     ranges = max(1, math.ceil((size["bytes"] or 0) / RANGE_NAMES))
     by_group = texts.groupBy("group")
     samples = by_group.applyInArrow(_emit_samples(max(1, ranges // 4)), NAMES)
-    replies = settle(samples.groupBy("range").applyInArrow(_sort_range, REPLY))
-    suffixes = by_group.cogroup(replies.groupBy("group")).applyInArrow(_emit_suffixes(ranges), NAMES)
-    replies = suffixes.groupBy("range").applyInArrow(_sort_range, REPLY)
-    cut = settle(by_group.cogroup(replies.groupBy("group")).applyInArrow(
+    first = settle(samples.groupBy("range").applyInArrow(_sort_range, REPLY))
+    suffixes = by_group.cogroup(first.groupBy("group")).applyInArrow(_emit_suffixes(ranges), NAMES)
+    second = settle(suffixes.groupBy("range").applyInArrow(_sort_range, REPLY))
+    cut = settle(by_group.cogroup(first.unionByName(second).groupBy("group")).applyInArrow(
         _cut, "key long, n_removed long, n_spans long, kept_sha256 string"
     ))
 
