@@ -44,7 +44,7 @@ CONTENT = 2
 # A band's largest size over its smallest.
 BAND = (100 / SIMILAR) ** 2
 SEEDS = 12
-STAR_ROUNDS = 2
+STAR_ROUNDS = 1
 # Ids that may be broadcast, 16 bytes each.
 BROADCAST_IDS = 1_000_000
 # Shingles of a block of queries, 12 bytes each when broadcast.
@@ -263,20 +263,18 @@ def _outside_links(
     outside = settle(members.join(largest, "signature").filter("component <> main").select("signature", "node", "component"))
     queries = outside.select("node", "component").distinct().join(sketches.select("node", "n"), "node")
     total = queries.agg(F.sum("n")).first()[0] or 0
-    everyone = members.select("node", "component").distinct()
-    sets = settle(
-        _set_rows(restrict(texts, "node", settle(everyone.select("node")), keep=True), shingle_words)
-        .dropDuplicates(["node"])
-        .join(everyone, "node")
-    )
+    everyone = settle(members.select("node", "component").distinct())
+    few = everyone.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    rows = _set_rows(restrict(texts, "node", everyone.select("node"), keep=True), shingle_words)
+    sets = settle(rows.join(F.broadcast(everyone) if few else everyone, "node"))
     blocks = math.ceil(total / BLOCK_SHINGLES)
     block = F.pmod(F.xxhash64("node"), F.lit(max(1, blocks)))
     found = members.sparkSession.createDataFrame([], "a long, b long")
     for number in range(blocks):
         asked = outside.filter(block == number)
-        query = sets.join(asked.select("node").distinct(), "node", "left_semi").toArrow()
+        query = restrict(sets, "node", settle(asked.select("node").distinct()), keep=True).toArrow()
         partners = members.join(asked.select("signature").distinct(), "signature", "left_semi")
-        rows = sets.join(partners.select("node").distinct(), "node", "left_semi")
+        rows = restrict(sets, "node", settle(partners.select("node").distinct()), keep=True)
         compare = _compare_with(members.sparkSession.sparkContext.broadcast(_lay_out(query)), similar)
         found = found.unionByName(rows.select("node", "items", "component").mapInArrow(compare, "a long, b long"))
     return settle(found)
