@@ -50,7 +50,6 @@ except ModuleNotFoundError as missing:
     corpus_pipeline = None
 
 RUN = "load-1"
-RUNS = ("click", "error", "purchase", "signup", "view")
 START, END = "2024-01-05 00:00:00", "2024-01-20 00:00:00"
 
 _RAW = """
@@ -118,6 +117,11 @@ def loaded_store(spark: SparkSession, sf_dir: str) -> ParquetStore:
     return store
 
 
+def run_ids(rows: DataFrame) -> list[str]:
+    """The runs of a table: one for each load, so a list that the driver can hold."""
+    return sorted(row[0] for row in rows.select("event_id").distinct().collect())
+
+
 def csv_folder(spark: SparkSession, sf_dir: str) -> str:
     folder = new_folder(spark, "csv")
     bronze(spark, sf_dir).drop("event_id").write.option("header", True).csv(folder)
@@ -144,9 +148,8 @@ def csv_ingest(spark, sf_dir):
 
 
 def bronze_roundtrip(spark, sf_dir):
-    raw, store = bronze(spark, sf_dir), new_store(spark)
-    for run in RUNS:
-        store.write("bronze", for_run(raw, run), run)
+    store = new_store(spark)
+    store.write_runs("bronze", bronze(spark, sf_dir))
     return store.read_all("bronze")
 
 
@@ -210,9 +213,9 @@ def quarantine_rows(spark, sf_dir):
 
 
 def refine_split(spark, sf_dir):
-    raw, store = bronze(spark, sf_dir), new_store(spark)
-    for run in RUNS:
-        store.write("bronze", for_run(raw, run), run)
+    store = new_store(spark)
+    store.write_runs("bronze", bronze(spark, sf_dir))
+    for run in run_ids(store.read_all("bronze")):
         run_stage(spark, "transform", run, store)
     parts = [
         store.read_all(table).groupBy("event_id").agg(F.count("*").alias("n")).withColumn("t", F.lit(table))
@@ -275,6 +278,29 @@ def power_anomalies_many_turbines(spark, sf_dir):
     return wall_clock(_analysed(spark, sf_dir, broadcast_groups=16)[1])
 
 
+SKEWED = "case when event_id % 3 = 0 then 0 when event_id % 50 = 1 then null else user_id end"
+
+
+def skewed_turbine_anomalies(spark, sf_dir):
+    """A third of the readings on one turbine, which is broadcast, the light ones joined by key."""
+    return analyse(typed_events(spark, sf_dir, SKEWED), RUN, *ALL_TIME, broadcast_groups=8)[1]
+
+
+def silver_of_other_writer(spark, sf_dir):
+    """Silver files without the hidden day column, read by period."""
+    store = new_store(spark)
+    rows = silver(spark, sf_dir)
+    rows.drop("event_id").write.parquet(f"{store.path('silver')}/event_id={RUN}")
+    return wall_clock(in_period(store.read("silver", RUN, period=(START, END)), START, END))
+
+
+def write_takes_its_run(spark, sf_dir):
+    """Writing one run out of a frame that holds several."""
+    store = new_store(spark)
+    store.write("bronze", bronze(spark, sf_dir), "click")
+    return store.read("bronze", "click")
+
+
 def _silver_store(spark, sf_dir) -> ParquetStore:
     store = new_store(spark)
     store.write("silver", silver(spark, sf_dir), RUN)
@@ -294,9 +320,9 @@ def summary_store(spark, sf_dir):
 
 
 def publish_job(spark, sf_dir):
-    typed, store = to_silver(flag_quality(bronze(spark, sf_dir))), new_store(spark)
-    for run in RUNS:
-        store.write("silver", for_run(typed, run), run)
+    store = new_store(spark)
+    store.write_runs("silver", to_silver(flag_quality(bronze(spark, sf_dir))))
+    for run in run_ids(store.read_all("silver")):
         run_stage(spark, "publish", run, store, start=START, end=END)
     turbines = store.read_all("summary_statistics").groupBy("event_id").agg(F.count("*").alias("turbines"))
     found = store.read_all("turbine_power_output_anomaly").groupBy("event_id").agg(F.count("*").alias("anomalies"))
@@ -355,6 +381,9 @@ def telemetry_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "telemetry_pipeline": telemetry_pipeline,
         "events_anomalies": events_anomalies,
         "null_key_anomalies": null_key_anomalies,
+        "skewed_turbine_anomalies": skewed_turbine_anomalies,
+        "silver_of_other_writer": silver_of_other_writer,
+        "write_takes_its_run": write_takes_its_run,
     }
 
 
@@ -474,9 +503,12 @@ from per_run r join typed_runs t on t.event_id = r.event_id and t.turbine_id = r
 where t.telemetry_time between timestamp '{START}' and timestamp '{END}'
 group by r.event_id""",
         "telemetry_pipeline": anomalies_sql,
+        "silver_of_other_writer": f"select {_SILVER_LIST} from in_period",
+        "write_takes_its_run": f"select {_RAW_LIST}, event_id from runs where event_id = 'click'",
     }
     sql = {name: _CTE + text for name, text in body.items()}
     sql["events_anomalies"] = _typed_sql("user_id")
+    sql["skewed_turbine_anomalies"] = _typed_sql(SKEWED)
     sql["null_key_anomalies"] = _typed_sql("nullif(user_id % 20, 7)")
     if llm_queries:
         sql |= llm_queries.oracle_sql()

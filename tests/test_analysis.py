@@ -1,7 +1,7 @@
 import math
 import random
 import statistics
-from datetime import date
+from datetime import date, datetime
 
 import pytest
 from pyspark.sql import Window
@@ -14,14 +14,13 @@ from helpers import (
     START,
     assert_rows,
     assert_same_rows,
-    at,
     group,
     plan,
     readings,
 )
 from vanewatch import analyse, anomalies, anomaly_thresholds, in_period, turbine_statistics
 
-ONE_HIT = [(at("2022-03-01 16:00:00"), 1, 4.5, RUN)]
+ONE_HIT = [(datetime.fromisoformat("2022-03-01 16:00:00"), 1, 4.5, RUN)]
 
 
 def found(spark, rows, **options):
@@ -72,11 +71,11 @@ def test_period_is_closed(spark):
     times = ["2022-02-28 23:59:59", START, "2022-03-01 12:00:00", END, "2022-03-02 00:00:01"]
     df = readings(spark, [(t, 1, 1.0) for t in times])
     assert [r.telemetry_time for r in in_period(df, START, END).sort("telemetry_time").collect()] == [
-        at(t) for t in times[1:4]
+        datetime.fromisoformat(t) for t in times[1:4]
     ]
 
 
-@pytest.mark.parametrize("start, end", [(date(2022, 3, 1), date(2022, 3, 2)), (at(START), at(END)), ("2022-03-01", "2022-03-02")])
+@pytest.mark.parametrize("start, end", [(date(2022, 3, 1), date(2022, 3, 2)), (datetime.fromisoformat(START), datetime.fromisoformat(END)), ("2022-03-01", "2022-03-02")])
 @pytest.mark.parametrize("dtype", ["timestamp", "timestamp_ntz"])
 @pytest.mark.parametrize("zone", ["UTC", "Asia/Kolkata"])
 def test_bound_and_column_types(spark, with_conf, start, end, dtype, zone):

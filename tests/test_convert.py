@@ -79,3 +79,9 @@ def test_timestamp_equals_legacy_cast(spark, ansi, with_conf, zone):
     got = values(df, lenient_timestamp(F.col("text")).cast("string"))
     assert got == legacy(spark, with_conf, df, F.to_timestamp("text").cast("string"))
     assert got["INVALID"] is None and got["2022-03-01T05:06:07"] == "2022-03-01 05:06:07"
+
+
+def test_line_separators_after_a_number_are_not_padding(spark):
+    texts = [f"{number}{end}" for number in ("1", "1.5") for end in ("\u0085", "\u2028", "\u2029")]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    assert [r[0] for r in df.select(lenient_int(df.text)).collect()] == [None] * len(texts)

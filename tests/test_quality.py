@@ -1,8 +1,10 @@
+from datetime import datetime
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, IntegerType, StringType, TimestampType
 
-from helpers import BAD_ROWS, QUALITY_INPUT, RUN, assert_rows, assert_same_rows, at, bronze, plan
+from helpers import BAD_ROWS, QUALITY_INPUT, RUN, assert_rows, assert_same_rows, bronze, plan
 from vanewatch import flag_quality, for_run, to_quarantine, to_silver, with_quality
 from vanewatch.operators.quality import RULES
 
@@ -12,7 +14,7 @@ def test_conversion_and_flag(spark, with_conf, ansi):
     with_conf("spark.sql.ansi.enabled", ansi)
     expected = []
     for i, raw in enumerate(QUALITY_INPUT):
-        time = at(raw[0]) if raw[0] and raw[0] != "aaaaaa" else None
+        time = datetime.fromisoformat(raw[0]) if raw[0] and raw[0] != "aaaaaa" else None
         expected.append((*raw, time, 1, 2.0, int(float(raw[3])), 2.3, RUN, i in BAD_ROWS))
     assert_rows(with_quality(bronze(spark, QUALITY_INPUT), RUN), expected)
 
@@ -42,7 +44,7 @@ def test_split(spark):
     quality = with_quality(bronze(spark, QUALITY_INPUT), RUN)
     assert_rows(to_quarantine(quality), [(*QUALITY_INPUT[i], RUN) for i in BAD_ROWS])
     valid = [r for i, r in enumerate(QUALITY_INPUT) if i not in BAD_ROWS]
-    assert_rows(to_silver(quality), [(at(r[0]), 1, 2.0, int(r[3]), 2.3, RUN) for r in valid])
+    assert_rows(to_silver(quality), [(datetime.fromisoformat(r[0]), 1, 2.0, int(r[3]), 2.3, RUN) for r in valid])
     assert to_silver(quality).columns == [
         "telemetry_time", "turbine_id", "wind_speed", "wind_direction", "power_output", "event_id",
     ]

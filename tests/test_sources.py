@@ -1,3 +1,5 @@
+from datetime import datetime
+
 import os
 
 import pytest
@@ -12,7 +14,6 @@ from helpers import (
     START,
     assert_rows,
     assert_same_rows,
-    at,
     bronze,
     plan,
     readings,
@@ -208,7 +209,7 @@ def test_day_statistics_skip_row_groups(spark, folder):
     for day in ("2022-03-01", "2022-03-02", "2022-03-03"):
         store.write("silver", readings(spark, [(f"{day} 12:00:00", 1, 1.0)] * 10).coalesce(1), RUN)
     df = store.read("silver", RUN, period=("2022-03-02", "2022-03-02 23:00:00"))
-    assert_rows(df.select("telemetry_time"), [(at("2022-03-02 12:00:00"),)] * 10)
+    assert_rows(df.select("telemetry_time"), [(datetime.fromisoformat("2022-03-02 12:00:00"),)] * 10)
     df.collect()
     scan = df._jdf.queryExecution().executedPlan()
     while scan.children().size():
@@ -277,7 +278,7 @@ def test_jdbc_reads(spark):
     store = JdbcStore(calls, CONNECTION, splits={"bronze": ["turbine_id < '5'", "turbine_id >= '5' or turbine_id is null"]})
     assert store.read("bronze", RUN).count() == 7
     assert store.read_all("bronze").count() == 14
-    login = {k: v for k, v in CONNECTION.items() if k != "url"}
+    login = {k: v for k, v in CONNECTION.items() if k != "url"} | {"fetchsize": "10000"}
     url, table, options = calls.seen[0]
     assert (url, table) == (CONNECTION["url"], "bronze.wind_turbine_telemetry")
     assert options["properties"] == login and len(options["predicates"]) == 2
@@ -289,8 +290,9 @@ def test_jdbc_reads(spark):
             "upperBound": "2022-03-02", "numPartitions": "8",
         },
     }
-    store.read("silver", RUN)
-    assert calls.seen[-1][2] == {"predicates": None, "properties": login}
+    for period in (None, ("2022-03-02", "2022-03-01")):
+        store.read("silver", RUN, period=period)
+        assert calls.seen[-1][2] == {"predicates": None, "properties": login}
 
 
 def test_jdbc_write(spark, monkeypatch):
@@ -301,3 +303,25 @@ def test_jdbc_write(spark, monkeypatch):
     (url, table, options) = calls.seen[0]
     assert (url, table, options["mode"]) == (CONNECTION["url"], "bronze.wind_turbine_telemetry", "append")
     assert options["properties"]["numPartitions"] == "4" and options["properties"]["batchsize"] == "10000"
+
+
+def test_failed_rerun_keeps_the_old_rows(spark, folder):
+    from pyspark.sql import functions as F
+
+    store = ParquetStore(spark, folder)
+    rows = bronze(spark, [("2022-03-01 00:00:00", "1", "2.0", "1", "2.3")])
+    store.write("bronze", rows, RUN)
+    broken = rows.withColumn("power_output", F.raise_error(F.lit("no")).cast("string"))
+    with pytest.raises(Exception):
+        store.write("bronze", broken, RUN)
+    assert store.read("bronze", RUN).count() == 1
+    store.write("bronze", rows.limit(0), RUN)
+    assert store.read("bronze", RUN).count() == 0
+
+
+def test_write_runs_places_every_run(spark, folder):
+    store = ParquetStore(spark, folder)
+    row = [("2022-03-01 00:00:00", "1", "2.0", "1", "2.3")]
+    store.write_runs("bronze", bronze(spark, row, "a").unionByName(bronze(spark, row * 2, "b")))
+    store.write_runs("bronze", bronze(spark, row * 3, "b"))
+    assert [store.read("bronze", run).count() for run in ("a", "b")] == [1, 3]

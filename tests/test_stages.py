@@ -1,8 +1,10 @@
+from datetime import datetime
+
 from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 
-from helpers import ANALYSIS_INPUT, RUN, assert_rows, at
+from helpers import ANALYSIS_INPUT, RUN, assert_rows
 from vanewatch import ParquetStore, publish, refine, run_pipeline, run_stage
 from vanewatch.__main__ import main, parse
 from vanewatch.schemas import TABLES
@@ -40,7 +42,7 @@ def test_pipeline_and_rerun(spark, store, source):
         run_pipeline(spark, store, source, RUN, *PERIOD)
         assert counts(store) == EXPECTED
     assert_rows(
-        store.read("turbine_power_output_anomaly", RUN), [(at("2022-03-01 16:00:00"), 1, 4.5, RUN)]
+        store.read("turbine_power_output_anomaly", RUN), [(datetime.fromisoformat("2022-03-01 16:00:00"), 1, 4.5, RUN)]
     )
     assert_rows(
         store.read("quarantine", RUN),

@@ -16,12 +16,13 @@ from vanewatch.operators.quality import (
     with_quality,
 )
 from vanewatch.plans.stages import ingest, publish, refine, run_pipeline, run_stage
-from vanewatch.sources.jdbc_store import JdbcStore
+from vanewatch.sources.jdbc_store import JdbcStore, postgres_connection
 from vanewatch.sources.parquet_store import ParquetStore
 from vanewatch.sources.telemetry_csv import read_telemetry_csv, stamp_run
 
 __all__ = [
     "JdbcStore",
+    "postgres_connection",
     "ParquetStore",
     "analyse",
     "anomalies",

@@ -11,7 +11,8 @@ _PAD = r"[\x00-\x20\x7F]*"
 
 # Group 1 is the signed whole part, or a lone "." where there are no whole digits.
 # Possessive quantifiers keep the match linear on long digit strings.
-_WHOLE_PART = rf"^{_PAD}([+-]?(?:[0-9]++|\.(?!\.)))\.?[0-9]*+{_PAD}$"
+# The end is \z: $ would also match before a last line separator such as U+2028.
+_WHOLE_PART = rf"^{_PAD}([+-]?(?:[0-9]++|\.(?!\.)))\.?[0-9]*+{_PAD}\z"
 
 
 def lenient_int(text: Column) -> Column:

@@ -97,7 +97,7 @@ def anomalies(
     """Readings strictly outside the band of their own turbine.
 
     Only turbines whose smallest or largest reading leaves the band can have anomalies, so the others
-    are dropped before the join. When at most ``broadcast_groups`` turbines were read, all bands
+    are dropped before the join. When at most ``broadcast_groups`` turbines are left, their bands
     are broadcast and the readings do not move. Beyond that, a turbine with more than
     ``1 / broadcast_groups`` of the readings counts as heavy: there can be at most
     ``broadcast_groups`` of them, so their bands are broadcast and their readings never shuffled,
@@ -108,8 +108,13 @@ def anomalies(
 
     Counts ``thresholds`` once, which should therefore be a settled frame (see ``analyse``).
     """
+    leaves = F.coalesce(
+        (F.col("min_power_output") < F.col("power_output_anomaly_threshold_min"))
+        | (F.col("max_power_output") > F.col("power_output_anomaly_threshold_max")),
+        F.lit(False),
+    )
     total = thresholds.agg(
-        F.count(F.lit(1)).alias("groups"),
+        F.count_if(leaves).alias("bands"),
         F.sum("readings").alias("rows"),
         F.count_if(F.col("turbine_id").isNull()).alias("unknown"),
     ).first()
@@ -128,7 +133,7 @@ def anomalies(
         found = rows.join(bands, on, "inner").filter(_outside(power, power))
         return found.select(*columns, F.lit(run).cast("string").alias(RUN))
 
-    if total["groups"] <= broadcast_groups:
+    if total["bands"] <= broadcast_groups:
         result = hits(readings, F.broadcast(bands))
     else:
         is_heavy = F.col("b.readings") > F.lit(total["rows"] / broadcast_groups)

@@ -83,6 +83,9 @@ def run_stage(
     path: str | list[str] | None = None,
     start: Bound | None = None,
     end: Bound | None = None,
+    k: float = 2.0,
+    include_time: bool = True,
+    cached: bool | None = None,
 ) -> None:
     """Run one stage by name, checking first that it has what it needs."""
     if mode not in MODES:
@@ -94,11 +97,11 @@ def run_stage(
             raise ValueError("ingest needs a source path")
         ingest(spark, store, path, run)
     elif mode == "transform":
-        refine(spark, store, run)
+        refine(spark, store, run, cached)
     else:
         if not start or not end:
             raise ValueError("publish needs a start and an end")
-        publish(spark, store, run, start, end)
+        publish(spark, store, run, start, end, k, include_time, cached)
 
 
 def run_pipeline(
@@ -108,8 +111,9 @@ def run_pipeline(
     run: str,
     start: Bound,
     end: Bound,
+    **options,
 ) -> None:
-    """All stages of one run, in order. Bad period bounds are reported before any work is done."""
+    """All stages of one run, in order, with the options of ``run_stage``. Bad period bounds are reported before any work is done."""
     period_bounds(spark, start, end)
     for mode in MODES:
-        run_stage(spark, mode, run, store, path=path, start=start, end=end)
+        run_stage(spark, mode, run, store, path=path, start=start, end=end, **options)

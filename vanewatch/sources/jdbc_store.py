@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vanewatch.operators.analysis import Bound
+from vanewatch.operators.analysis import Bound, period_bounds
 from vanewatch.operators.quality import for_run
 from vanewatch.schemas import conform, table_info
 
@@ -38,6 +38,7 @@ class JdbcStore:
         options: dict[str, str],
         connections: int = 8,
         batch_rows: int = 10_000,
+        fetch_rows: int = 10_000,
         splits: dict[str, list[str]] | None = None,
     ):
         if "url" not in options:
@@ -47,6 +48,8 @@ class JdbcStore:
         self.properties = {key: str(value) for key, value in options.items() if key != "url"}
         self.connections = connections
         self.batch_rows = batch_rows
+        # without a fetch size the PostgreSQL driver takes a task's whole result into memory
+        self.properties.setdefault("fetchsize", str(fetch_rows))
         self.splits = splits or {}
 
     def name(self, table: str) -> str:
@@ -74,7 +77,7 @@ class JdbcStore:
         Scans in parallel where ``splits`` or a period on silver tells how.
         """
         options = {}
-        if period and table == "silver" and table not in self.splits:
+        if period and table == "silver" and table not in self.splits and self._in_order(period):
             # text options, as the named arguments of the reader take whole numbers only
             options = {
                 "partitionColumn": "telemetry_time",
@@ -84,6 +87,12 @@ class JdbcStore:
             }
         return for_run(self._scan(table, options), run)
 
+    def _in_order(self, period: tuple[Bound, Bound]) -> bool:
+        """Spark refuses a lower bound above the upper one; such a period has no rows anyway."""
+        spark = SparkSession.active()
+        first, last = period_bounds(spark, *period)
+        return bool(spark.range(1).select((first < last).alias("in_order")).first()["in_order"])
+
     def read_all(self, table: str) -> DataFrame:
         """Rows of every run."""
         return self._scan(table, {})

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,8 +39,9 @@ class ParquetStore:
     """Tables under one root folder: ``<root>/<layer>/<table>/event_id=<run>/``.
 
     A run is written straight into its own folder. Replacing a run therefore needs neither a sort by
-    partition column nor a listing of other runs, and works for an empty result too. The old rows
-    go before the new ones are written: if a job dies in between, run the stage again.
+    partition column nor a listing of other runs, and works for an empty result too. New rows go to a
+    hidden folder beside it, which takes the old one's place once the job has succeeded: a job that
+    fails leaves the run as it was.
     """
 
     # a second pass over columnar files is cheaper than caching a large intermediate frame
@@ -56,18 +59,46 @@ class ParquetStore:
         return f"{self.root}/{layer}/{name}"
 
     def write(self, table: str, df: DataFrame, run: str | None, compact: bool = False) -> None:
-        """Store ``df`` as the rows of ``run``, replacing that run's old rows or adding to them.
+        """Store the rows of ``run`` in ``df``, replacing that run's old rows or adding to them.
 
         ``compact`` evens out file sizes for results that are much smaller than their input.
         """
+        df = self._laid_out(table, for_run(df, run), compact).drop(RUN)
+        folder = f"{self.path(table)}/{partition_folder(run)}"
+        if self.mode == "append":
+            df.write.mode("append").parquet(folder)
+            return
+        fresh = f"{self.path(table)}/_new-{uuid.uuid4().hex}"
+        df.write.parquet(fresh)
+        self._replace(folder, fresh)
+
+    def write_runs(self, table: str, df: DataFrame, compact: bool = False) -> None:
+        """Store every run in ``df`` with one scan of it. Runs that ``df`` has no rows of stay as they are."""
+        mode = "overwrite" if self.mode == "replace" else "append"
+        writer = self._laid_out(table, df, compact).write.mode(mode).partitionBy(RUN)
+        writer.option("partitionOverwriteMode", "dynamic").parquet(self.path(table))
+
+    def _laid_out(self, table: str, df: DataFrame, compact: bool) -> DataFrame:
         df = conform(df, table)
         if table == "silver":
             df = df.withColumn(DAY, utc_day(F.col("telemetry_time")))
-        if compact:
-            df = df.hint("rebalance")
-        df.drop(RUN).write.mode("overwrite" if self.mode == "replace" else "append").parquet(
-            f"{self.path(table)}/{partition_folder(run)}"
-        )
+        return df.hint("rebalance") if compact else df
+
+    def _replace(self, folder: str, fresh: str) -> None:
+        """Put ``fresh`` where ``folder`` is. Between the two renames the run has no rows, but none are lost."""
+        jvm = self.spark.sparkContext._jvm
+        new, target = (jvm.org.apache.hadoop.fs.Path(p) for p in (fresh, folder))
+        old = jvm.org.apache.hadoop.fs.Path(fresh.replace("/_new-", "/_old-"))
+        files = target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        had = files.exists(target)
+        if had and not files.rename(target, old):
+            raise RuntimeError(f"cannot move {folder}; the new rows are in {fresh}")
+        if not files.rename(new, target):
+            if had:
+                files.rename(old, target)
+            raise RuntimeError(f"cannot move {fresh} to {folder}")
+        if had:
+            files.delete(old, True)
 
     def read(
         self, table: str, run: str | None, period: tuple[Bound, Bound] | None = None
@@ -80,7 +111,8 @@ class ParquetStore:
         df = for_run(self._scan(table, f"/{partition_folder(run)}"), run)
         if period and table == "silver":
             first, last = period_bounds(self.spark, *period)
-            df = df.filter(F.col(DAY).between(utc_day(first), utc_day(last)))
+            # files of other writers have no day: their rows stay for in_period to judge
+            df = df.filter(F.col(DAY).isNull() | F.col(DAY).between(utc_day(first), utc_day(last)))
         return df.select(*table_info(table)[2].names)
 
     def read_all(self, table: str) -> DataFrame:
