@@ -155,13 +155,14 @@ def graph_of(texts: list[str]) -> Graph:
             node, word = len(place), match.group()
             place.append((number, match.start(), match.end()))
             features.append(_features([before[-1] if before else "", word, after.group() if after else ""]))
-            if last_end is not None and match.start() - last_end <= 1:
+            neighbours = last_end is not None and match.start() - last_end <= 1
+            if neighbours:
                 chain.append((node - 1, node))
             last_end = match.end()
             # words that hold the same digits, or read alike but for case and marks, are one group
             for key in {re.sub(r"\W+", "", word.lower()), "#" + re.sub(r"[^0-9]+", "", word)}:
                 if len(key) > 4:
-                    if key in alike and alike[key] != node - 1:
+                    if key in alike and not (neighbours and alike[key] == node - 1):
                         skip.append((alike[key], node))
                     alike[key] = node
     text, start, end = np.array(place, np.int64).reshape(-1, 3).T
