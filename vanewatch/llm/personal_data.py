@@ -160,11 +160,11 @@ def graph_of(texts: list[str]) -> Graph:
                 chain.append((node - 1, node))
             last_end = match.end()
             # words that hold the same digits, or read alike but for case and marks, are one group
-            for key in {re.sub(r"\W+", "", word.lower()), "#" + re.sub(r"[^0-9]+", "", word)}:
-                if len(key) > 4:
-                    if key in alike and not (neighbours and alike[key] == node - 1):
-                        skip.append((alike[key], node))
-                    alike[key] = node
+            keys = [k for k in (re.sub(r"\W+", "", word.lower()), "#" + re.sub(r"[^0-9]+", "", word)) if len(k) > 4]
+            for other in sorted({alike[k] for k in keys if k in alike}):
+                if not (neighbours and other == node - 1):
+                    skip.append((other, node))
+            alike |= dict.fromkeys(keys, node)
     text, start, end = np.array(place, np.int64).reshape(-1, 3).T
     width = len(_features(["", "", ""]))
     return Graph(
