@@ -279,13 +279,13 @@ def added_spans(texts: list[str], base: list[list[Span]], field: Field) -> list[
 
 def fit_field(docs: DataFrame, text: str = "text", id_column: str = "doc_id") -> Field:
     """Fits the field on a bounded sample of texts, those with the smallest hash."""
-    sample = (
-        docs.filter(F.col(text).rlike("[0-9@]") & (F.length(text) <= SAMPLE_CHARS))
-        .select(F.col(text).alias("text"), F.xxhash64(text).alias("key"))
-        .orderBy("key")
-        .limit(SAMPLE_TEXTS)
+    rows = docs.filter(F.col(text).rlike("[0-9@]") & (F.length(text) <= SAMPLE_CHARS)).select(
+        F.col(text).alias("text"), F.xxhash64(text).alias("key")
     )
-    texts = sorted({row["text"] for row in sample.collect()})
+    # chosen by hash alone, so that no task and not the driver gathers texts beyond the sample
+    chosen = rows.select("key").distinct().orderBy("key").limit(SAMPLE_TEXTS)
+    sample = rows.join(F.broadcast(chosen), "key", "left_semi").dropDuplicates(["key"])
+    texts = sorted(row["text"] for row in sample.select("text").collect())
     graph = graph_of(texts)
     return Field().fit(graph, labels_of(graph, [base_spans(t) for t in texts]))
 
