@@ -38,13 +38,13 @@ from vanewatch.scratch import shared_dir
 
 try:  # the training-data operators are an optional part
     from vanewatch.llm import queries as llm_queries
-except ModuleNotFoundError as missing:
+except ImportError as missing:
     if not (missing.name or "").startswith("vanewatch.llm"):
         raise
     llm_queries = None
 try:
     import corpus_pipeline
-except ModuleNotFoundError as missing:
+except ImportError as missing:
     if missing.name != "corpus_pipeline" and not (missing.name or "").startswith("vanewatch.llm"):
         raise
     corpus_pipeline = None
