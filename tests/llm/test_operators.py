@@ -211,6 +211,21 @@ def test_ngram_join_equals_brute_force(spark):
     assert [got[i] for i in range(len(texts))] == brute_components(texts)
 
 
+def test_sets_outside_the_largest_component_meet_in_blocks(spark, monkeypatch):
+    # links of one signature's sets that no star finds: every one has to come from the blocks
+    monkeypatch.setattr(ngram_join, "BLOCK_SHINGLES", 1500)
+    texts = near_copies()
+    shingles = ngram_join._set_rows(frame(spark, texts).selectExpr("doc_id as node", "text"), 4)
+    sets = {r["node"]: r["items"] for r in shingles.collect() if r["items"]}
+    members = spark.createDataFrame([(1, n, n) for n in sets], "signature long, node long, component long")
+    sketches = spark.createDataFrame([(n, len(items)) for n, items in sets.items()], "node long, n long")
+    docs = frame(spark, texts).selectExpr("doc_id as node", "text")
+    links = ngram_join._outside_links(members, sketches, docs, 4, 85)
+    got = dict(tuple(r) for r in connected(links).collect())
+    want = brute_components(texts)
+    assert [got.get(n, n) for n in sets] == [want[n][1] for n in sets]
+
+
 def test_similar_sets_share_a_signature():
     for size in (1, 5, 6, 7, 13, 40, 200, 900):
         for _ in range(20):

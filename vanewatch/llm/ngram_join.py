@@ -48,7 +48,7 @@ STAR_ROUNDS = 1
 # Ids that may be broadcast, 16 bytes each.
 BROADCAST_IDS = 1_000_000
 # Shingles of a block of queries, 12 bytes each when broadcast.
-BLOCK_SHINGLES = 2_000_000
+BLOCK_SHINGLES = 1_000_000
 
 
 def _sets(column: pa.Array, shingle_words: int) -> Iterator[np.ndarray]:
@@ -258,26 +258,38 @@ def _outside_links(
     For each set and each other component one link is given at most. All pairs in ``members`` of different
     components are compared, as one of the two is outside the largest.
     """
+    spark = members.sparkSession
+    nothing = spark.createDataFrame([], "a long, b long")
     sizes = members.groupBy("signature", "component").count()
     largest = sizes.groupBy("signature").agg(F.max_by("component", F.struct("count", "component")).alias("main"))
-    outside = settle(members.join(largest, "signature").filter("component <> main").select("signature", "node", "component"))
-    queries = outside.select("node", "component").distinct().join(sketches.select("node", "n"), "node")
-    total = queries.agg(F.sum("n")).first()[0] or 0
-    everyone = settle(members.select("node", "component").distinct())
-    few = everyone.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    outside = settle(members.join(largest, "signature").filter("component <> main").select("signature", "node"))
+    asking = settle(outside.select("node").distinct())
+    total = asking.join(sketches, "node").agg(F.sum("n")).first()[0]
+    if not total:
+        return nothing
+    blocks = math.ceil(total / BLOCK_SHINGLES)
+    block = F.pmod(F.xxhash64("node"), F.lit(blocks)).cast("int")
+    # the blocks that each set has to meet, found for all blocks at once
+    meets = outside.groupBy("signature").agg(F.sort_array(F.collect_set(block)).alias("blocks"))
+    everyone = (
+        members.join(meets, "signature")
+        .groupBy("node")
+        .agg(F.min("component").alias("component"), F.array_distinct(F.flatten(F.collect_set("blocks"))).alias("blocks"))
+    )
+    everyone = settle(everyone.join(asking.withColumn("asks", F.lit(True)), "node", "left"))
+    few = everyone.agg(F.sum(F.size("blocks") + 2)).first()[0] <= BROADCAST_IDS
     rows = _set_rows(restrict(texts, "node", everyone.select("node"), keep=True), shingle_words)
     sets = settle(rows.join(F.broadcast(everyone) if few else everyone, "node"))
-    blocks = math.ceil(total / BLOCK_SHINGLES)
-    block = F.pmod(F.xxhash64("node"), F.lit(max(1, blocks)))
-    found = members.sparkSession.createDataFrame([], "a long, b long")
+    found = nothing
     for number in range(blocks):
-        asked = outside.filter(block == number)
-        query = restrict(sets, "node", settle(asked.select("node").distinct()), keep=True).toArrow()
-        partners = members.join(asked.select("signature").distinct(), "signature", "left_semi")
-        rows = restrict(sets, "node", settle(partners.select("node").distinct()), keep=True)
-        compare = _compare_with(members.sparkSession.sparkContext.broadcast(_lay_out(query)), similar)
-        found = found.unionByName(rows.select("node", "items", "component").mapInArrow(compare, "a long, b long"))
-    return settle(found)
+        query = sets.filter(F.col("asks") & (block == number)).select("node", "items", "component").toArrow()
+        shared = spark.sparkContext.broadcast(_lay_out(query))
+        del query
+        partners = sets.filter(F.array_contains("blocks", number)).select("node", "items", "component")
+        found = found.unionByName(settle(partners.mapInArrow(_compare_with(shared, similar), "a long, b long")))
+        # the links are in the shared folder, so the driver holds one block at a time
+        shared.destroy()
+    return found
 
 
 def _lay_out(query: pa.Table) -> tuple[np.ndarray, ...]:
