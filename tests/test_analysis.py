@@ -98,6 +98,17 @@ def test_bad_and_reversed_bounds(spark):
     assert [part.count() for part in analyse(df, RUN, END, START)] == [0, 0]
 
 
+@pytest.mark.parametrize("bound", ["2022-03-01 13:00:00+02:00", "2022-03-01T13:00:00Z", "2022-03-01 13:00:00.5 Asia/Kolkata"])
+def test_zoned_bound_needs_a_zoned_column(spark, bound):
+    df = readings(spark, ANALYSIS_INPUT)
+    assert in_period(df, bound, "2022-03-03").count() > 0
+    for plain in ("2022-03-01", "2022-03-01 13:00", "2022-03-01T13:00:00.25"):
+        zoneless = df.withColumn("telemetry_time", F.col("telemetry_time").cast("timestamp_ntz"))
+        assert in_period(zoneless, plain, "2022-03-03").count() > 0
+        with pytest.raises(ValueError):
+            in_period(zoneless, plain, bound)
+
+
 def test_one_reading_constant_and_null(spark):
     assert powers(spark, 5) == []
     assert powers(spark, *[3.0] * 8) == []

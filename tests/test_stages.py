@@ -6,7 +6,7 @@ import pytest
 
 from helpers import ANALYSIS_INPUT, RUN, assert_rows
 from vanewatch import ParquetStore, publish, refine, run_pipeline, run_stage
-from vanewatch.__main__ import main, parse
+from vanewatch.__main__ import main, parse, splits_of
 from vanewatch.schemas import TABLES
 
 HEADER = "timestamp,turbine_id,wind_speed,wind_direction,power_output\n"
@@ -134,6 +134,20 @@ def test_bad_period_is_reported_before_any_work(spark, store, source):
     assert store.read("bronze", RUN).isEmpty()
 
 
+def test_command_line_options(spark, store, source):
+    main([
+        "all", RUN, "--store", store.root, "--source", source, "--start", PERIOD[0], "--end", PERIOD[1],
+        "--k", "2.5", "--without-time", "--append",
+    ])
+    assert counts(store) == EXPECTED | {"turbine_power_output_anomaly": 0}
+    main(["publish", RUN, "--store", store.root, "--start", PERIOD[0], "--end", PERIOD[1], "--without-time"])
+    assert_rows(store.read("turbine_power_output_anomaly", RUN), [(None, 1, 4.5, RUN)])
+    args = parse(["transform", RUN, "--jdbc-url", "u", "--split", "bronze:a < 1", "--split", "bronze:a >= 1 or a is null"])
+    assert splits_of(args.split) == {"bronze": ["a < 1", "a >= 1 or a is null"]}
+    with pytest.raises(SystemExit):
+        parse(["transform", RUN, "--jdbc-url", "u", "--split", "bronze"])
+
+
 def test_command_line(spark, store, source):
     main(["all", RUN, "--store", store.root, "--source", source, "--start", PERIOD[0], "--end", PERIOD[1]])
     assert counts(store) == EXPECTED

@@ -30,29 +30,56 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--source", help="CSV file or folder, for ingest")
     parser.add_argument("--start", help="first time of the period, for publish")
     parser.add_argument("--end", help="last time of the period, for publish")
+    parser.add_argument("--k", type=float, default=2.0, help="standard deviations that make an anomaly")
+    parser.add_argument("--without-time", action="store_true", help="store anomalies without their time")
+    parser.add_argument("--append", action="store_true", help="add to a run in parquet tables instead of replacing it")
+    parser.add_argument("--connections", type=int, default=8, help="JDBC connections at the same time")
+    parser.add_argument("--fetch-rows", type=int, default=10_000, help="rows of one JDBC fetch")
+    parser.add_argument(
+        "--split", action="append", default=[], metavar="TABLE:CONDITION",
+        help="one of the disjoint conditions that divide a JDBC scan of a table; repeat it for each",
+    )
     args = parser.parse_args(argv)
     if args.mode in ("ingest", "all") and not args.source:
         parser.error("--source is required")
     if args.mode in ("publish", "all") and not (args.start and args.end):
         parser.error("--start and --end are required")
+    if not all(":" in split for split in args.split):
+        parser.error("--split needs TABLE:CONDITION")
     return args
 
 
+def splits_of(parts: list[str]) -> dict[str, list[str]]:
+    """Conditions by table."""
+    found: dict[str, list[str]] = {}
+    for part in parts:
+        table, condition = part.split(":", 1)
+        found.setdefault(table, []).append(condition)
+    return found
+
+
 def main(argv: list[str] | None = None) -> None:
     args = parse(argv)
     spark = SparkSession.builder.appName(f"vanewatch {args.mode}").getOrCreate()
     if args.store:
-        store = ParquetStore(spark, args.store)
+        store = ParquetStore(spark, args.store, mode="append" if args.append else "replace")
     else:
         options = {"url": args.jdbc_url, "driver": args.driver}
         if args.user:
             options |= {"user": args.user, "password": os.environ.get("JDBC_PASSWORD", "")}
-        store = JdbcStore(spark, options)
+        store = JdbcStore(
+            spark,
+            options,
+            connections=args.connections,
+            fetch_rows=args.fetch_rows,
+            splits=splits_of(args.split),
+        )
+    how = {"k": args.k, "include_time": not args.without_time}
     if args.mode == "all":
-        run_pipeline(spark, store, args.source, args.run, args.start, args.end)
+        run_pipeline(spark, store, args.source, args.run, args.start, args.end, **how)
     else:
         run_stage(
-            spark, args.mode, args.run, store, path=args.source, start=args.start, end=args.end
+            spark, args.mode, args.run, store, path=args.source, start=args.start, end=args.end, **how
         )
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,7 +24,8 @@ def period_bounds(
 ) -> tuple[Column, Column]:
     """Both bounds as literals of the given timestamp type; ``ValueError`` if one cannot be read.
 
-    A date-time without a zone means the session time zone, as text does.
+    A date-time without a zone means the session time zone, as text does. A bound with a zone cannot be
+    compared with a zone-less column and is refused there.
     """
     for bound in (start, end):
         if not isinstance(bound, (str, datetime, date)):
@@ -37,9 +39,19 @@ def period_bounds(
     for bound, is_readable in zip((start, end), readable):
         if not is_readable:
             raise ValueError(f"not a timestamp: {bound!r}")
+    if dtype != TimestampType():
+        zoned = [bound for bound in (start, end) if _has_zone(str(bound))]
+        if zoned:
+            raise ValueError(f"{zoned[0]!r} has a zone, but the column has none")
     return F.lit(str(start)).cast(dtype), F.lit(str(end)).cast(dtype)
 
 
+def _has_zone(bound: str) -> bool:
+    """Whether anything follows the digits of a time: an offset, ``Z`` or the name of a zone."""
+    time = re.search(r"[T ]\s*\d{1,2}(:\d{1,2}){0,2}(\.\d*)?(.*)$", bound.strip(), re.S)
+    return bool(time and time.group(3).strip())
+
+
 def in_period(df: DataFrame, start: Bound, end: Bound, column: str = "telemetry_time") -> DataFrame:
     """Rows from ``start`` to ``end``, both included."""
     bounds = period_bounds(df.sparkSession, start, end, df.schema[column].dataType)
