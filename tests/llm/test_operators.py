@@ -262,6 +262,18 @@ def test_decontamination_finds_changed_items(spark):
     assert decontaminate.find_contamination(frame(spark, texts), bench.limit(0)).count() == 0
 
 
+def test_windows_in_parts_give_the_same_places(monkeypatch):
+    bodies = [words(n) for n in (15, 24, 200)]
+    items = decontaminate.prepare([*enumerate(bodies), (9, None)])
+    texts = [None, "", words(300)]
+    for body in bodies:
+        texts += [body, f"{words(50)} {body} {words(50)} {body}"]
+    column = pa.array(texts, pa.string())
+    whole = decontaminate.find_items(column, items)
+    monkeypatch.setattr(decontaminate, "WINDOW_WORDS", 5000)
+    assert decontaminate.find_items(column, items) == whole and len(whole) == 9
+
+
 def test_repeats_equal_brute_force(spark):
     passage, other = words(140), words(110)
     texts = [None, "", "é" * 450, words(500), f"{words(20)} {passage} {words(20)}", f"{passage} {words(9)}", words(90)]

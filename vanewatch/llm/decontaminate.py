@@ -34,6 +34,8 @@ WALKS, TABLES, PLACES = 4, 6, 3
 STEPS_PER_WORD = 3
 # Items of a block, about 1 kB each when broadcast.
 BLOCK_ITEMS = 20_000
+# Words of the windows that are embedded at a time, 8 bytes each.
+WINDOW_WORDS = 1 << 20
 PAD = ta.U64(0xFFFF_FFFF_FFFF_FFFB)
 SCHEMA = "doc_id long, item_id long, distance int, item_words int, first_word long, last_word long"
 
@@ -183,29 +185,42 @@ def find_items(column: pa.Array, items: Items) -> list[tuple[int, int, int, int,
     """Row, item, distance, first word and end of every place in a batch of texts."""
     texts: dict[int, np.ndarray] = {}  # the words of those texts that have windows
     windows: dict[int, list[tuple[np.ndarray, np.ndarray, np.ndarray]]] = {}
+    candidates: dict[tuple[int, int], set[int]] = {}
+    held = 0
+
+    def look_up() -> None:
+        for n, parts in windows.items():
+            content, owner, start = (np.concatenate(x) for x in zip(*parts))
+            table, numbers = items.tables[n]
+            keys = embed(content)
+            which, entry = _expand(table, keys.reshape(-1))
+            which //= keys.shape[1]
+            for own, number, at in set(zip(owner[which].tolist(), numbers[entry].tolist(), start[which].tolist())):
+                candidates.setdefault((own, number), set()).add(at)
+        windows.clear()
+
     for row, tokens, first in _words(column):
         padded = None
         for n, starts in _windows(tokens, items).items():
             starts = starts[starts < len(tokens)]
-            owner = np.searchsorted(first, starts, side="right") - 1
+            owners = np.searchsorted(first, starts, side="right") - 1
             if padded is None:
                 padded = np.append(tokens, PAD)
-            # a window reads no words of the next text
-            places = starts[:, None] + np.arange(n)[None, :]
-            places[places >= first[owner + 1][:, None]] = len(tokens)
-            windows.setdefault(n, []).append((padded[places], row + owner, starts - first[owner]))
-            for own in np.unique(owner).tolist():
+            for own in np.unique(owners).tolist():
                 texts.setdefault(row + own, tokens[first[own] : first[own + 1]].copy())
-    candidates: dict[tuple[int, int], set[int]] = {}
-    for n, parts in windows.items():
-        content, owner, start = (np.concatenate(x) for x in zip(*parts))
-        table, numbers = items.tables[n]
-        for low in range(0, len(start), 1 << 14):
-            keys = embed(content[low : low + (1 << 14)])
-            which, entry = _expand(table, keys.reshape(-1))
-            which = low + which // keys.shape[1]
-            for own, number, at in set(zip(owner[which].tolist(), numbers[entry].tolist(), start[which].tolist())):
-                candidates.setdefault((own, number), set()).add(at)
+            # a long item has many windows, each as long as itself, so they are laid out in parts
+            step = max(1, WINDOW_WORDS // n)
+            for low in range(0, len(starts), step):
+                start, owner = starts[low : low + step], owners[low : low + step]
+                # a window reads no words of the next text
+                places = start[:, None] + np.arange(n)[None, :]
+                places[places >= first[owner + 1][:, None]] = len(tokens)
+                windows.setdefault(n, []).append((padded[places], row + owner, start - first[owner]))
+                held += places.size
+                if held >= WINDOW_WORDS:
+                    look_up()
+                    held = 0
+    look_up()
     out = []
     for (own, number), starts in sorted(candidates.items()):
         item, words = items.words[number], texts[own]
