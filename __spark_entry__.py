@@ -106,8 +106,8 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def new_store(spark: SparkSession) -> ParquetStore:
-    return ParquetStore(spark, new_folder(spark, "tables"))
+def new_store(spark: SparkSession, **options) -> ParquetStore:
+    return ParquetStore(spark, new_folder(spark, "tables"), **options)
 
 
 def loaded_store(spark: SparkSession, sf_dir: str) -> ParquetStore:
@@ -319,6 +319,21 @@ def summary_store(spark, sf_dir):
     return rounded(store.read("summary_statistics", RUN), "mean_power_output")
 
 
+def _daily_store(spark, sf_dir) -> ParquetStore:
+    store = new_store(spark, daily=True)
+    store.write("silver", silver(spark, sf_dir), RUN)
+    publish(spark, store, RUN, START, END, include_time=False)
+    return store
+
+
+def power_anomalies_daily(spark, sf_dir):
+    return _daily_store(spark, sf_dir).read("turbine_power_output_anomaly", RUN).drop("telemetry_time")
+
+
+def summary_daily(spark, sf_dir):
+    return rounded(_daily_store(spark, sf_dir).read("summary_statistics", RUN), "mean_power_output")
+
+
 def publish_job(spark, sf_dir):
     store = new_store(spark)
     store.write_runs("silver", to_silver(flag_quality(bronze(spark, sf_dir))))
@@ -377,6 +392,8 @@ def telemetry_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "power_anomalies_many_turbines": power_anomalies_many_turbines,
         "power_anomalies_stored": power_anomalies_stored,
         "summary_store": summary_store,
+        "power_anomalies_daily": power_anomalies_daily,
+        "summary_daily": summary_daily,
         "publish_job": publish_job,
         "telemetry_pipeline": telemetry_pipeline,
         "events_anomalies": events_anomalies,
@@ -493,6 +510,8 @@ def oracle_sql() -> dict[str, str]:
         "power_anomalies_many_turbines": anomalies_sql,
         "power_anomalies_stored": "select turbine_id, power_output, event_id from anomalies",
         "summary_store": summary_sql,
+        "power_anomalies_daily": "select turbine_id, power_output, event_id from anomalies",
+        "summary_daily": summary_sql,
         "publish_job": f""", per_run as (
  select event_id, turbine_id, avg(power_output) as m, stddev_samp(power_output) as s from typed_runs
  where telemetry_time between timestamp '{START}' and timestamp '{END}' group by event_id, turbine_id

@@ -325,3 +325,40 @@ def test_write_runs_places_every_run(spark, folder):
     store.write_runs("bronze", bronze(spark, row, "a").unionByName(bronze(spark, row * 2, "b")))
     store.write_runs("bronze", bronze(spark, row * 3, "b"))
     assert [store.read("bronze", run).count() for run in ("a", "b")] == [1, 3]
+
+
+def test_daily_silver_is_pruned_by_folder(spark, folder):
+    store = ParquetStore(spark, folder, daily=True)
+    # not in time order: each task holds every day
+    days = [f"2022-03-0{d}" for d in range(1, 6)]
+    rows = [(f"{day} 12:00:00", turbine, 1.0) for turbine in range(4) for day in days]
+    store.write("silver", readings(spark, rows).repartition(4), RUN)
+    assert_same_rows(store.read("silver", RUN), readings(spark, rows))
+    df = store.read("silver", RUN, period=("2022-03-02", "2022-03-02 23:00:00"))
+    assert_rows(df.select("telemetry_time"), [(datetime.fromisoformat("2022-03-02 12:00:00"),)] * 4)
+    filters = next(line for line in plan(df).splitlines() if "PartitionFilters" in line)
+    assert "telemetry_day" in filters.split("PartitionFilters", 1)[1].split("PushedFilters")[0]
+    # a reader without the option finds the same, and a rerun leaves no old day
+    assert ParquetStore(spark, folder).read_all("silver").count() == 20
+    store.write("silver", readings(spark, rows[:1]), RUN)
+    assert store.read("silver", RUN).count() == 1
+    store.write("silver", readings(spark, []), RUN)
+    assert store.read("silver", RUN).count() == 0
+
+
+@pytest.mark.parametrize("mode, left", [("replace", [2, 1, 1]), ("append", [2, 3, 1])])
+def test_daily_silver_of_many_runs(spark, folder, mode, left):
+    store = ParquetStore(spark, folder, mode, daily=True)
+    rows = [("2022-03-01 12:00:00", 1, 1.0), ("2022-03-02 12:00:00", 1, 1.0)]
+    store.write_runs("silver", readings(spark, rows, "a").unionByName(readings(spark, rows, "b/c")))
+    store.write_runs("silver", readings(spark, rows[:1], "b/c").unionByName(readings(spark, rows[:1], None)))
+    assert [store.read("silver", run).count() for run in ("a", "b/c", None)] == left
+    assert store.read_all("silver").count() == sum(left)
+
+
+def test_jdbc_write_takes_its_run(spark, monkeypatch):
+    frames = []
+    df = bronze(spark, QUALITY_INPUT).unionByName(bronze(spark, QUALITY_INPUT, "other"))
+    monkeypatch.setattr(type(df), "write", property(lambda self: frames.append(self) or Calls()))
+    JdbcStore(spark, CONNECTION).write("bronze", df, RUN)
+    assert_same_rows(frames[0], conform(bronze(spark, QUALITY_INPUT), "bronze"))

@@ -33,6 +33,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--k", type=float, default=2.0, help="standard deviations that make an anomaly")
     parser.add_argument("--without-time", action="store_true", help="store anomalies without their time")
     parser.add_argument("--append", action="store_true", help="add to a run in parquet tables instead of replacing it")
+    parser.add_argument("--daily", action="store_true", help="lay silver out by day in parquet tables")
     parser.add_argument("--connections", type=int, default=8, help="JDBC connections at the same time")
     parser.add_argument("--fetch-rows", type=int, default=10_000, help="rows of one JDBC fetch")
     parser.add_argument(
@@ -62,7 +63,7 @@ def main(argv: list[str] | None = None) -> None:
     args = parse(argv)
     spark = SparkSession.builder.appName(f"vanewatch {args.mode}").getOrCreate()
     if args.store:
-        store = ParquetStore(spark, args.store, mode="append" if args.append else "replace")
+        store = ParquetStore(spark, args.store, mode="append" if args.append else "replace", daily=args.daily)
     else:
         options = {"url": args.jdbc_url, "driver": args.driver}
         if args.user:

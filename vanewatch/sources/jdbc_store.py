@@ -57,8 +57,11 @@ class JdbcStore:
         return f"{layer}.{name}"
 
     def write(self, table: str, df: DataFrame, run: str | None, compact: bool = False) -> None:
-        """Append ``df``; the run id is the one in its rows, and ``compact`` has no meaning here."""
-        conform(df, table).write.jdbc(
+        """Append the rows of ``run`` in ``df``; ``compact`` has no meaning here.
+
+        No more than ``connections`` tasks write, and without a shuffle before them they also compute ``df``.
+        """
+        conform(for_run(df, run), table).write.jdbc(
             self.url,
             self.name(table),
             mode="append",

@@ -42,17 +42,22 @@ class ParquetStore:
     partition column nor a listing of other runs, and works for an empty result too. New rows go to a
     hidden folder beside it, which takes the old one's place once the job has succeeded: a job that
     fails leaves the run as it was.
+
+    With ``daily``, a run's silver is laid out in one folder per UTC day, so that a period reads the
+    folders of its days alone, whatever the order of the input. That costs one shuffle when silver is
+    written. All runs of a store have to be written the same way; reading needs no option.
     """
 
     # a second pass over columnar files is cheaper than caching a large intermediate frame
     cheap_rescan = True
 
-    def __init__(self, spark: SparkSession, root: str, mode: str = "replace"):
+    def __init__(self, spark: SparkSession, root: str, mode: str = "replace", daily: bool = False):
         if mode not in ("replace", "append"):
             raise ValueError(f"unknown mode {mode!r}, expected replace or append")
         self.spark = spark
         self.root = root.rstrip("/")
         self.mode = mode
+        self.daily = daily
 
     def path(self, table: str) -> str:
         layer, name, _ = table_info(table)
@@ -66,30 +71,53 @@ class ParquetStore:
         df = self._laid_out(table, for_run(df, run), compact).drop(RUN)
         folder = f"{self.path(table)}/{partition_folder(run)}"
         if self.mode == "append":
-            df.write.mode("append").parquet(folder)
+            df.write.mode("append").partitionBy(*self._days(table)).parquet(folder)
             return
         fresh = f"{self.path(table)}/_new-{uuid.uuid4().hex}"
-        df.write.parquet(fresh)
+        df.write.partitionBy(*self._days(table)).parquet(fresh)
         self._replace(folder, fresh)
 
     def write_runs(self, table: str, df: DataFrame, compact: bool = False) -> None:
         """Store every run in ``df`` with one scan of it. Runs that ``df`` has no rows of stay as they are."""
-        mode = "overwrite" if self.mode == "replace" else "append"
-        writer = self._laid_out(table, df, compact).write.mode(mode).partitionBy(RUN)
-        writer.option("partitionOverwriteMode", "dynamic").parquet(self.path(table))
+        days = self._days(table)
+        writer = self._laid_out(table, df, compact).write.partitionBy(RUN, *days)
+        if self.mode == "append":
+            writer.mode("append").parquet(self.path(table))
+        elif not days:
+            writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(self.path(table))
+        else:
+            # a run's old days that have no new rows must go too, so whole runs change places
+            fresh = f"{self.path(table)}/_new-{uuid.uuid4().hex}"
+            writer.parquet(fresh)
+            files, path = self._files(fresh)
+            for run in files.listStatus(path):
+                name = run.getPath().getName()
+                if run.isDirectory() and name.startswith(f"{RUN}="):
+                    self._replace(f"{self.path(table)}/{name}", f"{fresh}/{name}")
+            files.delete(path, True)
+
+    def _days(self, table: str) -> list[str]:
+        return [DAY] if self.daily and table == "silver" else []
 
     def _laid_out(self, table: str, df: DataFrame, compact: bool) -> DataFrame:
         df = conform(df, table)
         if table == "silver":
             df = df.withColumn(DAY, utc_day(F.col("telemetry_time")))
+        if self._days(table):
+            # few files for each day; a day with much of the input is split
+            return df.hint("rebalance", RUN, DAY)
         return df.hint("rebalance") if compact else df
 
+    def _files(self, folder: str):
+        """The file system of a folder, and its path there."""
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), path
+
     def _replace(self, folder: str, fresh: str) -> None:
         """Put ``fresh`` where ``folder`` is. Between the two renames the run has no rows, but none are lost."""
-        jvm = self.spark.sparkContext._jvm
-        new, target = (jvm.org.apache.hadoop.fs.Path(p) for p in (fresh, folder))
-        old = jvm.org.apache.hadoop.fs.Path(fresh.replace("/_new-", "/_old-"))
-        files = target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        files, target = self._files(folder)
+        _, new = self._files(fresh)
+        _, old = self._files(f"{folder.rsplit('/', 1)[0]}/_old-{uuid.uuid4().hex}")
         had = files.exists(target)
         if had and not files.rename(target, old):
             raise RuntimeError(f"cannot move {folder}; the new rows are in {fresh}")
