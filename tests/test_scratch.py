@@ -1,8 +1,9 @@
+import glob
 from types import SimpleNamespace
 
 import pytest
 
-from vanewatch.scratch import settle, shared_dir
+from vanewatch.scratch import settle, settled, shared_dir
 
 
 def session(master, setting=None, current=None):
@@ -39,3 +40,13 @@ def test_settled_rows_do_not_depend_on_their_source(spark, folder):
     assert "FileScan" not in settled._jdf.queryExecution().executedPlan().toString()
     spark.range(9).write.mode("overwrite").parquet(folder + "/a")
     assert settled.count() == 5
+
+
+def test_settled_rows_are_removed_in_the_end(spark):
+    pattern = f"{shared_dir(spark).removeprefix('file:').replace('//', '/')}/settled-*"
+    before = set(glob.glob(pattern))
+    with pytest.raises(KeyError):
+        with settled(spark.range(5)) as rows:
+            assert rows.count() == 5 and len(set(glob.glob(pattern)) - before) == 1
+            raise KeyError
+    assert set(glob.glob(pattern)) == before

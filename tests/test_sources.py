@@ -295,6 +295,11 @@ def test_jdbc_reads(spark):
         assert calls.seen[-1][2] == {"predicates": None, "properties": login}
 
 
+def test_jdbc_scan_in_one_task_warns(spark):
+    with pytest.warns(UserWarning, match="splits"):
+        JdbcStore(Calls(bronze(spark, [])), CONNECTION).read("bronze", RUN)
+
+
 def test_jdbc_write(spark, monkeypatch):
     calls = Calls()
     df = bronze(spark, QUALITY_INPUT)

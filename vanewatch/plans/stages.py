@@ -17,7 +17,7 @@ from vanewatch.operators.analysis import (
     turbine_statistics,
 )
 from vanewatch.operators.quality import to_quarantine, to_silver, with_quality
-from vanewatch.scratch import settle
+from vanewatch.scratch import settled
 from vanewatch.sources.telemetry_csv import read_telemetry_csv, stamp_run
 
 MODES = ("ingest", "transform", "publish")
@@ -69,10 +69,10 @@ def publish(
     silver = store.read("silver", run, period=(start, end))
     readings = period_readings(silver, run, start, end)
     with _reused(readings, not store.cheap_rescan if cached is None else cached) as readings:
-        statistics = settle(turbine_statistics(readings))
-        store.write("summary_statistics", summary(statistics, run), run)
-        found = anomalies(readings, anomaly_thresholds(statistics, k), run, include_time)
-        store.write("turbine_power_output_anomaly", found, run, compact=True)
+        with settled(turbine_statistics(readings)) as statistics:
+            store.write("summary_statistics", summary(statistics, run), run)
+            found = anomalies(readings, anomaly_thresholds(statistics, k), run, include_time)
+            store.write("turbine_power_output_anomaly", found, run, compact=True)
 
 
 def run_stage(

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,3 +29,16 @@ def settle(df: DataFrame) -> DataFrame:
     """Compute ``df`` once and continue from its rows in the shared folder."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+@contextmanager
+def settled(df: DataFrame) -> Iterator[DataFrame]:
+    """As ``settle``, but the rows are removed from the shared folder in the end."""
+    spark = df.sparkSession
+    folder = f"{shared_dir(spark)}/settled-{uuid.uuid4().hex}"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    try:
+        df.write.parquet(folder)
+        yield spark.read.schema(df.schema).parquet(folder)
+    finally:
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame, SparkSession
 
 from vanewatch.operators.analysis import Bound, period_bounds
@@ -101,6 +103,8 @@ class JdbcStore:
         return self._scan(table, {})
 
     def _scan(self, table: str, options: dict[str, str]) -> DataFrame:
+        if table == "bronze" and table not in self.splits:
+            warnings.warn("bronze is read by a single task: name its splits", stacklevel=3)
         return self.spark.read.jdbc(
             self.url,
             self.name(table),
