@@ -24,7 +24,7 @@ from vanewatch import (
     publish,
     refine,
     run_pipeline,
-    run_stage,
+    run_stage_of_runs,
     stamp_run,
     to_quarantine,
     to_silver,
@@ -215,8 +215,7 @@ def quarantine_rows(spark, sf_dir):
 def refine_split(spark, sf_dir):
     store = new_store(spark)
     store.write_runs("bronze", bronze(spark, sf_dir))
-    for run in run_ids(store.read_all("bronze")):
-        run_stage(spark, "transform", run, store)
+    run_stage_of_runs(spark, "transform", run_ids(store.read_all("bronze")), store)
     parts = [
         store.read_all(table).groupBy("event_id").agg(F.count("*").alias("n")).withColumn("t", F.lit(table))
         for table in ("bronze", "silver", "quarantine")
@@ -337,8 +336,7 @@ def summary_daily(spark, sf_dir):
 def publish_job(spark, sf_dir):
     store = new_store(spark)
     store.write_runs("silver", to_silver(flag_quality(bronze(spark, sf_dir))))
-    for run in run_ids(store.read_all("silver")):
-        run_stage(spark, "publish", run, store, start=START, end=END)
+    run_stage_of_runs(spark, "publish", run_ids(store.read_all("silver")), store, start=START, end=END)
     turbines = store.read_all("summary_statistics").groupBy("event_id").agg(F.count("*").alias("turbines"))
     found = store.read_all("turbine_power_output_anomaly").groupBy("event_id").agg(F.count("*").alias("anomalies"))
     return turbines.join(found, "event_id", "left").fillna(0, ["anomalies"])

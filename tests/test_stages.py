@@ -5,7 +5,7 @@ from concurrent.futures import ThreadPoolExecutor
 import pytest
 
 from helpers import ANALYSIS_INPUT, RUN, assert_rows
-from vanewatch import ParquetStore, publish, refine, run_pipeline, run_stage
+from vanewatch import ParquetStore, publish, refine, run_pipeline, run_stage, run_stage_of_runs
 from vanewatch.__main__ import main, parse, splits_of
 from vanewatch.schemas import TABLES
 
@@ -60,6 +60,16 @@ def test_runs_at_the_same_time(spark, store, source):
     assert store.read_all("bronze").count() == 3 * EXPECTED["bronze"]
 
 
+def test_stage_of_many_runs(spark, store, source):
+    for run in ("r1", "r2"):
+        run_stage(spark, "ingest", run, store, path=source)
+    run_stage_of_runs(spark, "transform", ["r1", "r2"], store)
+    # one run fails, the others are published all the same
+    with pytest.raises(ValueError, match="run id"):
+        run_stage_of_runs(spark, "publish", ["r1", "", "r2"], store, start=PERIOD[0], end=PERIOD[1])
+    assert [counts(store, run) for run in ("r1", "r2")] == [EXPECTED] * 2
+
+
 def test_append_doubles(spark, store, source):
     store.mode = "append"
     run_stage(spark, "ingest", RUN, store, path=source)

@@ -15,7 +15,7 @@ from vanewatch.operators.quality import (
     to_silver,
     with_quality,
 )
-from vanewatch.plans.stages import ingest, publish, refine, run_pipeline, run_stage
+from vanewatch.plans.stages import ingest, publish, refine, run_pipeline, run_stage, run_stage_of_runs
 from vanewatch.sources.jdbc_store import JdbcStore, postgres_connection
 from vanewatch.sources.parquet_store import ParquetStore
 from vanewatch.sources.telemetry_csv import read_telemetry_csv, stamp_run
@@ -36,6 +36,7 @@ __all__ = [
     "refine",
     "run_pipeline",
     "run_stage",
+    "run_stage_of_runs",
     "stamp_run",
     "summary",
     "to_quarantine",

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from vanewatch.operators.analysis import (
@@ -104,6 +106,20 @@ def run_stage(
         publish(spark, store, run, start, end, k, include_time, cached)
 
 
+def run_stage_of_runs(
+    spark: SparkSession, mode: str, runs: Iterable[str], store, at_once: int = 4, **options
+) -> None:
+    """One stage of many runs, ``at_once`` of them at the same time, so that small runs fill the cluster.
+
+    Takes the options of ``run_stage``. The other runs are finished before the error of a failed one is raised.
+    """
+    stage = inheritable_thread_target(spark)(run_stage)
+    with ThreadPoolExecutor(at_once) as pool:
+        started = [pool.submit(stage, spark, mode, run, store, **options) for run in runs]
+    for one in started:
+        one.result()
+
+
 def run_pipeline(
     spark: SparkSession,
     store,
