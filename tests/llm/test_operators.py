@@ -2,6 +2,7 @@
 
 import glob
 import hashlib
+import math
 import os
 import random
 import re
@@ -120,6 +121,35 @@ def test_quality_counts(spark):
     assert rows[3]["n_words"] == 0 and not rows[3]["kept"] and rows[2]["score"] > rows[0]["score"]
 
 
+@pytest.mark.parametrize("broadcast", [1_000_000, 20])
+def test_quality_scores_equal_brute_force(spark, monkeypatch, broadcast):
+    """Every word and pair has counts of its own, broadcast or joined by key; the own share of a trusted text is left out."""
+    monkeypatch.setattr(quality_ratio, "BROADCAST_GRAMS", broadcast)
+    draw = random.Random(7)
+    texts = [" ".join(draw.choice("abcdefgh") * draw.randint(1, 9) for _ in range(draw.randint(0, 40))) for _ in range(60)]
+    texts += [texts[0], texts[1], None]
+    trusted = set(range(0, 40, 2))
+    grams = [Counter(t.split() + list(zip(t.split(), t.split()[1:]))) for t in (t or "" for t in texts)]
+    corpus, target = sum(grams, Counter()), sum((grams[i] for i in trusted), Counter())
+    share = target.total() / corpus.total()
+    ids = spark.createDataFrame([(i,) for i in trusted], "doc_id long")
+    got = {r["doc_id"]: r["score"] for r in quality_ratio.score_documents(frame(spark, texts), ids).collect()}
+    assert len(got) == len(texts) and got[62] is None
+    for i, own in enumerate(grams):
+        if own:
+            ratio = {g: math.log(((target[g] - (n if i in trusted else 0)) / share + 1) / (corpus[g] + 1)) for g, n in own.items()}
+            assert got[i] == pytest.approx(sum(n * ratio[g] for g, n in own.items()) / own.total())
+
+
+def test_quality_separates_labelled_documents(spark):
+    sf = SF.replace("sf0.001", "sf0.01")
+    labels = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "quality")
+    scored = queries.op1_quality_rules(spark, sf).join(labels, "doc_id").filter("not base_failed").cache()
+    bad, good = (scored.filter(f"quality = {q}") for q in (0, 1))
+    assert bad.filter("not kept").count() >= 0.95 * bad.count() > 0
+    assert good.filter("kept").count() >= 0.95 * good.count() > 0
+
+
 def test_repeated_words_equal_brute_force(spark):
     texts = [" ".join(rng.choice("ab") for _ in range(rng.randint(0, 30))) for _ in range(200)]
     df = frame(spark, texts).select("doc_id", quality_ratio.repeated_words(F.split("text", " ")).alias("n"))
