@@ -14,6 +14,9 @@ from vanewatch.llm.source_mix import mix_sources
 from vanewatch.llm.toxicity import THRESHOLD, fit_network, score_texts
 from vanewatch.scratch import settle, shared_dir
 
+# near copies in a corpus: similarity in hundredths of the sets of so many words; the query of the operator has its own
+COPY_WORDS, COPY_SIMILAR = 5, 80
+
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that the network rejects."""
@@ -30,7 +33,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps of each group of near copies the document with the smallest id."""
-    groups = settle(group_similar(docs))
+    groups = settle(group_similar(docs, shingle_words=COPY_WORDS, similar=COPY_SIMILAR))
     copies = settle(groups.filter("doc_id <> component_id").select("doc_id").distinct())
     kept = restrict(docs, "doc_id", copies, keep=False)
     # rows that repeat an id are the same document

@@ -241,6 +241,35 @@ def test_ngram_join_equals_brute_force(spark):
     assert [got[i] for i in range(len(texts))] == brute_components(texts)
 
 
+def test_stage_drops_copies_of_five_words_and_four_fifths(spark):
+    draw = random.Random(11)
+
+    def text(n):
+        return ["".join(draw.choice("abcdefghij") for _ in range(4)) for _ in range(n)]
+
+    texts = []
+    for size in (1, 3, 5, 6, 9, 14, 30, 80, 300):
+        root = text(size)
+        for more in range(0, max(2, size // 3), max(1, size // 15)):
+            texts.append(" ".join(root + text(more)))
+    sets = []
+    for t in texts:
+        w = t.split()
+        sets.append({tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))})
+    links = []
+    for a in range(len(sets)):
+        links += [(a, b) for b in range(a, len(sets)) if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])]
+    group = {n: n for n in range(len(sets))}
+    for _ in sets:
+        for a, b in links:
+            group[a] = group[b] = min(group[a], group[b])
+    docs = frame(spark, texts)
+    kept = {r["doc_id"] for r in corpus_pipeline.ngram_join(spark, docs, SF).collect()}
+    assert kept == set(group.values())
+    four = {r["component_id"] for r in ngram_join.group_similar(docs).collect()}
+    assert kept < four
+
+
 def test_sets_outside_the_largest_component_meet_in_blocks(spark, monkeypatch):
     # links of one signature's sets that no star finds: every one has to come from the blocks
     monkeypatch.setattr(ngram_join, "BLOCK_SHINGLES", 1500)
@@ -269,6 +298,17 @@ def test_similar_sets_share_a_signature():
                 assert ngram_join.may_be_similar(len(a), ngram_join.sketch(a), len(b), ngram_join.sketch(b), 85)
 
 
+def test_four_fifths_share_a_signature_and_take_few():
+    draw = np.random.default_rng(3)
+    for size in (*range(1, 40), 90, 400, 1000):
+        for grown in {size, size * 9 // 8, size * 5 // 4}:
+            base = draw.integers(0, 2**63, grown).astype(np.uint64)
+            a, b = np.sort(base[:size]), np.sort(base)
+            found = ngram_join.signatures(b, 80)
+            assert len(np.intersect1d(ngram_join.signatures(a, 80), found))
+            assert size < 400 or len(found) < 3 * grown
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(30)] + [(100, 101), (101, 102), (7, 7)]
     got = dict(tuple(r) for r in connected(spark.createDataFrame(chain, "a long, b long")).collect())

@@ -41,8 +41,6 @@ SIMILAR = 85
 PARTS, LOST = 3, 1
 # Shingles that a signature stands for at least, where sets are large enough.
 CONTENT = 2
-# A band's largest size over its smallest.
-BAND = (100 / SIMILAR) ** 2
 SEEDS = 12
 STAR_ROUNDS = 1
 # Ids that may be broadcast, 16 bytes each.
@@ -66,28 +64,37 @@ def _digest(items: np.ndarray) -> tuple[int, int]:
     return tuple(int(ta.signed(ta.mix(items ^ ta.U64(salt)).sum(dtype=ta.U64).reshape(1))[0]) for salt in (0x5851F42D4C957F2D, 0x14057B7EF767814F))
 
 
-def band_of(size: int) -> int:
+def band_ratio(similar: int) -> float:
+    """A band's largest size over its smallest, at least 100 / similar.
+
+    Wide bands have fewer sets in two of them. Below 85 they would leave partitions with so few shingles that
+    sets draw seed after seed: at 80, about five times the signatures of narrow ones.
+    """
+    return (100 / similar) ** (2 if similar >= 85 else 1)
+
+
+def band_of(size: int, similar: int) -> int:
     """Number of the band; band i holds sizes from ``band_start(i)`` to ``band_start(i + 1) - 1``."""
-    band = int(math.log(size) / math.log(BAND))
-    while size >= band_start(band + 1):
+    band = int(math.log(size) / math.log(band_ratio(similar)))
+    while size >= band_start(band + 1, similar):
         band += 1
-    while size < band_start(band):
+    while size < band_start(band, similar):
         band -= 1
     return band
 
 
-def band_start(band: int) -> int:
-    return math.ceil(round(BAND**band, 9))
+def band_start(band: int, similar: int) -> int:
+    return math.ceil(round(band_ratio(similar) ** band, 9))
 
 
 def plan(band: int, similar: int) -> tuple[int, int, int, int, int]:
     """Partitions of a group, groups, differences allowed in one, spare groups, and shingles of a signature."""
-    largest = band_start(band + 1) - 1
+    largest = band_start(band + 1, similar) - 1
     # |a - b| + |b - a| is at most (1 - s) / (1 + s) times |a| + |b|
     k = (100 - similar) * 2 * largest // (100 + similar)
     lost = min(LOST, k)
     parts = lost + 1 if k < PARTS else PARTS
-    groups, smallest = k // (lost + 1) + 1, max(1, band_start(band) * similar // 100)
+    groups, smallest = k // (lost + 1) + 1, max(1, band_start(band, similar) * similar // 100)
     # spare groups thin out all of them, so their number is settled step by step
     for least in range(CONTENT, 0, -1):
         spare = 0
@@ -110,9 +117,9 @@ def signatures(items: np.ndarray, similar: int) -> np.ndarray:
     size = len(items)
     if size == 0:
         return np.zeros(0, ta.U64)
-    band = band_of(size)
+    band = band_of(size, similar)
     # a partner is at most 100 / similar times as large; the pair meets in the band of the larger one
-    bands = [band] + ([band + 1] if size * 100 >= similar * band_start(band + 1) else [])
+    bands = [band] + ([band + 1] if size * 100 >= similar * band_start(band + 1, similar) else [])
     for number in bands:
         parts, groups, lost, spare, least = plan(number, similar)
         for seed in range(SEEDS):
