@@ -141,6 +141,18 @@ def test_quality_scores_equal_brute_force(spark, monkeypatch, broadcast):
             assert got[i] == pytest.approx(sum(n * ratio[g] for g, n in own.items()) / own.total())
 
 
+def test_every_trusted_document_counts(spark, monkeypatch):
+    labels = spark.range(30_000).selectExpr("id as doc_id", "cast(id % 10 > 0 as int) as quality")
+    ids = quality_ratio.trusted_ids(labels.unionByName(labels))
+    assert ids.count() == 27_000
+    texts = ["a b c d", "a b x y", "x y z", "c d e"]
+    few = spark.createDataFrame([(0,), (1,)], "doc_id long")
+    want = quality_ratio.score_documents(frame(spark, texts), few).collect()
+    monkeypatch.setattr(quality_ratio, "BROADCAST_IDS", 1)
+    got = quality_ratio.score_documents(frame(spark, texts), few).collect()
+    assert [r["score"] for r in sorted(got)] == pytest.approx([r["score"] for r in sorted(want)])
+
+
 def test_quality_separates_labelled_documents(spark):
     sf = SF.replace("sf0.001", "sf0.01")
     labels = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "quality")

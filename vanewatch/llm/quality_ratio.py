@@ -23,9 +23,8 @@ from vanewatch.scratch import settle
 
 # Set on the labels of sf0.1: of documents with MIN_WORDS words, 556 of 562 bad ones score below, no good one of 3346.
 THRESHOLD = -0.85
-# The trusted documents: at most so many, those with the smallest hash of their id. Their ids are
-# broadcast, 16 bytes each.
-TRUSTED_SAMPLE = 20_000
+# Ids of trusted documents that may be broadcast, 16 bytes each. More of them are joined by key.
+BROADCAST_IDS = 1_000_000
 SMOOTHING = 1.0
 # Grams that may be broadcast with their counts, 24 bytes each.
 BROADCAST_GRAMS = 1_000_000
@@ -34,12 +33,9 @@ MAX_REPEATED_PERCENT = 20
 REPEAT_WINDOW = 5
 
 
-def trusted_ids(
-    labels: DataFrame, label: str = "quality", id_column: str = "doc_id", most: int = TRUSTED_SAMPLE
-) -> DataFrame:
-    """The bounded sample of documents that are labelled good."""
-    good = labels.filter(F.col(label) == 1).filter(F.col(id_column).isNotNull()).select(id_column)
-    return good.distinct().orderBy(F.xxhash64(id_column), id_column).limit(most)
+def trusted_ids(labels: DataFrame, label: str = "quality", id_column: str = "doc_id") -> DataFrame:
+    """All documents that are labelled good."""
+    return labels.filter(F.col(label) == 1).filter(F.col(id_column).isNotNull()).select(id_column).distinct()
 
 
 def _grams(text: Column) -> Column:
@@ -75,10 +71,12 @@ def _tallied(grams: Column) -> Column:
 
 def _texts(docs: DataFrame, trusted: DataFrame, text: str, id_column: str) -> DataFrame:
     """``id``, ``body``, ``is_trusted`` and ``key`` of each row; rows of one key have the same score."""
-    sample = F.broadcast(trusted.select(F.col(id_column).alias("trusted_id")))
+    ids = trusted.select(F.col(id_column).alias("trusted_id"))
+    if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
     rows = docs.select(F.col(id_column).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("body"))
     return (
-        rows.join(sample, F.col("id") == F.col("trusted_id"), "left")
+        rows.join(ids, F.col("id") == F.col("trusted_id"), "left")
         .select("id", "body", F.col("trusted_id").isNotNull().alias("is_trusted"))
         .withColumn("key", F.xxhash64("body", "is_trusted"))
     )
