@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vanewatch.llm.decontaminate import find_contamination
-from vanewatch.llm.line_dedup import remove_lines
+from vanewatch.llm.line_dedup import many_sites, remove_lines
 from vanewatch.llm.ngram_join import group_similar, restrict
 from vanewatch.llm.source_mix import mix_sources
 from vanewatch.llm.toxicity import THRESHOLD, fit_network, score_texts
@@ -27,7 +27,8 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Removes lines that stand on many sites; every document stays."""
-    cleaned = remove_lines(docs)
+    min_sites, min_words = many_sites(docs)
+    cleaned = remove_lines(docs, min_sites=min_sites, min_words=min_words)
     return cleaned.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 

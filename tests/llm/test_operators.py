@@ -386,6 +386,17 @@ def test_lines_on_many_sites_go(spark):
     assert texts[3] == ("own 3\n", 1) and texts[99] == ("", 2) and texts[98] == (None, 0)
 
 
+def test_stage_removes_lines_in_a_table_of_few_sites(spark):
+    line = "all rights on this page are reserved"
+    rows = [(i, f"{line}\nThe end.\nown {i}", "en", f"s{i % 6}", 0) for i in range(12)]
+    got = corpus_pipeline.line_dedup(spark, spark.createDataFrame(rows, SCHEMA), SF).collect()
+    assert {r["doc_id"]: r["text"] for r in got} == {i: f"The end.\nown {i}" for i in range(12)}
+    rows = [(i, f"{line}\nown {i}", "en", f"s{i % 20 if i > 8 else i}", 0) for i in range(20)]
+    rows += [(i, "other", "en", f"s{i}", 0) for i in range(9)]
+    got = corpus_pipeline.line_dedup(spark, spark.createDataFrame(rows, SCHEMA), SF).collect()
+    assert {r["text"] for r in got} == {f"own {i}" for i in range(20)} | {"other"}
+
+
 def test_mix_meets_its_targets(spark):
     rows = [(i, words(rng.randint(0, 40)), "en", rng.choice(["a", "b", "c", None]), 0) for i in range(600)]
     df = source_mix.mix_sources(spark.createDataFrame(rows, SCHEMA))

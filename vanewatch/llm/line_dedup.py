@@ -7,13 +7,18 @@ Lines whose estimate lies near the threshold are counted exactly, so the decisio
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vanewatch.llm.words import WORD, free_names
+from vanewatch.llm.words import SPACE, WORD, free_names
 from vanewatch.scratch import settle
 
 MIN_SITES = 10
+# In a table of few sites, half of them are many, but never fewer than LEAST_SITES; lines of fewer words than
+# LEAST_WORDS stay there, as they may be alike by chance.
+LEAST_SITES, LEAST_WORDS = 3, 6
 # 2^10 registers: a standard error of 3.3 %. Estimates within NEAR of the threshold are recounted.
 SKETCH_BITS = 10
 NEAR = 0.25
@@ -26,28 +31,40 @@ def _lines(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n", -1)
 
 
-def _key(line: Column) -> Column:
-    """Hash of a line, null if it has no word."""
-    return F.when(line.rlike(WORD), F.xxhash64(F.btrim(line, F.lit(EDGE))))
+def _site(site: str) -> Column:
+    """Hash of a site; null is a site."""
+    return F.xxhash64(F.coalesce(F.concat(F.lit("s"), F.col(site).cast("string")), F.lit("n")))
+
+
+def many_sites(docs: DataFrame, site: str = "source") -> tuple[int, int]:
+    """``min_sites`` and ``min_words`` for a table, by the number of its sites."""
+    half = math.ceil(docs.select(_site(site)).distinct().count() / 2)
+    return (MIN_SITES, 1) if half >= MIN_SITES else (max(LEAST_SITES, half), LEAST_WORDS)
+
+
+def _key(line: Column, min_words: int = 1) -> Column:
+    """Hash of a line, null if it has no word, or fewer than ``min_words``."""
+    enough = WORD if min_words <= 1 else f"(?:{WORD}{SPACE}){{{min_words - 1}}}{WORD}"
+    return F.when(line.rlike(enough), F.xxhash64(F.btrim(line, F.lit(EDGE))))
 
 
-def site_spread(docs: DataFrame, text: str = "text", site: str = "source") -> DataFrame:
+def site_spread(docs: DataFrame, text: str = "text", site: str = "source", min_words: int = 1) -> DataFrame:
     """``line`` (hash) and ``sites``, a sketch of the distinct sites of every line. A null site is a site."""
     lines = docs.select(
-        F.xxhash64(F.coalesce(F.concat(F.lit("s"), F.col(site).cast("string")), F.lit("n"))).alias("site"),
-        F.explode(F.array_distinct(F.transform(_lines(F.col(text)), _key))).alias("line"),
+        _site(site).alias("site"),
+        F.explode(F.array_distinct(F.transform(_lines(F.col(text)), lambda line: _key(line, min_words)))).alias("line"),
     ).filter("line is not null")
     return lines.groupBy("line").agg(F.hll_sketch_agg("site", F.lit(SKETCH_BITS)).alias("sites"))
 
 
 def boilerplate(
-    docs: DataFrame, text: str = "text", site: str = "source", min_sites: int = MIN_SITES
+    docs: DataFrame, text: str = "text", site: str = "source", min_sites: int = MIN_SITES, min_words: int = 1
 ) -> DataFrame:
     """Hashes of the lines on at least ``min_sites`` distinct sites, settled in the shared folder."""
     estimate = F.hll_sketch_estimate("sites")
     low, high = int(min_sites * (1 - NEAR)), min_sites * (1 + NEAR) + 1
     spread = settle(
-        site_spread(docs, text, site)
+        site_spread(docs, text, site, min_words)
         .select("line", estimate.alias("estimate"))
         .filter(F.col("estimate") >= low)
     )
@@ -55,7 +72,7 @@ def boilerplate(
     exact = (
         docs.select(
             F.coalesce(F.concat(F.lit("s"), F.col(site).cast("string")), F.lit("n")).alias("site"),
-            F.explode(F.array_distinct(F.transform(_lines(F.col(text)), _key))).alias("line"),
+            F.explode(F.array_distinct(F.transform(_lines(F.col(text)), lambda line: _key(line, min_words)))).alias("line"),
         )
         .join(_bounded(near), "line", "left_semi")
         .distinct()
@@ -80,6 +97,7 @@ def remove_lines(
     min_sites: int = MIN_SITES,
     n_lines: str | None = None,
     n_removed: str | None = None,
+    min_words: int = 1,
 ) -> DataFrame:
     """``docs`` without their boilerplate lines; the named columns get the counts of lines with a word.
 
@@ -93,17 +111,17 @@ def remove_lines(
     found = settle(
         docs.select(
             F.xxhash64(body).alias(key),
-            F.explode(F.array_distinct(F.transform(_lines(body), _key))).alias("line"),
+            F.explode(F.array_distinct(F.transform(_lines(body), lambda line: _key(line, min_words)))).alias("line"),
         )
         .filter("line is not null")
-        .join(_bounded(boilerplate(docs, text, site, min_sites)), "line")
+        .join(_bounded(boilerplate(docs, text, site, min_sites, min_words)), "line")
         .groupBy(key)
         .agg(F.collect_set("line").alias(bad))
     )
     bad_lines = F.coalesce(F.col(bad), F.array().cast("array<bigint>"))
 
     def is_bad(line: Column) -> Column:
-        return F.coalesce(F.array_contains(bad_lines, _key(line)), F.lit(False))
+        return F.coalesce(F.array_contains(bad_lines, _key(line, min_words)), F.lit(False))
 
     cleaned = F.when(F.col(bad).isNull(), body).otherwise(
         F.array_join(F.filter(_lines(body), lambda line: ~is_bad(line)), "\n")
