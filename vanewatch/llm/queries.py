@@ -8,12 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vanewatch.llm import (
+    collocations,
     decontaminate,
+    hard_negatives,
     license_scan,
     line_dedup,
     ngram_join,
     personal_data,
     quality_ratio,
+    simhash_groups,
     source_mix,
     suffix_dedup,
     toxicity,
@@ -87,6 +90,21 @@ def op10_line_dedup(spark, sf_dir):
     )
 
 
+def op11_simhash_dedup(spark, sf_dir):
+    return simhash_groups.group_near(table(spark, sf_dir, "documents"))
+
+
+def op12_hard_negatives(spark, sf_dir):
+    """Labels of every seventh row are moved on by one, so that near rows of other labels exist."""
+    rows = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine_negatives(rows.withColumn("label", moved), F.col("id") % 100 == 0)
+
+
+def op13_collocations(spark, sf_dir):
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_rules": op1_quality_rules,
@@ -99,6 +117,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_suffix_dedup": op8_suffix_dedup,
         "op9_url_filter": op9_url_filter,
         "op10_line_dedup": op10_line_dedup,
+        "op11_simhash_dedup": op11_simhash_dedup,
+        "op12_hard_negatives": op12_hard_negatives,
+        "op13_collocations": op13_collocations,
     }
 
 
@@ -216,10 +237,75 @@ kept as (
 select doc_id, n_lines, n_removed, sha256(body) as kept_sha256 from d join kept using (r)"""
 
 
+_NEGATIVE_SQL = f"""
+with e as (
+ select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+  list_transform(embedding, lambda x: floor({hard_negatives.SCALE} * x::double)) as v
+ from embeddings
+ where label is not null and embedding is not null
+  and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), s as (
+ select a.vec_id as anchor_id, b.vec_id as id, a.label = b.label as same, list_dot_product(a.v, b.v)::bigint as score
+ from e a join e b on a.vec_id % 100 = 0 and a.vec_id <> b.vec_id
+), p as (
+ select anchor_id, id as positive_id, score as positive_score from s where same
+ qualify row_number() over (partition by anchor_id order by score desc, id) <= {hard_negatives.POSITIVES}
+)
+select anchor_id, positive_id,
+ row_number() over (partition by anchor_id, positive_id order by score desc, id)::int as rank,
+ id as negative_id, positive_score, score as negative_score
+from p join s using (anchor_id)
+where not same and {hard_negatives.NEAR} * positive_score <= 100 * score and score <= positive_score
+qualify rank <= {hard_negatives.NEGATIVES}"""
+
+
+def _collocation_sql() -> str:
+    low = f"translate(coalesce(text, ''), '{license_scan_upper}', '{license_scan_lower}')"
+    words = collocations.MAX_WORDS
+    grams = " union all ".join(
+        f"select lang, {n} as words, array_to_string(list_slice(ws, i, i + {n - 1}), ' ') as phrase"
+        f" from (select lang, ws, unnest(range(1, len(ws) - {n - 2})) as i from w)"
+        for n in range(1, words + 1)
+    )
+    cuts = " union all ".join(
+        f"select c.*, {k} as k, array_to_string(list_slice(ps, 1, {k}), ' ') as lp,"
+        f" array_to_string(list_slice(ps, {k + 1}, words), ' ') as rp from cand c where words > {k}"
+        for k in range(1, words)
+    )
+    return rf"""
+with w as (
+ select lang, regexp_extract_all(piece, '[^\x20\x09]+') as ws from (
+  select coalesce(lang, '{collocations.NO_LANGUAGE}') as lang,
+   unnest(string_split_regex({low}, '[.,;:!?\x0A-\x0D]')) as piece from documents)
+), sizes as (select lang, sum(len(ws))::hugeint as n from w group by lang),
+f as (
+ select lang, words, phrase, count(*) as a from ({grams}) group by all having count(*) >= {collocations.MIN_COUNT}
+), cand as (select *, string_split(phrase, ' ') as ps from f where words > 1),
+cuts as ({cuts}),
+scored as (
+ select c.lang, c.phrase, c.words, c.a, n, l.a as l, r.a as r, (1000::hugeint * c.a * n) // (l.a::hugeint * r.a) as score,
+  row_number() over (partition by c.lang, c.phrase
+   order by (1000::hugeint * c.a * n) // (l.a::hugeint * r.a), k) as cut
+ from cuts c join f l on l.lang = c.lang and l.phrase = lp join f r on r.lang = c.lang and r.phrase = rp
+  join sizes s on s.lang = c.lang
+), inside as (
+ select lang, array_to_string(list_slice(ps, i, i + m - 1), ' ') as phrase, max(a) as longer
+ from (select *, unnest(range(1, words - m + 2)) as i from (select *, unnest(range(2, words)) as m from cand)) group by all
+), kept as (
+ select s.* from scored s left join inside i on i.lang = s.lang and i.phrase = s.phrase
+ where cut = 1 and coalesce(100 * longer < {collocations.ABSORBED} * a, true)
+)
+select lang, rank, phrase, a, l, r, n::bigint as n, score::bigint as score from (
+ select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from kept)
+where rank <= {collocations.MOST}"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_license_scan": _license_sql(),
         "op3_source_mix": _MIX_SQL,
         "op9_url_filter": _URL_SQL,
         "op10_line_dedup": _LINE_SQL,
+        "op12_hard_negatives": _NEGATIVE_SQL,
+        "op13_collocations": _collocation_sql(),
     }
