@@ -117,11 +117,6 @@ def loaded_store(spark: SparkSession, sf_dir: str) -> ParquetStore:
     return store
 
 
-def run_ids(rows: DataFrame) -> list[str]:
-    """The runs of a table: one for each load, so a list that the driver can hold."""
-    return sorted(row[0] for row in rows.select("event_id").distinct().collect())
-
-
 def csv_folder(spark: SparkSession, sf_dir: str) -> str:
     folder = new_folder(spark, "csv")
     bronze(spark, sf_dir).drop("event_id").write.option("header", True).csv(folder)
@@ -215,7 +210,7 @@ def quarantine_rows(spark, sf_dir):
 def refine_split(spark, sf_dir):
     store = new_store(spark)
     store.write_runs("bronze", bronze(spark, sf_dir))
-    run_stage_of_runs(spark, "transform", run_ids(store.read_all("bronze")), store)
+    run_stage_of_runs(spark, "transform", store.runs("bronze"), store)
     parts = [
         store.read_all(table).groupBy("event_id").agg(F.count("*").alias("n")).withColumn("t", F.lit(table))
         for table in ("bronze", "silver", "quarantine")
@@ -336,7 +331,7 @@ def summary_daily(spark, sf_dir):
 def publish_job(spark, sf_dir):
     store = new_store(spark)
     store.write_runs("silver", to_silver(flag_quality(bronze(spark, sf_dir))))
-    run_stage_of_runs(spark, "publish", run_ids(store.read_all("silver")), store, start=START, end=END)
+    run_stage_of_runs(spark, "publish", store.runs("silver"), store, start=START, end=END)
     turbines = store.read_all("summary_statistics").groupBy("event_id").agg(F.count("*").alias("turbines"))
     found = store.read_all("turbine_power_output_anomaly").groupBy("event_id").agg(F.count("*").alias("anomalies"))
     return turbines.join(found, "event_id", "left").fillna(0, ["anomalies"])

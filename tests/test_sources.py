@@ -1,6 +1,6 @@
-from datetime import datetime
-
+import glob
 import os
+from datetime import datetime
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -22,15 +22,22 @@ from vanewatch import (
     JdbcStore,
     ParquetStore,
     analyse,
+    flag_quality,
+    for_run,
     in_period,
     read_telemetry_csv,
+    run_stage_of_runs,
     stamp_run,
+    to_quarantine,
+    to_silver,
     turbine_statistics,
 )
 from vanewatch.operators.analysis import period_readings
+from vanewatch.operators.quality import split_rows
 from vanewatch.schemas import RAW, SUMMARY, TABLES, conform
 from vanewatch.sources.jdbc_store import postgres_connection
-from vanewatch.sources.parquet_store import partition_folder
+from vanewatch.sources import parquet_store
+from vanewatch.sources.parquet_store import live, partition_folder
 
 HEADER = "timestamp,turbine_id,wind_speed,wind_direction,power_output\n"
 ODD_RUNS = [
@@ -176,7 +183,9 @@ def test_nothing_written_yet(spark, folder):
 
 def test_layers(spark, folder):
     write_replaced(spark, folder, "a", QUALITY_INPUT)
-    assert os.listdir(f"{folder}/bronze/wind_turbine_telemetry") == ["event_id=a"]
+    base = f"{folder}/bronze/wind_turbine_telemetry"
+    log, commit = sorted(os.listdir(base))
+    assert log == "_log" and os.listdir(f"{base}/_log") == os.listdir(f"{base}/{commit}") == ["event_id=a"]
 
 
 def test_scan_of_a_run_is_pruned(spark, folder):
@@ -227,12 +236,13 @@ def test_far_away_times(spark, folder):
         assert in_period(store.read("silver", RUN, period=(time, time)), time, time).count() == 1
 
 
-def test_analysis_reads_only_what_it_needs(spark, folder):
+def test_analysis_reads_only_what_it_needs(spark, with_conf, folder):
+    with_conf("spark.sql.maxMetadataStringLength", "1000")
     store = ParquetStore(spark, folder)
     store.write("silver", readings(spark, ANALYSIS_INPUT), RUN)
     df = store.read("silver", RUN, period=(START, END))
     for text in map(plan, (turbine_statistics(period_readings(df, RUN, START, END)), analyse(df, RUN, START, END)[1])):
-        columns = "telemetry_time:timestamp,turbine_id:int,power_output:double,telemetry_day:int"
+        columns = "telemetry_time:timestamp,turbine_id:int,power_output:double,telemetry_day:int,telemetry_micros:bigint"
         assert text.count("ReadSchema") == text.count(f"ReadSchema: struct<{columns}>") == 1
 
 
@@ -367,3 +377,196 @@ def test_jdbc_write_takes_its_run(spark, monkeypatch):
     monkeypatch.setattr(type(df), "write", property(lambda self: frames.append(self) or Calls()))
     JdbcStore(spark, CONNECTION).write("bronze", df, RUN)
     assert_same_rows(frames[0], conform(bronze(spark, QUALITY_INPUT), "bronze"))
+
+
+# --- commits --------------------------------------------------------------------------------------
+
+
+def test_stop_before_the_commit_keeps_the_old_rows(spark, folder, monkeypatch):
+    """All data is written and the driver goes: readers see the old rows, and a sweep removes the new ones."""
+    store = ParquetStore(spark, folder)
+    row = ("2022-03-01 00:00:00", "1", "2.0", "1", "2.3")
+    for run in ("a", "b"):
+        store.write("bronze", bronze(spark, [row] * 2, run), run)
+    with monkeypatch.context() as stopped:
+        stopped.setattr(store, "_commit", lambda *_: (_ for _ in ()).throw(SystemExit()))
+        for write in (
+            lambda: store.write("bronze", bronze(spark, [row] * 5, "a"), "a"),
+            lambda: store.write_runs("bronze", bronze(spark, [row] * 5, "b")),
+            lambda: store.write_split(flag_quality(store.read("bronze", "a")), ["a"]),
+        ):
+            with pytest.raises(SystemExit):
+                write()
+    assert [store.read("bronze", run).count() for run in ("a", "b")] == [2, 2]
+    assert store.read_all("bronze").count() == 4 and store.read_all("silver").count() == 0
+    assert store.sweep() == []
+    assert len(store.sweep(older_than_hours=-1)) >= 3
+    assert len(glob.glob(f"{folder}/**/*.parquet", recursive=True)) == len(store.read_all("bronze").inputFiles())
+    assert [store.read("bronze", run).count() for run in ("a", "b")] == [2, 2]
+
+
+def test_stop_after_the_commit_shows_the_new_rows(spark, folder, monkeypatch):
+    """The step is taken and the driver goes before the old rows are removed."""
+    store = ParquetStore(spark, folder)
+    row = ("2022-03-01 00:00:00", "1", "2.0", "1", "2.3")
+    store.write("bronze", bronze(spark, [row] * 2, "a"), "a")
+    with monkeypatch.context() as stopped:
+        stopped.setattr(store, "_drop", lambda *_: (_ for _ in ()).throw(SystemExit()))
+        with pytest.raises(SystemExit):
+            store.write("bronze", bronze(spark, [row] * 5, "a"), "a")
+    assert store.read("bronze", "a").count() == store.read_all("bronze").count() == 5
+    assert len(store.sweep(older_than_hours=-1)) >= 1
+    assert store.read("bronze", "a").count() == 5
+    store.write("bronze", bronze(spark, [row], "a"), "a")
+    assert store.read("bronze", "a").count() == 1
+    assert len(glob.glob(f"{folder}/bronze/**/*.parquet", recursive=True)) == len(store.read("bronze", "a").inputFiles())
+
+
+@pytest.mark.parametrize(
+    "names, places, others",
+    [
+        ([], [], True),
+        (["1.append.commit=a", "2.append.commit=b"], ["commit=a", "commit=b"], True),
+        (["1.append.commit=a", "2.replace.commit=b", "3.append.split=c"], ["commit=b", "split=c"], False),
+        # two writers that took the same number
+        (["1.replace.commit=a", "2.append.commit=b", "2.append.commit=c"], ["commit=a", "commit=b", "commit=c"], False),
+        (["1.replace.commit=a", "2.replace.commit=b", "2.replace.commit=c"], ["commit=c"], False),
+    ],
+)
+def test_log(names, places, others):
+    assert live(names[::-1]) == (places, others)
+
+
+def test_rows_of_other_writers(spark, folder):
+    """They count until the run is replaced, also beside rows that were added."""
+    row = ("2022-03-01 00:00:00", "1", "2.0", "1", "2.3")
+    base = ParquetStore(spark, folder).path("bronze")
+    bronze(spark, [row] * 2).drop("event_id").write.parquet(f"{base}/event_id=a")
+    write_replaced(spark, folder, "a", [row], mode="append")
+    store = ParquetStore(spark, folder)
+    assert store.read("bronze", "a").count() == store.read_all("bronze").count() == 3
+    write_replaced(spark, folder, "a", [row])
+    assert store.read("bronze", "a").count() == store.read_all("bronze").count() == 1
+
+
+def test_runs(spark, folder):
+    store = ParquetStore(spark, folder)
+    for run in [*ODD_RUNS, None]:
+        store.write("bronze", bronze(spark, QUALITY_INPUT[:1], run), run)
+    assert store.runs("bronze") == sorted(ODD_RUNS) and store.runs("silver") == []
+    assert store.read_runs("bronze", ODD_RUNS[:3]).count() == 3
+
+
+# --- one pass for two tables ----------------------------------------------------------------------
+
+
+def scans(df):
+    return plan(df).count("FileScan")
+
+
+@pytest.mark.parametrize("how", [{}, {"daily": True}, {"ordered": True}, {"daily": True, "ordered": True}, {"mode": "append"}])
+def test_split_in_one_pass(spark, folder, how):
+    store = ParquetStore(spark, folder, **how)
+    runs = ["a", "b/c", "none"]
+    rows = bronze(spark, QUALITY_INPUT, "a").unionByName(bronze(spark, QUALITY_INPUT[4:], "b/c"))
+    store.write_runs("bronze", rows)
+    quality = flag_quality(store.read_runs("bronze", runs))
+    assert scans(split_rows(quality, "table")) == 1
+    store.write_split(quality, runs)
+    for run in runs:
+        assert_same_rows(store.read("silver", run), to_silver(for_run(quality, run)))
+        assert_same_rows(store.read("quarantine", run), to_quarantine(for_run(quality, run)))
+    assert_same_rows(store.read_all("quarantine"), to_quarantine(quality))
+    # beside rows that came another way
+    store.write("quarantine", bronze(spark, QUALITY_INPUT[:1], "d"), "d")
+    assert store.read_all("quarantine").count() == to_quarantine(quality).count() + 1
+    if not how.get("mode"):
+        store.write_split(flag_quality(bronze(spark, QUALITY_INPUT[:1], "a")), ["a"])
+        assert (store.read("silver", "a").count(), store.read("quarantine", "a").count()) in ((1, 0), (0, 1))
+        assert_same_rows(store.read("quarantine", "b/c"), to_quarantine(for_run(quality, "b/c")))
+
+
+def test_split_reads_bronze_once(spark, folder, monkeypatch):
+    """One job, whose only scan is that of bronze."""
+    store = ParquetStore(spark, folder)
+    store.write_runs("bronze", bronze(spark, QUALITY_INPUT, "a").unionByName(bronze(spark, QUALITY_INPUT, "b")))
+    group = "split"
+    spark.sparkContext.setJobGroup(group, group)
+    run_stage_of_runs(spark, "transform", ["a", "b"], store)
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+    spark.sparkContext._jsc.clearJobGroup()
+    assert len(jobs) == 1
+
+
+def test_many_small_files_are_written_again(spark, folder, monkeypatch):
+    monkeypatch.setattr(parquet_store, "MANY_FILES", 3)
+    store = ParquetStore(spark, folder)
+    quality = flag_quality(bronze(spark, QUALITY_INPUT * 8, "a").repartition(12))
+    store.write_split(quality, ["a"])
+    assert_same_rows(store.read("quarantine", "a"), to_quarantine(quality))
+    assert len(store.read("quarantine", "a").inputFiles()) <= 8
+    assert len(glob.glob(f"{folder}/split/commit=*/table=quarantine/**/*.parquet", recursive=True)) == 0
+
+
+# --- time ----------------------------------------------------------------------------------------
+
+
+def test_period_skips_pages_of_ordered_files(spark, with_conf, folder):
+    """Input in no order: each file spans all days, and a period of an hour reads a small part of it."""
+    with_conf("spark.sql.maxMetadataStringLength", "1000")
+    rows = spark.range(0, 400_000, 1, 2).selectExpr(
+        "timestamp_seconds(1646092800 + pmod(xxhash64(id), 864000)) as telemetry_time", "cast(id % 20 as int) as turbine_id",
+        "1.0D as wind_speed", "1 as wind_direction", "cast(id as double) as power_output", f"'{RUN}' as event_id",
+    )
+    read = {}
+    for ordered in (False, True):
+        store = ParquetStore(spark, f"{folder}/{ordered}", ordered=ordered)
+        store.write("silver", rows, RUN)
+        df = store.read("silver", RUN, period=("2022-03-04 10:00:00", "2022-03-04 11:00:00")).select("power_output")
+        assert "GreaterThanOrEqual(telemetry_micros" in plan(df)
+        want = rows.filter("telemetry_time between '2022-03-04 10:00:00' and '2022-03-04 11:00:00'").count()
+        assert df.count() == want
+        df.collect()
+        scan = df._jdf.queryExecution().executedPlan()
+        while scan.children().size():
+            scan = scan.children().apply(0)
+        read[ordered] = scan.metrics().apply("numOutputRows").value()
+    # a page of 20,000 rows of each file
+    assert read[True] <= 0.1 * read[False]
+
+
+# --- required columns -----------------------------------------------------------------------------
+
+REQUIRED = {table: [f.name for f in schema.fields if not f.nullable] for table, (_, _, schema) in TABLES.items()}
+
+
+@pytest.mark.parametrize("table", TABLES)
+def test_required_columns(spark, folder, table):
+    schema = TABLES[table][2]
+    text = {"string": "'r'", "timestamp": "timestamp '2022-03-01 12:00:00'"}
+    values = [f"cast({text.get(f.dataType.simpleString(), '1')} as {f.dataType.simpleString()}) as {f.name}" for f in schema]
+    good = spark.range(3).selectExpr(*values)
+    for name in REQUIRED[table]:
+        bad = good.withColumn(name, F.when(F.rand(1) < 2, F.lit(None)).otherwise(F.col(name)).cast(schema[name].dataType))
+        run = None if name == "event_id" else "r"
+        ParquetStore(spark, f"{folder}/ignore").write(table, bad, run)
+        counting = ParquetStore(spark, f"{folder}/count", required="count")
+        counting.write(table, bad, run)
+        assert counting.violations == {table: {n: 3 * (n == name) for n in REQUIRED[table]}}
+        failing = ParquetStore(spark, f"{folder}/fail", required="fail")
+        failing.write(table, good, "r")
+        with pytest.raises(Exception, match=f"{table}.{name} is required"):
+            failing.write(table, bad, run)
+        assert failing.read(table, "r").count() == 3
+    with pytest.raises(ValueError):
+        ParquetStore(spark, folder, required="maybe")
+
+
+def test_required_columns_of_a_split(spark, folder):
+    quality = flag_quality(bronze(spark, QUALITY_INPUT))
+    store = ParquetStore(spark, folder, required="fail")
+    store.write_split(quality, [RUN])
+    assert store.read("quarantine", RUN).count() == 3
+    store = ParquetStore(spark, folder, required="count")
+    store.write_split(quality, [RUN])
+    assert set(store.violations["silver"].values()) == {0}

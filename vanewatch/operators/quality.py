@@ -32,6 +32,10 @@ RULES = {
 }
 
 
+# the column that holds the text of an invalid row, where valid and invalid rows are stored together
+SPLIT_RAW = "raw"
+
+
 def for_run(df: DataFrame, run: str | None) -> DataFrame:
     """Rows of one run; ``None`` selects the rows without a run id."""
     return df.filter(F.col(RUN).eqNullSafe(F.lit(run)))
@@ -71,3 +75,17 @@ def to_silver(quality: DataFrame) -> DataFrame:
 def to_quarantine(quality: DataFrame) -> DataFrame:
     """Invalid readings, as the text that came in."""
     return quality.filter("is_error").select(*RAW_FIELDS, RUN)
+
+
+def split_rows(quality: DataFrame, table: str) -> DataFrame:
+    """Both outcomes as one frame: typed columns of the valid rows, text of the invalid ones in a struct.
+
+    The column ``table`` names the one that a row belongs to, so that a single pass can write both.
+    """
+    names = {"timestamp": "telemetry_time"}
+    typed = [
+        F.when(~F.col("is_error"), F.col(_converted(field))).alias(names.get(field, field)) for field in CONVERSIONS
+    ]
+    text = F.when(F.col("is_error"), F.struct(*RAW_FIELDS)).alias(SPLIT_RAW)
+    side = F.when(F.col("is_error"), F.lit("quarantine")).otherwise(F.lit("silver")).alias(table)
+    return quality.select(*typed, text, RUN, side)

@@ -18,7 +18,7 @@ from vanewatch.operators.analysis import (
     summary,
     turbine_statistics,
 )
-from vanewatch.operators.quality import to_quarantine, to_silver, with_quality
+from vanewatch.operators.quality import flag_quality, to_quarantine, to_silver
 from vanewatch.scratch import settled
 from vanewatch.sources.telemetry_csv import read_telemetry_csv, stamp_run
 
@@ -49,12 +49,23 @@ def ingest(spark: SparkSession, store, path: str | list[str], run: str) -> None:
 def refine(spark: SparkSession, store, run: str, cached: bool | None = None) -> None:
     """Bronze to silver and quarantine.
 
-    ``cached`` keeps the typed rows between the two writes; by default the store decides.
+    A store that can write both tables in one pass does so. With ``cached`` the typed rows are kept between two
+    writes instead; by default the store decides.
     """
-    quality = with_quality(store.read("bronze", run), run)
-    with _reused(quality, not store.cheap_rescan if cached is None else cached) as quality:
-        store.write("silver", to_silver(quality), run)
-        store.write("quarantine", to_quarantine(quality), run, compact=True)
+    refine_runs(spark, store, [run], cached)
+
+
+def refine_runs(spark: SparkSession, store, runs: Iterable[str], cached: bool | None = None) -> None:
+    """``refine`` of many runs as one job: their rows carry their run id."""
+    runs = list(runs)
+    quality = flag_quality(store.read_runs("bronze", runs))
+    if not (not store.cheap_rescan if cached is None else cached):
+        store.write_split(quality, runs)
+        return
+    with _reused(quality, True) as quality:
+        for run in runs:
+            store.write("silver", to_silver(quality), run)
+            store.write("quarantine", to_quarantine(quality), run, compact=True)
 
 
 def publish(
@@ -109,10 +120,18 @@ def run_stage(
 def run_stage_of_runs(
     spark: SparkSession, mode: str, runs: Iterable[str], store, at_once: int = 4, **options
 ) -> None:
-    """One stage of many runs, ``at_once`` of them at the same time, so that small runs fill the cluster.
+    """One stage of many runs, with the options of ``run_stage``.
 
-    Takes the options of ``run_stage``. The other runs are finished before the error of a failed one is raised.
+    Transform takes all runs in one job. Of the other stages ``at_once`` run at the same time, so that small runs
+    fill the cluster; the other runs are finished before the error of a failed one is raised.
     """
+    runs = list(runs)
+    if mode == "transform":
+        if not all(runs):
+            raise ValueError("a run id is required")
+        if runs:
+            refine_runs(spark, store, runs, options.get("cached"))
+        return
     stage = inheritable_thread_target(spark)(run_stage)
     with ThreadPoolExecutor(at_once) as pool:
         started = [pool.submit(stage, spark, mode, run, store, **options) for run in runs]

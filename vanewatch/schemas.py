@@ -5,11 +5,12 @@ Column and table names are fixed values: existing readers of the tables rely on
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     DoubleType,
     IntegerType,
+    LongType,
     StringType,
     StructField,
     StructType,
@@ -49,6 +50,19 @@ ANOMALY = _required(
     event_id=StringType(),
 )
 
+# statistics of a turbine's readings in one UTC day, in a form that can be merged; null where power was null only
+DAILY_STATE = StructType([
+    StructField("turbine_id", IntegerType(), True),
+    StructField("day", IntegerType(), True),
+    StructField("readings", LongType(), False),
+    StructField("measured", LongType(), False),
+    StructField("mean", DoubleType(), True),
+    StructField("m2", DoubleType(), True),
+    StructField("lowest", DoubleType(), True),
+    StructField("highest", DoubleType(), True),
+    StructField("event_id", StringType(), False),
+])
+
 # layer, table name and layout of each stored table
 TABLES = {
     "bronze": ("bronze", "wind_turbine_telemetry", BRONZE),
@@ -56,6 +70,7 @@ TABLES = {
     "quarantine": ("quarantine", "wind_turbine_telemetry", QUARANTINE),
     "summary_statistics": ("gold", "summary_statistics", SUMMARY),
     "turbine_power_output_anomaly": ("gold", "turbine_power_output_anomaly", ANOMALY),
+    "turbine_daily_state": ("silver", "turbine_daily_state", DAILY_STATE),
 }
 
 
@@ -77,3 +92,39 @@ def conform(df: DataFrame, table: str) -> DataFrame:
     if missing:
         raise ValueError(f"missing columns {missing}, got {df.columns}")
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields])
+
+
+class RequiredColumns:
+    """What becomes of a NULL in a column that a table declares as required.
+
+    ``ignore`` stores it, ``fail`` ends the job with its first one, and ``count`` stores it and counts them while the
+    rows are written, without another pass: after ``take``, ``counts`` has a number for each such column of a table.
+    """
+
+    HOW = ("ignore", "fail", "count")
+
+    def __init__(self, how: str):
+        if how not in self.HOW:
+            raise ValueError(f"unknown choice {how!r}, expected one of {self.HOW}")
+        self.how = how
+        self.counts: dict[str, dict[str, int]] = {}
+
+    def apply(self, df: DataFrame, table: str, rows: Column | None = None) -> tuple[DataFrame, Observation | None]:
+        """``df`` with the check of the table's columns that it has, of some ``rows`` only if given; what counts them."""
+        names = [f.name for f in table_info(table)[2].fields if not f.nullable and f.name in df.columns]
+        if self.how == "ignore" or not names:
+            return df, None
+        meant = F.lit(True) if rows is None else rows
+        if self.how == "count":
+            counted = Observation()
+            return df.observe(counted, *[F.count_if(meant & F.col(n).isNull()).alias(n) for n in names]), counted
+        checked = {
+            n: F.when(meant & F.col(n).isNull(), F.raise_error(F.lit(f"{table}.{n} is required"))).otherwise(F.col(n))
+            for n in names
+        }
+        return df.withColumns(checked), None
+
+    def take(self, table: str, counted: Observation | None) -> None:
+        """Keep the counts of a write of ``table`` that has ended."""
+        if counted is not None:
+            self.counts[table] = counted.get

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import warnings
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from vanewatch.operators.analysis import Bound, period_bounds
 from vanewatch.operators.quality import for_run
-from vanewatch.schemas import conform, table_info
+from vanewatch.schemas import RUN, conform, table_info
 
 
 def postgres_connection(host: str, port: int | str, database: str, user: str, password: str) -> dict:
@@ -92,6 +94,16 @@ class JdbcStore:
             }
         return for_run(self._scan(table, options), run)
 
+    def read_runs(
+        self, table: str, runs: Iterable[str | None], period: tuple[Bound, Bound] | None = None
+    ) -> DataFrame:
+        """Rows of several runs in one frame."""
+        runs = list(runs)
+        if len(runs) == 1:
+            return self.read(table, runs[0], period)
+        wanted = F.col(RUN).isin([run for run in runs if run is not None])
+        return self.read_all(table).filter(wanted | F.col(RUN).isNull() if None in runs else wanted)
+
     def _in_order(self, period: tuple[Bound, Bound]) -> bool:
         """Spark refuses a lower bound above the upper one; such a period has no rows anyway."""
         spark = SparkSession.active()
