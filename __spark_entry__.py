@@ -17,15 +17,18 @@ from vanewatch import (
     ParquetStore,
     analyse,
     anomaly_thresholds,
+    daily_states,
     flag_quality,
     for_run,
     in_period,
     ingest,
+    period_statistics,
     publish,
     refine,
     run_pipeline,
     run_stage_of_runs,
     stamp_run,
+    summarise,
     to_quarantine,
     to_silver,
     turbine_statistics,
@@ -328,6 +331,40 @@ def summary_daily(spark, sf_dir):
     return rounded(_daily_store(spark, sf_dir).read("summary_statistics", RUN), "mean_power_output")
 
 
+ODD_START, ODD_END = "2024-01-05 07:30:00", "2024-01-19 16:45:10.5"
+
+
+def statistics_from_states(spark, sf_dir):
+    """A period that begins and ends within a day, from the states of its whole days and the readings of the others."""
+    rows = silver(spark, sf_dir)
+    states = daily_states(rows, "event_id")
+    found = period_statistics(rows, states, RUN, ODD_START, ODD_END)
+    return rounded(found, "mean_power_output", "stddev_power_output")
+
+
+def summary_from_states(spark, sf_dir):
+    store = loaded_store(spark, sf_dir)
+    refine(spark, store, RUN, states=True)
+    summarise(spark, store, RUN, START, END)
+    return rounded(store.read("summary_statistics", RUN), "mean_power_output")
+
+
+def period_of_ordered_files(spark, sf_dir):
+    store = new_store(spark, ordered=True)
+    store.write("silver", silver(spark, sf_dir), RUN)
+    return wall_clock(store.read("silver", RUN, period=(ODD_START, ODD_END)))
+
+
+def required_counts(spark, sf_dir):
+    """NULLs in required columns, counted while all typed readings, the invalid ones too, are stored."""
+    store = new_store(spark, required="count")
+    names = {"converted_timestamp": "telemetry_time"} | {f"converted_{f}": f for f in RAW_FIELDS[1:]}
+    rows = flag_quality(one_run(spark, sf_dir)).select(*[F.col(k).alias(v) for k, v in names.items()], "event_id")
+    store.write("silver", rows, RUN)
+    counts = store.violations["silver"]
+    return spark.createDataFrame([tuple(counts.values())], ", ".join(f"{name} long" for name in counts))
+
+
 def publish_job(spark, sf_dir):
     store = new_store(spark)
     store.write_runs("silver", to_silver(flag_quality(bronze(spark, sf_dir))))
@@ -387,6 +424,10 @@ def telemetry_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "summary_store": summary_store,
         "power_anomalies_daily": power_anomalies_daily,
         "summary_daily": summary_daily,
+        "statistics_from_states": statistics_from_states,
+        "summary_from_states": summary_from_states,
+        "period_of_ordered_files": period_of_ordered_files,
+        "required_counts": required_counts,
         "publish_job": publish_job,
         "telemetry_pipeline": telemetry_pipeline,
         "events_anomalies": events_anomalies,
@@ -505,6 +546,17 @@ def oracle_sql() -> dict[str, str]:
         "summary_store": summary_sql,
         "power_anomalies_daily": "select turbine_id, power_output, event_id from anomalies",
         "summary_daily": summary_sql,
+        "statistics_from_states": f"""select turbine_id, min(power_output) as min_power_output,
+ max(power_output) as max_power_output, round(avg(power_output), 6) as mean_power_output,
+ round(stddev_samp(power_output), 6) as stddev_power_output, count(*) as readings from silver
+ where telemetry_time between timestamp '{ODD_START}' and timestamp '{ODD_END}' group by turbine_id""",
+        "summary_from_states": summary_sql,
+        "period_of_ordered_files": f"""select {_SILVER_LIST} from silver
+ where telemetry_time between timestamp '{ODD_START}' and timestamp '{ODD_END}'""",
+        "required_counts": """select count(*) filter (where bad_time) as telemetry_time,
+ count(*) filter (where bad_turbine) as turbine_id, count(*) filter (where bad_speed) as wind_speed,
+ count(*) filter (where bad_direction) as wind_direction, count(*) filter (where bad_power) as power_output,
+ 0::bigint as event_id from flagged""",
         "publish_job": f""", per_run as (
  select event_id, turbine_id, avg(power_output) as m, stddev_samp(power_output) as s from typed_runs
  where telemetry_time between timestamp '{START}' and timestamp '{END}' group by event_id, turbine_id

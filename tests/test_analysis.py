@@ -18,7 +18,17 @@ from helpers import (
     plan,
     readings,
 )
-from vanewatch import analyse, anomalies, anomaly_thresholds, in_period, turbine_statistics
+from vanewatch import (
+    analyse,
+    anomalies,
+    anomaly_thresholds,
+    daily_states,
+    in_period,
+    merged_statistics,
+    period_statistics,
+    turbine_statistics,
+)
+from vanewatch.operators.analysis import edge_periods, may_be_in, period_readings, whole_days
 
 ONE_HIT = [(datetime.fromisoformat("2022-03-01 16:00:00"), 1, 4.5, RUN)]
 
@@ -236,3 +246,86 @@ def test_heavy_turbines_are_kept_out_of_the_shuffle(spark):
 def test_statistics_are_aggregated_before_the_shuffle(spark):
     text = plan(turbine_statistics(skewed(spark)))
     assert text.count("HashAggregate") == 2 and "partial_stddev_samp" in text
+
+
+# --- states that can be merged --------------------------------------------------------------------
+
+
+def close(got, want):
+    assert [r.turbine_id for r in got] == [r.turbine_id for r in want]
+    for a, b in zip(got, want):
+        assert a.readings == b.readings
+        for name in ("min_power_output", "max_power_output", "mean_power_output", "stddev_power_output"):
+            x, y = a[name], b[name]
+            assert (x is None) == (y is None), (name, a, b)
+            if x is not None:
+                assert (math.isnan(x) and math.isnan(y)) or math.isclose(x, y, rel_tol=1e-9, abs_tol=1e-9), (name, a, b)
+
+
+def by_turbine(df):
+    return sorted(df.collect(), key=lambda r: (r.turbine_id is not None, r.turbine_id or 0))
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/St_Johns", "Asia/Kolkata"])
+def test_states_give_the_statistics_of_any_period(spark, with_conf, zone):
+    """Random periods over readings with NULL and NaN powers, large offsets, and turbines that have few readings."""
+    with_conf("spark.sql.session.timeZone", zone)
+    rng = random.Random(6)
+    rows = []
+    for n in range(3000):
+        day, second = rng.randint(1, 9), rng.randint(0, 86399)
+        turbine = rng.choice([1, 1, 1, 2, 3, None, 10 + n % 400])
+        power = rng.choice([None, rng.gauss(0, 1), 1e9 + rng.gauss(0, 1)]) if turbine != 2 else rng.gauss(5, 2)
+        if turbine == 3 and n % 50 == 0:
+            power = float("nan")
+        rows.append((f"2022-03-{day:02d} {second // 3600:02d}:{second // 60 % 60:02d}:{second % 60:02d}", turbine, power))
+    df = readings(spark, rows).unionByName(readings(spark, rows[:50], "other")).persist()
+    states = daily_states(df, "event_id").persist()
+    try:
+        for start, end in [
+            ("2022-03-01", "2022-03-10"), ("2022-03-02 10:00:00", "2022-03-07 00:00:00"), ("2022-03-03 01:00:00", "2022-03-03 09:00:00"),
+            ("2022-03-02 23:59:59", "2022-03-04 00:00:01"), ("2022-03-05", "2022-03-02"), (datetime(2022, 3, 4), datetime(2022, 3, 6, 23, 59, 59, 999999)),
+        ]:
+            want = by_turbine(turbine_statistics(period_readings(df, RUN, start, end)))
+            close(by_turbine(period_statistics(df, states, RUN, start, end)), want)
+            first, last = whole_days(spark, start, end)
+            if first <= last:
+                # what a store would read: the edges alone
+                edges = [in_period(df, *p) for p in edge_periods(spark, start, end)]
+                close(by_turbine(period_statistics(edges[0].unionByName(edges[1]), states, RUN, start, end)), want)
+    finally:
+        df.unpersist()
+        states.unpersist()
+
+
+def test_states_of_nothing(spark):
+    empty = readings(spark, [])
+    assert merged_statistics(daily_states(empty)).collect() == []
+    one = readings(spark, [("2022-03-01 00:00:00", 1, None)])
+    (row,) = merged_statistics(daily_states(one)).collect()
+    assert (row.readings, row.mean_power_output, row.stddev_power_output, row.min_power_output) == (1, None, None, None)
+
+
+# --- turbines beyond a broadcast ------------------------------------------------------------------
+
+
+def test_filter_of_turbines_keeps_all_of_them(spark):
+    turbines = spark.range(0, 40_000, 7).selectExpr("cast(id * 13 as int) as turbine_id")
+    count = turbines.count()
+    wanted = may_be_in(turbines, count)
+    assert turbines.filter(wanted).count() == count
+    others = spark.range(20_000).selectExpr("cast(-id - 1 as int) as turbine_id")
+    assert others.filter(wanted).count() < 0.2 * 20_000
+    assert spark.createDataFrame([(1,)], "turbine_id int").filter(may_be_in(turbines.limit(0), 0)).count() == 0
+    assert may_be_in(turbines, 10**9) is None
+
+
+def test_light_turbines_are_filtered_before_the_shuffle(spark):
+    rows = [r for t in range(200) for r in group(*[1.0] * 9, 50.0 if t % 20 == 0 else 1.0, key=t)]
+    df = readings(spark, rows)
+    statistics = turbine_statistics(df)
+    found = anomalies(df, anomaly_thresholds(statistics), RUN, broadcast_groups=3)
+    assert sorted(r.turbine_id for r in found.collect()) == list(range(0, 200, 20))
+    text = plan(found)
+    assert "getbit" in text.lower() or "bit_get" in text.lower()
+    assert "ShuffledHashJoin" in text

@@ -1,7 +1,9 @@
 import glob
 import os
+import re
 from datetime import datetime
 
+import duckdb
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
@@ -35,7 +37,7 @@ from vanewatch import (
 from vanewatch.operators.analysis import period_readings
 from vanewatch.operators.quality import split_rows
 from vanewatch.schemas import RAW, SUMMARY, TABLES, conform
-from vanewatch.sources.jdbc_store import postgres_connection
+from vanewatch.sources.jdbc_store import block_splits, hash_splits, postgres_connection, quoted
 from vanewatch.sources import parquet_store
 from vanewatch.sources.parquet_store import live, partition_folder
 
@@ -262,10 +264,11 @@ class Calls:
 
     def __init__(self, frame=None):
         self.frame, self.seen, self.read, self.write = frame, [], self, self
+        self.size = None
 
     def jdbc(self, url, table, **options):
         self.seen.append((url, table, options))
-        return self.frame
+        return self.size if self.size and "pg_relation_size" in table else self.frame
 
 
 CONNECTION = postgres_connection("db", 5432, "telemetry", "reader", "secret")
@@ -300,14 +303,63 @@ def test_jdbc_reads(spark):
             "upperBound": "2022-03-02", "numPartitions": "8",
         },
     }
+    # without a period, or with a reversed one, the table's size tells how to divide it
+    calls.size = spark.createDataFrame([(1000,)], "blocks long")
     for period in (None, ("2022-03-02", "2022-03-01")):
         store.read("silver", RUN, period=period)
-        assert calls.seen[-1][2] == {"predicates": None, "properties": login}
-
-
-def test_jdbc_scan_in_one_task_warns(spark):
-    with pytest.warns(UserWarning, match="splits"):
-        JdbcStore(Calls(bronze(spark, [])), CONNECTION).read("bronze", RUN)
+        assert calls.seen[-1][2] == {"predicates": block_splits(1000, 8), "properties": login}
+
+
+def test_jdbc_splits_are_derived(spark):
+    """PostgreSQL: a look at the size, then ranges of blocks. Other databases: hash of all columns."""
+    calls = Calls(bronze(spark, QUALITY_INPUT))
+    calls.size = spark.createDataFrame([(1000,)], "blocks long")
+    assert JdbcStore(calls, CONNECTION, connections=4).read("bronze", RUN).count() == 7
+    assert "pg_relation_size('bronze.wind_turbine_telemetry')" in calls.seen[0][1]
+    assert calls.seen[-1][2]["predicates"] == block_splits(1000, 4)
+    calls = Calls(bronze(spark, QUALITY_INPUT))
+    JdbcStore(calls, CONNECTION | {"url": "jdbc:other://db"}, connections=5).read_all("bronze")
+    (call,) = calls.seen
+    assert len(call[2]["predicates"]) == 5 and '"timestamp"' in call[2]["predicates"][0]
+    calls = Calls(bronze(spark, QUALITY_INPUT))
+    JdbcStore(calls, CONNECTION, connections=1).read_all("bronze")
+    assert [c[2]["predicates"] for c in calls.seen] == [None]
+
+
+@pytest.mark.parametrize("blocks, parts", [(0, 4), (1, 4), (7, 3), (1000, 8), (5, 1)])
+def test_block_splits_are_disjoint_and_complete(blocks, parts):
+    splits = block_splits(blocks, parts)
+    assert 1 <= len(splits) <= parts
+    # any block of the table, and those that are added while it is read
+    for block in range(blocks + 50):
+        met = 0
+        for split in splits:
+            low = re.search(r">= '\((\d+),0\)'", split)
+            high = re.search(r"< '\((\d+),0\)'", split)
+            met += (not low or block >= int(low[1])) and (not high or block < int(high[1]))
+        assert met == 1, (block, splits)
+
+
+@pytest.mark.parametrize("parts", [1, 3, 8, 1000])
+def test_hash_splits_are_disjoint_and_complete(parts):
+    """In a database that runs in this process, over rows with NULLs, quotes and separators."""
+    con = duckdb.connect()
+    con.execute("create table t(id int, \"timestamp\" varchar, power double)")
+    values = [None, "", "|", "a|b", "it's", "ü", "2022-03-01"]
+    rows = [(i, values[i % 7], None if i % 3 == 0 else i / 7) for i in range(700)]
+    con.executemany("insert into t values (?, ?, ?)", rows)
+    splits = hash_splits([quoted("id"), quoted("timestamp"), quoted("power")], parts)
+    counts = [con.execute(f"select count(*) from t where {split}").fetchone()[0] for split in splits]
+    assert sum(counts) == 700
+    assert con.execute("select count(*) from t where " + " or ".join(f"({s})" for s in splits)).fetchone()[0] == 700
+    assert parts > 8 or min(counts) > 0.5 * 700 / parts
+
+
+def test_jdbc_reads_many_runs(spark):
+    frame = bronze(spark, QUALITY_INPUT, "a").unionByName(bronze(spark, QUALITY_INPUT, "b")).unionByName(bronze(spark, QUALITY_INPUT, None))
+    store = JdbcStore(Calls(frame), CONNECTION, connections=1)
+    assert [store.read_runs("bronze", runs).count() for runs in (["a"], ["a", "b"], ["a", None], [])] == [7, 14, 14, 0]
+    assert store.runs("bronze") == ["a", "b"] and store.runs("turbine_daily_state") == []
 
 
 def test_jdbc_write(spark, monkeypatch):

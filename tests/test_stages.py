@@ -5,7 +5,7 @@ from concurrent.futures import ThreadPoolExecutor
 import pytest
 
 from helpers import ANALYSIS_INPUT, RUN, assert_rows
-from vanewatch import ParquetStore, publish, refine, run_pipeline, run_stage, run_stage_of_runs
+from vanewatch import ParquetStore, publish, refine, run_pipeline, run_stage, run_stage_of_runs, summarise
 from vanewatch.__main__ import main, parse, splits_of
 
 HEADER = "timestamp,turbine_id,wind_speed,wind_direction,power_output\n"
@@ -69,6 +69,40 @@ def test_stage_of_many_runs(spark, store, source):
     assert [counts(store, run) for run in ("r1", "r2")] == [EXPECTED] * 2
 
 
+def test_summary_from_states(spark, store, source):
+    """States are stored with silver, follow a rerun, and give the summary of any period."""
+    for run in ("r1", "r2"):
+        run_stage(spark, "ingest", run, store, path=source)
+    run_stage_of_runs(spark, "transform", ["r1", "r2"], store, states=True)
+    assert store.read("turbine_daily_state", "r1").count() == 3
+    period = ("2022-03-01 03:00:00", "2022-03-02 05:00:00")
+    for run in ("r1", "r2"):
+        publish(spark, store, run, *period)
+        want = store.read("summary_statistics", run).collect()
+        summarise(spark, store, run, *period)
+        assert_rows(store.read("summary_statistics", run), [tuple(r) for r in want])
+    with open(source + "/readings.csv", "w") as file:
+        file.write(HEADER + "2022-03-01 00:00:00,1,2.0,1,2.3")
+    run_stage(spark, "ingest", "r1", store, path=source)
+    run_stage(spark, "transform", "r1", store)
+    assert (store.read("turbine_daily_state", "r1").count(), store.read("turbine_daily_state", "r2").count()) == (1, 3)
+    summarise(spark, store, "r1", *PERIOD)
+    assert_rows(store.read("summary_statistics", "r1"), [(1, 2.3, 2.3, 2.3, "r1")])
+    summarise(spark, store, "absent", *PERIOD)
+    assert store.read("summary_statistics", "absent").isEmpty()
+
+
+def test_command_line_of_many_runs(spark, store, source):
+    for run in ("r1", "r2"):
+        main(["ingest", run, "--store", store.root, "--source", source])
+    main(["transform", "r1", "r2", "--store", store.root, "--states", "--ordered", "--required", "fail"])
+    main(["publish", "r1", "r2", "--store", store.root, "--start", PERIOD[0], "--end", PERIOD[1], "--at-once", "2"])
+    assert [counts(store, run) for run in ("r1", "r2")] == [EXPECTED] * 2
+    assert store.read_all("turbine_daily_state").count() == 6
+    with pytest.raises(SystemExit):
+        parse(["ingest", "r1", "r2", "--store", "x", "--source", "y"])
+
+
 def test_append_doubles(spark, store, source):
     store.mode = "append"
     run_stage(spark, "ingest", RUN, store, path=source)

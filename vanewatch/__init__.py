@@ -4,7 +4,10 @@ from vanewatch.operators.analysis import (
     analyse,
     anomalies,
     anomaly_thresholds,
+    daily_states,
     in_period,
+    merged_statistics,
+    period_statistics,
     summary,
     turbine_statistics,
 )
@@ -15,7 +18,17 @@ from vanewatch.operators.quality import (
     to_silver,
     with_quality,
 )
-from vanewatch.plans.stages import ingest, publish, refine, run_pipeline, run_stage, run_stage_of_runs
+from vanewatch.plans.stages import (
+    ingest,
+    publish,
+    refine,
+    refine_runs,
+    run_pipeline,
+    run_stage,
+    run_stage_of_runs,
+    store_states,
+    summarise,
+)
 from vanewatch.sources.jdbc_store import JdbcStore, postgres_connection
 from vanewatch.sources.parquet_store import ParquetStore
 from vanewatch.sources.telemetry_csv import read_telemetry_csv, stamp_run
@@ -27,17 +40,23 @@ __all__ = [
     "analyse",
     "anomalies",
     "anomaly_thresholds",
+    "daily_states",
     "flag_quality",
     "for_run",
     "in_period",
     "ingest",
+    "merged_statistics",
+    "period_statistics",
     "publish",
     "read_telemetry_csv",
     "refine",
+    "refine_runs",
     "run_pipeline",
     "run_stage",
     "run_stage_of_runs",
     "stamp_run",
+    "store_states",
+    "summarise",
     "summary",
     "to_quarantine",
     "to_silver",

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import warnings
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +22,35 @@ def postgres_connection(host: str, port: int | str, database: str, user: str, pa
     }
 
 
+def block_splits(blocks: int, parts: int) -> list[str]:
+    """Conditions on the row's place in a PostgreSQL table of about so many blocks.
+
+    They are disjoint and cover every row, in blocks added later too.
+    """
+    parts = max(1, min(parts, blocks))
+    bounds = [blocks * i // parts for i in range(1, parts)]
+    first = [f"ctid >= '({low},0)'::tid" for low in bounds]
+    last = [f"ctid < '({high},0)'::tid" for high in bounds]
+    pairs = zip([None, *first], [*last, None])
+    return [" AND ".join(c for c in pair if c) or "1 = 1" for pair in pairs]
+
+
+def quoted(column: str) -> str:
+    return '"' + column.replace('"', '""') + '"'
+
+
+def hash_splits(columns: Iterable[str], parts: int) -> list[str]:
+    """Conditions on the hash of some columns, for databases that know ``md5``; every row meets one of them.
+
+    Rows that agree in these columns stay together, and a NULL counts as empty text.
+    """
+    text = " || '|' || ".join(f"coalesce(cast({column} as varchar(4000)), '')" for column in columns)
+    digits = [f"{n:02x}" for n in range(256)]
+    parts = max(1, min(parts, len(digits)))
+    dealt = [digits[part::parts] for part in range(parts)]
+    return [f"substr(md5({text}), 1, 2) in ({', '.join(repr(d) for d in some)})" for some in dealt]
+
+
 class JdbcStore:
     """Tables ``<layer>.<table>`` reached with the given JDBC options (``url``, ``user``, ...).
 
@@ -30,7 +58,8 @@ class JdbcStore:
     running its stage again. Each task inserts in a transaction of its own, so a task that is
     repeated after its commit leaves its rows twice. ``connections`` bounds the number of connections that read or write
     at the same time. ``splits`` names, per table, the conditions that divide its scan; they must
-    be disjoint and cover every row, rows with NULLs too.
+    be disjoint and cover every row, rows with NULLs too. For other tables they are derived: PostgreSQL tables are
+    divided by block, after a look at their size, others by the hash of all columns.
     """
 
     # each pass over a table is a query to the database, so intermediate frames are cached
@@ -56,6 +85,13 @@ class JdbcStore:
         self.properties.setdefault("fetchsize", str(fetch_rows))
         self.splits = splits or {}
 
+    def runs(self, table: str) -> list[str]:
+        """States of days are not kept in a database, where an index on time does their work."""
+        if table == "turbine_daily_state":
+            return []
+        rows = self.read_all(table).select(RUN).distinct().filter(F.col(RUN).isNotNull())
+        return sorted(row[0] for row in rows.collect())
+
     def name(self, table: str) -> str:
         layer, name, _ = table_info(table)
         return f"{layer}.{name}"
@@ -114,12 +150,20 @@ class JdbcStore:
         """Rows of every run."""
         return self._scan(table, {})
 
-    def _scan(self, table: str, options: dict[str, str]) -> DataFrame:
-        if table == "bronze" and table not in self.splits:
-            warnings.warn("bronze is read by a single task: name its splits", stacklevel=3)
+    def _scan(self, table: str, options: dict) -> DataFrame:
         return self.spark.read.jdbc(
             self.url,
             self.name(table),
-            predicates=self.splits.get(table),
+            predicates=None if options else self.splits.get(table) or self._derived_splits(table),
             properties={**self.properties, **options},
         )
+
+    def _derived_splits(self, table: str) -> list[str] | None:
+        """Splits of a table that none were named for: by block where the database tells its size, else by hash."""
+        if self.connections < 2:
+            return None
+        if not self.url.startswith("jdbc:postgresql:"):
+            return hash_splits([quoted(name) for name in table_info(table)[2].names], self.connections)
+        size = f"(SELECT pg_relation_size('{self.name(table)}') / current_setting('block_size')::bigint AS blocks) AS size"
+        row = self.spark.read.jdbc(self.url, size, predicates=None, properties=self.properties).first()
+        return block_splits(int(row["blocks"] or 0), self.connections)

@@ -124,14 +124,19 @@ class ParquetStore:
         self.required.take(table, counted)
         self._commit(table, partition_folder(run), place)
 
-    def write_runs(self, table: str, df: DataFrame, compact: bool = False) -> None:
-        """Store every run in ``df`` with one scan of it. Runs that ``df`` has no rows of stay as they are."""
+    def write_runs(
+        self, table: str, df: DataFrame, compact: bool = False, runs: Iterable[str | None] = ()
+    ) -> None:
+        """Store every run in ``df`` with one scan of it, and ``runs`` also if it has no rows of them.
+
+        Other runs stay as they are.
+        """
         place = self._new_place(COMMIT)
         folder = self._folder(table, place)
         df, counted = self.required.apply(conform(df, table), table)
         self._laid_out(table, df, compact, RUN).write.partitionBy(RUN, *self._days(table)).parquet(folder)
         self.required.take(table, counted)
-        for run in self._names(folder, f"{RUN}="):
+        for run in {*self._names(folder, f"{RUN}="), *map(partition_folder, runs)}:
             self._commit(table, run, place)
 
     def write_split(self, quality: DataFrame, runs: Iterable[str | None]) -> None:
