@@ -31,14 +31,19 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def remove(spark: SparkSession, folder: str) -> None:
+    """Remove a folder of the shared file system with all that is in it."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 @contextmanager
 def settled(df: DataFrame) -> Iterator[DataFrame]:
     """As ``settle``, but the rows are removed from the shared folder in the end."""
     spark = df.sparkSession
     folder = f"{shared_dir(spark)}/settled-{uuid.uuid4().hex}"
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     try:
         df.write.parquet(folder)
         yield spark.read.schema(df.schema).parquet(folder)
     finally:
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        remove(spark, folder)
