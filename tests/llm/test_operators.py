@@ -80,11 +80,15 @@ APPLY = {
     "personal": lambda d: personal_data.find_personal_data(d, personal_data.Field()),
     "toxicity": lambda d: toxicity.score_texts(d, toxicity.train([], [])),
 }
+CLASHES = (
+    "size", "score", "key", "words", "group", "node", "of_node", "of_source", "range", "toxicity_score", "row_key",
+    "number", "body", "item_id", "line", "_of_node", "_mix_own",
+)
 
 
 @pytest.mark.parametrize("name", APPLY)
 def test_awkward_rows_each_give_a_row(spark, awkward, empty, name):
-    clash = awkward.withColumns({c: F.lit("x") for c in ("size", "score", "key", "words", "group", "node")})
+    clash = awkward.withColumns({c: F.lit("x") for c in CLASHES})
     got = APPLY[name](clash).collect()
     assert len(got) == len(AWKWARD)
     assert Counter(r["doc_id"] for r in got) == Counter(r[0] for r in AWKWARD)
@@ -156,10 +160,11 @@ def test_every_trusted_document_counts(spark, monkeypatch):
 def test_quality_separates_labelled_documents(spark):
     sf = SF.replace("sf0.001", "sf0.01")
     labels = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "quality")
-    scored = queries.op1_quality_rules(spark, sf).join(labels, "doc_id").filter("not base_failed").cache()
-    bad, good = (scored.filter(f"quality = {q}") for q in (0, 1))
-    assert bad.filter("not kept").count() >= 0.95 * bad.count() > 0
-    assert good.filter("kept").count() >= 0.95 * good.count() > 0
+    scored = queries.op1_quality_rules(spark, sf).join(labels, "doc_id").filter("not base_failed")
+    counts = {(r["quality"], r["kept"]): r["count"] for r in scored.groupBy("quality", "kept").count().collect()}
+    bad, good = (counts.get((q, True), 0) + counts.get((q, False), 0) for q in (0, 1))
+    assert counts[0, False] >= 0.95 * bad > 0
+    assert counts[1, True] >= 0.95 * good > 0
 
 
 def test_repeated_words_equal_brute_force(spark):
@@ -285,6 +290,7 @@ def test_stage_drops_copies_of_five_words_and_four_fifths(spark):
 def test_sets_outside_the_largest_component_meet_in_blocks(spark, monkeypatch):
     # links of one signature's sets that no star finds: every one has to come from the blocks
     monkeypatch.setattr(ngram_join, "BLOCK_SHINGLES", 1500)
+    monkeypatch.setattr(ngram_join, "SHARE_SHINGLES", 700)
     texts = near_copies()
     shingles = ngram_join._set_rows(frame(spark, texts).selectExpr("doc_id as node", "text"), 4)
     sets = {r["node"]: r["items"] for r in shingles.collect() if r["items"]}
@@ -427,3 +433,98 @@ def test_pipeline_keeps_one_of_each_group_and_no_item(spark):
     for r in ngram_join.group_similar(final).collect():
         groups[r["component_id"]] += 1
     assert max(groups.values()) == 1
+
+
+# --- stages on awkward tables ---------------------------------------------------------------------
+
+ITEM = "what the seventh question asks of every careful reader is to name the river that runs north"
+ODD = [
+    (1, None, "en", "a", 0),
+    (2, "", None, None, None),
+    (3, f"some text before it {ITEM} and after it", "en", "a", 9),
+    (None, f"other words here {ITEM} the end", "en", "b", 9),
+    (None, "a text that has no id and comes two times over here", "en", "b", 9),
+    (None, "a text that has no id and comes two times over here", "en", "c", 9),
+    (7, "one of two different texts that share their id as it happens", "en", "b", 9),
+    (7, "the second text of that id says quite another thing than it", "en", "b", 9),
+    (8, "this row is there twice and so is one document of course", "en", "c", 9),
+    (8, "this row is there twice and so is one document of course", "en", "c", 9),
+    (9, "a text that has no id and comes two times over here", "en", "c", 9),
+    (10, LONG, "en", "a", len(LONG)),
+]
+
+
+@pytest.fixture(scope="module")
+def odd_dir(tmp_path_factory, spark):
+    """Tables beside the documents: one benchmark item, three times, and labels of one kind only."""
+    folder = str(tmp_path_factory.mktemp("tables"))
+    spark.createDataFrame([(1, ITEM), (2, ITEM), (3, None)], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    spark.createDataFrame([(3, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    return folder
+
+
+STAGE_KEEPS = {
+    "toxicity": list(range(12)),
+    "line_dedup": list(range(12)),
+    # of the copies without an id and with one, the one with an id; one of the repeated rows
+    "ngram_join": [0, 1, 2, 3, 6, 7, 8, 10, 11],
+    "decontamination": [0, 1, 4, 5, 6, 7, 8, 9, 10, 11],
+}
+
+
+def stage_rows(rows):
+    return Counter((r["doc_id"], r["text"]) for r in rows)
+
+
+@pytest.mark.parametrize("name", STAGE_KEEPS)
+def test_stage_on_odd_rows(spark, odd_dir, name):
+    stage = dict(corpus_pipeline.STAGES)[name]
+    docs = spark.createDataFrame(ODD, SCHEMA).withColumns({c: F.lit("x") for c in CLASHES})
+    got = stage(spark, docs, odd_dir)
+    assert got.columns == docs.columns
+    want = Counter((ODD[i][0], ODD[i][1]) for i in STAGE_KEEPS[name])
+    assert stage_rows(got.collect()) == want
+    assert stage(spark, docs.limit(0), odd_dir).collect() == []
+
+
+def test_mix_stage_on_odd_rows(spark, odd_dir):
+    docs = spark.createDataFrame(ODD, SCHEMA).withColumns({c: F.lit("x") for c in CLASHES})
+    got = corpus_pipeline.source_mix(spark, docs, odd_dir)
+    rows = got.collect()
+    assert set(docs.columns) <= set(got.columns) and all(r["taken"] > 0 and r["size"] == len(r["text"].split()) for r in rows)
+    assert not {1, 2} & {r["doc_id"] for r in rows}
+    again = corpus_pipeline.source_mix(spark, docs, odd_dir).collect()
+    assert Counter((r["doc_id"], r["taken"]) for r in rows) == Counter((r["doc_id"], r["taken"]) for r in again)
+    assert corpus_pipeline.source_mix(spark, docs.limit(0), odd_dir).collect() == []
+
+
+@pytest.mark.parametrize("weight", ["1.0D", "0.5D", "0.01D", "0.001D + pmod(xxhash64(id), 1000) / 1000"])
+def test_ranges_of_the_mix_are_even_for_any_weights(spark, monkeypatch, weight):
+    """No range holds many more rows than others, be the weights near one or far from it."""
+    rows = spark.range(20_000).selectExpr("id as doc_id", "'a b' as text", "'s' as source", f"{weight} as w")
+    ranges = []
+    monkeypatch.setattr(source_mix, "spread_ranges", lambda df, *by, f=source_mix.spread_ranges: ranges.append(df.groupBy(*by).count()) or f(df, *by))
+    df = source_mix.mix_sources(rows, weight=F.col("w"))
+    assert abs(df.agg(F.sum("taken")).first()[0] - 60_000) <= 2
+    counts = [r["count"] for r in ranges[0].collect()]
+    assert sum(counts) == 20_000 and max(counts) < 2 * 20_000 / len(counts) and len(counts) > 60
+
+
+def test_urls_on_odd_rows(spark):
+    long = "http://" + "x" * 50_000 + ".org/" + "y" * 50_000
+    rows = [(1, None), (2, ""), (3, "http://a.org/x"), (3, "http://a.org/x"), (None, "http://a.org/x"), (4, long)]
+    pages = spark.createDataFrame(rows, "page_id long, url string").withColumns({c: F.lit("x") for c in ("host", "path", "rule", "canonical", "verdict", "key")})
+    got = url_filter.judge_urls(pages, url_filter.rule_table(spark), spark.createDataFrame([("a.org/x",)], "url string")).collect()
+    assert Counter(r["page_id"] for r in got) == Counter(r[0] for r in rows)
+    assert {r["host"] for r in got if r["page_id"] == 4} == {"x" * 50_000 + ".org"}
+
+
+def test_contamination_on_odd_rows(spark):
+    docs = spark.createDataFrame(ODD + [ODD[2]], SCHEMA).withColumns({c: F.lit("x") for c in CLASHES})
+    bench = spark.createDataFrame([(1, ITEM), (2, ITEM), (None, ITEM), (4, ""), (5, None)], "item_id long, text string")
+    got = decontaminate.find_contamination(docs, bench).collect()
+    # three copies of the item in each of three rows, one of them without an id
+    assert Counter((r["doc_id"], r["item_id"]) for r in got) == Counter(
+        {(d, i): n for d, n in ((3, 2), (None, 1)) for i in (1, 2, None)}
+    )
+    assert all(r["distance"] == 0 for r in got)

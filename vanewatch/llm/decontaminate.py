@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vanewatch.scratch import settle
+
 from vanewatch.llm import text_arrays as ta
 
 # edits allowed: one for each so many words
@@ -34,6 +36,8 @@ WALKS, TABLES, PLACES = 4, 6, 3
 STEPS_PER_WORD = 3
 # Items of a block, about 1 kB each when broadcast.
 BLOCK_ITEMS = 20_000
+# Ids of items that may be broadcast, 16 bytes each.
+BROADCAST_ITEMS = 1_000_000
 # Words of the windows that are embedded at a time, 8 bytes each.
 WINDOW_WORDS = 1 << 20
 PAD = ta.U64(0xFFFF_FFFF_FFFF_FFFB)
@@ -248,20 +252,32 @@ def find_contamination(
     """One row for each place where an item is found: distance in words, first word and end in the document.
 
     Null and empty texts hold nothing, null and empty items are in nothing. Rows without an id are searched too,
-    repeated rows are each reported, repeated items too. Without documents or items the result is empty. Other
+    repeated rows are each reported, repeated items too. Places that tie in distance are all reported unless they
+    overlap. Very long texts and items are searched whole. Without documents or items the result is empty. Other
     columns are not read.
     """
     spark = docs.sparkSession
-    bench = benchmark.select(F.col(item_id).cast("long"), F.col(item_text))
-    blocks = max(1, math.ceil(bench.count() / BLOCK_ITEMS))
-    block = F.pmod(F.xxhash64(F.col(item_text)), F.lit(blocks))
+    bench = benchmark.select(F.col(item_id).cast("long").alias("item_id"), F.col(item_text).alias("body"))
+    # equal items are searched for once, under a number of their own; blocks of different items are of even size
+    bench = bench.filter("body is not null").withColumn("number", F.xxhash64("body"))
+    items = settle(bench.groupBy("number").agg(F.min("body").alias("body")))
+    blocks = max(1, math.ceil(items.count() / BLOCK_ITEMS))
     texts = docs.select(F.col(id_column).cast("long"), F.col(text))
     result = None
-    for number in range(blocks):
-        items = prepare([tuple(row) for row in bench.filter(block == number).collect()])
-        found = texts.mapInArrow(_search(spark.sparkContext.broadcast(items)), SCHEMA)
+    for block in range(blocks):
+        own = items.filter(F.pmod(F.col("number"), F.lit(blocks)) == block)
+        shared = spark.sparkContext.broadcast(prepare([tuple(row) for row in own.collect()]))
+        found = texts.mapInArrow(_search(shared), SCHEMA)
+        if blocks > 1:
+            # the places are in the shared folder, so the driver holds one block at a time
+            found = settle(found)
+            shared.destroy()
         result = found if result is None else result.unionByName(found)
-    return result
+    names = bench.select("item_id", F.col("number"))
+    few = names.limit(BROADCAST_ITEMS + 1).count() <= BROADCAST_ITEMS
+    columns = result.columns
+    result = result.withColumnRenamed("item_id", "number")
+    return result.join(F.broadcast(names) if few else names, "number").select(*columns)
 
 
 def _search(shared):

@@ -16,9 +16,9 @@ from vanewatch.llm.words import SPACE, WORD, free_names
 from vanewatch.scratch import settle
 
 MIN_SITES = 10
-# In a table of few sites, half of them are many, but never fewer than LEAST_SITES; lines of fewer words than
-# LEAST_WORDS stay there, as they may be alike by chance.
-LEAST_SITES, LEAST_WORDS = 3, 6
+# In a table of few sites, half of them are many, but never fewer than LEAST_SITES. Lines of fewer words than
+# LEAST_WORDS may be alike by chance.
+LEAST_SITES, LEAST_WORDS = 3, 3
 # 2^10 registers: a standard error of 3.3 %. Estimates within NEAR of the threshold are recounted.
 SKETCH_BITS = 10
 NEAR = 0.25
@@ -36,10 +36,10 @@ def _site(site: str) -> Column:
     return F.xxhash64(F.coalesce(F.concat(F.lit("s"), F.col(site).cast("string")), F.lit("n")))
 
 
-def many_sites(docs: DataFrame, site: str = "source") -> tuple[int, int]:
-    """``min_sites`` and ``min_words`` for a table, by the number of its sites."""
+def many_sites(docs: DataFrame, site: str = "source") -> int:
+    """``min_sites`` for a table: half of its sites, from ``LEAST_SITES`` to ``MIN_SITES``."""
     half = math.ceil(docs.select(_site(site)).distinct().count() / 2)
-    return (MIN_SITES, 1) if half >= MIN_SITES else (max(LEAST_SITES, half), LEAST_WORDS)
+    return min(MIN_SITES, max(LEAST_SITES, half))
 
 
 def _key(line: Column, min_words: int = 1) -> Column:

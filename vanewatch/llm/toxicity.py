@@ -240,7 +240,11 @@ def held_out(id_column: str):
 
 
 def fit_network(docs: DataFrame, labels: DataFrame, text: str = "text", id_column: str = "doc_id") -> Network:
-    """Trains on a bounded sample of the labelled rows that are not held out."""
+    """Trains on a bounded sample of the labelled rows that are not held out.
+
+    Null ids, labels and texts, empty texts and very long ones are left out of it. Without rows of either label the
+    network gives one low score to all texts.
+    """
     marked = labels.select(F.col("doc_id").alias("id"), F.col("toxic").alias("label"))
     marked = marked.filter("id is not null and label is not null").filter(~held_out("id")).distinct()
     texts = docs.select(F.col(id_column).alias("id"), F.col(text).alias("text")).filter(
@@ -251,8 +255,11 @@ def fit_network(docs: DataFrame, labels: DataFrame, text: str = "text", id_colum
         for label in (0, 1)
     ]
     sample = F.broadcast(parts[0].unionByName(parts[1]))
+    # of several texts or labels of an id the first by hash, so that every run trains on the same rows
+    one = F.min_by(F.struct("text", "label"), F.struct(F.xxhash64("text", "label"), "text", "label")).alias("row")
+    found = texts.join(sample, "id").groupBy("id").agg(one)
     # at most 2 * SAMPLE_TEXTS rows of SAMPLE_CHARS characters
-    rows = texts.join(sample, "id").dropDuplicates(["id"]).orderBy("id").limit(2 * SAMPLE_TEXTS).collect()
+    rows = found.select("id", "row.*").orderBy("id").limit(2 * SAMPLE_TEXTS).collect()
     return train([r["text"] for r in rows], [r["label"] for r in rows])
 
 
