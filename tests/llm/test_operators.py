@@ -290,7 +290,7 @@ def test_stage_drops_copies_of_five_words_and_four_fifths(spark):
 def test_sets_outside_the_largest_component_meet_in_blocks(spark, monkeypatch):
     # links of one signature's sets that no star finds: every one has to come from the blocks
     monkeypatch.setattr(ngram_join, "BLOCK_SHINGLES", 1500)
-    monkeypatch.setattr(ngram_join, "SHARE_SHINGLES", 700)
+    monkeypatch.setattr(ngram_join, "COUNTED", 50)
     texts = near_copies()
     shingles = ngram_join._set_rows(frame(spark, texts).selectExpr("doc_id as node", "text"), 4)
     sets = {r["node"]: r["items"] for r in shingles.collect() if r["items"]}

@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import cache
 from itertools import combinations
 
 import numpy as np
@@ -33,6 +34,7 @@ from pyspark.sql import functions as F
 
 from vanewatch.llm import text_arrays as ta
 from vanewatch.llm.components import connected
+from vanewatch.llm.words import free_names
 from vanewatch.scratch import settle
 
 SHINGLE_WORDS = 4
@@ -43,10 +45,16 @@ PARTS, LOST = 3, 1
 CONTENT = 2
 SEEDS = 12
 STAR_ROUNDS = 1
+# Signatures that a task gathers before it hands them over, 16 bytes each.
+BUFFER = 1 << 20
+# Shingles whose signatures meet in one range; each has one or two, at 16 bytes.
+PART_SHINGLES = 1_000_000
 # Ids that may be broadcast, 16 bytes each.
 BROADCAST_IDS = 1_000_000
 # Shingles of a block of queries, 12 bytes each when broadcast.
 BLOCK_SHINGLES = 1_000_000
+# Meetings of a set's shingles with those of a block that are counted at a time.
+COUNTED = 1 << 19
 
 
 def _sets(column: pa.Array, shingle_words: int) -> Iterator[np.ndarray]:
@@ -87,6 +95,7 @@ def band_start(band: int, similar: int) -> int:
     return math.ceil(round(band_ratio(similar) ** band, 9))
 
 
+@cache
 def plan(band: int, similar: int) -> tuple[int, int, int, int, int]:
     """Partitions of a group, groups, differences allowed in one, spare groups, and shingles of a signature."""
     largest = band_start(band + 1, similar) - 1
@@ -111,6 +120,19 @@ def plan(band: int, similar: int) -> tuple[int, int, int, int, int]:
     return parts, groups, lost, 0, 1
 
 
+@cache
+def _draw(band: int, seed: int) -> ta.U64:
+    """What a band's shingles are mixed with under a seed."""
+    return ta.mix(np.array([band * SEEDS + seed + 1], ta.U64))[0]
+
+
+@cache
+def _subsets(parts: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The subsets of that many partitions, and a number that tells their signatures apart."""
+    chosen = np.array(list(combinations(range(parts), size)))
+    return chosen, ta.seeded(2, len(chosen))
+
+
 def signatures(items: np.ndarray, similar: int) -> np.ndarray:
     """All signatures of a set; empty sets have none."""
     out: list[np.ndarray] = []
@@ -122,31 +144,23 @@ def signatures(items: np.ndarray, similar: int) -> np.ndarray:
     bands = [band] + ([band + 1] if size * 100 >= similar * band_start(band + 1, similar) else [])
     for number in bands:
         parts, groups, lost, spare, least = plan(number, similar)
+        chosen, marks = _subsets(parts, parts - lost)
         for seed in range(SEEDS):
-            salt = ta.mix(np.array([number * SEEDS + seed + 1], ta.U64))[0]
+            salt = _draw(number, seed)
             drawn = ta.mix(items ^ salt)
-            place = (drawn >> ta.U64(11)) % ta.U64(groups * parts)
+            place = ((drawn >> ta.U64(11)) % ta.U64(groups * parts)).astype(np.int64)
             sums = np.zeros(groups * parts, ta.U64)
             np.add.at(sums, place, ta.mix(drawn))
-            filled = np.bincount(place.astype(np.int64), minlength=groups * parts).reshape(groups, parts)
+            filled = np.bincount(place, minlength=groups * parts).reshape(groups, parts)
             content = ta.mix(sums + np.arange(groups * parts, dtype=ta.U64) + salt).reshape(groups, parts)
-            bare = np.zeros(groups, bool)
-            last = seed == SEEDS - 1
-            for which, subset in enumerate(combinations(range(parts), parts - lost)):
-                chosen = list(subset)
-                scarce = filled[:, chosen].sum(axis=1) < least
-                bare |= scarce
-                keys = ta.mix(content[:, chosen].sum(axis=1, dtype=ta.U64) ^ ta.seeded(2, which + 1)[which])
-                out.append(keys if last else keys[~scarce])
-            if bare.sum() <= spare:
+            scarce = filled[:, chosen].sum(axis=2) < least
+            keys = ta.mix(content[:, chosen].sum(axis=2, dtype=ta.U64) ^ marks)
+            out.append(keys.reshape(-1) if seed == SEEDS - 1 else keys[~scarce])
+            if scarce.any(axis=1).sum() <= spare:
                 break
     return np.unique(np.concatenate(out))
 
 
-def _with_ids(batch: pa.RecordBatch, id_at: int, counts: np.ndarray) -> pa.Array:
-    return batch.column(id_at).take(pa.array(np.repeat(np.arange(len(counts)), counts)))
-
-
 def sketch(items: np.ndarray) -> bytes:
     """Histogram of a set over half as many places as it has items, rounded up to a power of two.
 
@@ -186,26 +200,82 @@ def describe_sets(docs: DataFrame, id_column: str, text: str, shingle_words: int
     return rows.mapInArrow(run, "doc_id long, n_shingles long, d1 long, d2 long, sketch binary")
 
 
-def _signature_rows(docs: DataFrame, shingle_words: int, similar: int) -> DataFrame:
+def _planes(numbers: np.ndarray) -> bytes:
+    """Numbers byte by byte, first all lowest ones: what is alike stands together and takes little room on disk."""
+    return numbers.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _from_planes(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, np.uint8).reshape(8, -1).T.copy().view("<u8").reshape(-1)
+
+
+def _signature_rows(docs: DataFrame, shingle_words: int, similar: int, parts: int) -> DataFrame:
+    """Signatures and the nodes that have them, packed by range of signatures: ``part``, ``signatures``, ``nodes``."""
+    names = ["part", "signatures", "nodes"]
+
+    def packed(keys: list[np.ndarray], nodes: list[np.ndarray]) -> pa.RecordBatch:
+        all_keys, all_nodes = np.concatenate(keys), np.concatenate(nodes)
+        order = np.argsort(all_keys)
+        all_keys, all_nodes = all_keys[order], all_nodes[order]
+        part = ((all_keys >> ta.U64(32)) * ta.U64(parts)) >> ta.U64(32)
+        edges = np.searchsorted(part, np.arange(parts + 1, dtype=ta.U64)).tolist()
+        rows = [
+            (p, _planes(all_keys[lo:hi]), _planes(all_nodes[lo:hi]))
+            for p, (lo, hi) in enumerate(zip(edges[:-1], edges[1:]))
+            if lo < hi
+        ]
+        columns = list(zip(*rows)) if rows else [()] * 3
+        types = (pa.int32(), pa.binary(), pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys: list[np.ndarray] = []
+        nodes: list[np.ndarray] = []
+        size = 0
         for batch in batches:
-            found = [signatures(s, similar) for s in _sets(batch.column(1), shingle_words)]
-            # a long text has many signatures, so a batch goes out in parts
-            at = 0
-            while at < len(found):
-                size, end = 0, at
-                while end < len(found) and (end == at or size + len(found[end]) <= 1 << 18):
-                    size += len(found[end])
-                    end += 1
-                counts = np.array([len(f) for f in found[at:end]])
-                keys = np.concatenate(found[at:end])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ta.signed(keys)), _with_ids(batch.slice(at, end - at), 0, counts)],
-                    names=["signature", "node"],
-                )
-                at = end
+            own = np.asarray(batch.column(0), np.int64)
+            for node, items in zip(own, _sets(batch.column(1), shingle_words)):
+                found = signatures(items, similar)
+                keys.append(found)
+                nodes.append(np.full(len(found), node).view(ta.U64))
+                size += len(found)
+                if size >= BUFFER:
+                    yield packed(keys, nodes)
+                    keys, nodes, size = [], [], 0
+        if size:
+            yield packed(keys, nodes)
+
+    return docs.select("node", "text").mapInArrow(run, "part int, signatures binary, nodes binary")
+
+
+def _shared_signatures(rows: DataFrame, parts: int) -> DataFrame:
+    """``signature``, ``node`` and the ``lowest`` node that has it, of signatures that several nodes have."""
+
+    def found(keys: list[np.ndarray], nodes: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        all_keys, all_nodes = np.concatenate(keys), np.concatenate(nodes).view(np.int64)
+        order = np.argsort(all_keys)
+        all_keys, all_nodes = all_keys[order], all_nodes[order]
+        first = np.flatnonzero(np.concatenate([[True], all_keys[1:] != all_keys[:-1]]))
+        lowest, highest = (ufunc.reduceat(all_nodes, first) for ufunc in (np.minimum, np.maximum))
+        size = np.diff(np.append(first, len(all_keys)))
+        several = np.repeat(lowest < highest, size)
+        columns = (ta.signed(all_keys[several]), all_nodes[several], np.repeat(lowest, size)[several])
+        for at in range(0, len(columns[0]), 1 << 18):
+            part = [pa.array(c[at : at + (1 << 18)], pa.int64()) for c in columns]
+            yield pa.RecordBatch.from_arrays(part, names=["signature", "node", "lowest"])
 
-    return docs.mapInArrow(run, "signature long, node long")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # a partition holds few ranges; they are kept as they came and unpacked one after the other
+        held: dict[int, list[tuple[bytes, bytes]]] = {}
+        for batch in batches:
+            for part, own_keys, own_nodes in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                held.setdefault(part, []).append((own_keys, own_nodes))
+        while held:
+            _, packed = held.popitem()
+            keys, nodes = zip(*packed)
+            yield from found([_from_planes(k) for k in keys], [_from_planes(n) for n in nodes])
+
+    return rows.repartition(parts, "part").mapInArrow(run, "signature long, node long, lowest long")
 
 
 def _set_rows(docs: DataFrame, shingle_words: int) -> DataFrame:
@@ -224,9 +294,10 @@ def _set_rows(docs: DataFrame, shingle_words: int) -> DataFrame:
 def restrict(docs: DataFrame, id_column: str, ids: DataFrame, keep: bool) -> DataFrame:
     """Rows whose id is, or is not, among ``ids``: broadcast if they are few, else joined by key."""
     few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    ids = ids.select(F.col(ids.columns[0]).alias("of_node"))
+    (other,) = free_names(docs.columns, "of_node")
+    ids = ids.select(F.col(ids.columns[0]).alias(other))
     ids = F.broadcast(ids) if few else ids.hint("shuffle_hash")
-    return docs.join(ids, F.col(id_column) == F.col("of_node"), "left_semi" if keep else "left_anti")
+    return docs.join(ids, F.col(id_column) == F.col(other), "left_semi" if keep else "left_anti")
 
 
 def possible_pairs(pairs: DataFrame, sketches: DataFrame, similar: int) -> DataFrame:
@@ -321,8 +392,13 @@ def _compare_with(shared, similar: int):
                 own = np.asarray(batch.column(1)[row].values, np.int64)
                 low, high = np.searchsorted(items, own, "left"), np.searchsorted(items, own, "right")
                 count = high - low
-                at = np.repeat(low - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
-                common = np.bincount(owner[at], minlength=len(nodes))
+                common = np.zeros(len(nodes), np.int64)
+                # frequent shingles of a long text meet many queries, so they are counted in parts
+                cuts = np.searchsorted(np.cumsum(count), np.arange(0, int(count.sum()), COUNTED), "right").tolist()
+                for first, last in zip(cuts, [*cuts[1:], len(own)]):
+                    some = count[first:last]
+                    at = np.repeat(low[first:last] - (np.cumsum(some) - some), some) + np.arange(int(some.sum()))
+                    common += np.bincount(owner[at], minlength=len(nodes))
                 hit = 100 * common >= similar * (sizes + len(own) - common)
                 hit &= (components != component) & (nodes != node)
                 # the first partner of each other component links the two
@@ -345,7 +421,7 @@ def group_similar(
 
     Null and empty texts have no shingles and are linked with nothing. Rows without an id keep their size,
     have no component and take no part in linking. Rows that repeat an id are the same document. Equal sets
-    are linked. An empty table gives an empty result. Other columns are not read.
+    are linked. Very long texts are read whole. An empty table gives an empty result. Other columns are not read.
     """
     described = settle(describe_sets(docs, id_column, text, shingle_words))
     same = ["n_shingles", "d1", "d2"]
@@ -364,14 +440,10 @@ def group_similar(
     texts = docs.select(F.col(id_column).cast("long").alias("node"), F.col(text).alias("text"))
     unique = restrict(texts.filter("node is not null"), "node", settle(copies), keep=False)
 
-    bucket = Window.partitionBy("signature")
-    shared = settle(
-        _signature_rows(unique, shingle_words, similar)
-        .withColumn("lowest", F.min("node").over(bucket))
-        .withColumn("highest", F.max("node").over(bucket))
-        .filter("lowest < highest")
-        .select("signature", "node", "lowest")
-    )
+    total = described.agg(F.sum("n_shingles")).first()[0] or 0
+    conf = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(conf, math.ceil(total / PART_SHINGLES))
+    shared = settle(_shared_signatures(_signature_rows(unique, shingle_words, similar, parts), parts))
     members = shared.select(F.col("node").alias("doc_id")).distinct()
     sketches = settle(
         described.join(members, "doc_id", "left_semi")
