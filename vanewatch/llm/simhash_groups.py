@@ -170,10 +170,15 @@ def choose_parts(n: int, both: np.ndarray, sample: np.ndarray, different: int =
         costs = np.zeros((parts, different + 2))
         for i, group in enumerate(groups):
             own = bits[:, group]
-            distance = np.rint(own @ (1 - own).T + (1 - own) @ own.T).astype(np.int64)
-            np.fill_diagonal(distance, BITS + 1)
-            pairs = max(1, len(sample) * (len(sample) - 1))
-            seen = np.cumsum(np.bincount(distance.reshape(-1), minlength=BITS + 2)[: different + 1]) / pairs
+            counts = np.zeros(BITS + 1, np.int64)
+            # a block of the sample against all of it, so that the driver needs little memory
+            for at in range(0, len(own), 256):
+                some = own[at : at + 256]
+                distance = (some @ (1 - own).T + (1 - some) @ own.T).astype(np.uint8)
+                counts += np.bincount(distance.reshape(-1), minlength=BITS + 1)
+            # without each one's distance to itself
+            counts[0] -= len(own)
+            seen = np.cumsum(counts[: different + 1]) / max(1, len(own) * (len(own) - 1))
             even = np.cumsum([comb(len(group), t) for t in range(different + 1)]) / 2.0 ** len(group)
             set_bits = float(ones[group].sum())
             # ways to clear t of that many set bits
