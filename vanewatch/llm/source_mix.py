@@ -12,11 +12,13 @@ and the sums of the ranges before it are added. A source with a third of all row
 from __future__ import annotations
 
 import math
+import operator
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vanewatch.llm.words import WORD, free_names
+from vanewatch.llm.words import WORD, free_names, let
 from vanewatch.scratch import settle
 
 # fixed values: weights of the sources by code point, repeating
@@ -25,6 +27,10 @@ SHARE = 1.5
 MAX_EPOCHS = 2
 # Rows of a key range. Above its square a table has as many ranges as there are rows in one.
 RANGE_ROWS = 256
+# Weights that stand for all of them when keys are dealt into ranges.
+TYPICAL_WEIGHTS = 16
+# Sources that may be broadcast, with three numbers each.
+BROADCAST_SOURCES = 500_000
 SEED = "mix"
 UNIFORM_BITS = 52
 
@@ -36,7 +42,7 @@ def word_count(text: Column) -> Column:
 def quality_weight(text: Column) -> Column:
     """Between 0.5 and 1, less the more of the text is markup or symbols; 0.5 for an empty text."""
     body = F.coalesce(text, F.lit(""))
-    plain = F.length(F.translate(body, "#*$%&|<>", ""))
+    plain = F.length(body) - F.regexp_count(body, F.lit("[#*$%&|<>]"))
     return F.lit(0.5) + F.coalesce(plain / F.nullif(F.length(body), F.lit(0)), F.lit(0.0)) / F.lit(2.0)
 
 
@@ -76,6 +82,11 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share:
     )
 
 
+def spread_ranges(rows: DataFrame, source: str, part: str) -> DataFrame:
+    """Words of each range of each source."""
+    return rows.groupBy(source, part).agg(F.sum("size").alias("words"))
+
+
 def mix_sources(
     docs: DataFrame,
     text: str = "text",
@@ -94,40 +105,55 @@ def mix_sources(
     """
     results = ("size", "source_size", "target", "taken")
     others = [c for c in docs.columns if c.lower() not in results]
-    key, part, start = free_names([*docs.columns, *results], "mix_key", "mix_range", "mix_start")
-    name = free_names([*docs.columns, *results], "mix_source")[0]
-    doc_weight = quality_weight(F.col(text)) if weight is None else weight
+    key, part, start, name, own, of_range = free_names(
+        [*docs.columns, *results], "mix_key", "mix_range", "mix_start", "mix_source", "mix_own", "mix_of_range"
+    )
+    doc_weight = F.greatest(quality_weight(F.col(text)) if weight is None else weight, F.lit(1e-6))
 
+    shares = [(i + 0.5) / TYPICAL_WEIGHTS for i in range(TYPICAL_WEIGHTS)]
     sizes = settle(
-        docs.select(F.col(source).alias("source"), word_count(F.col(text)).alias("size"))
+        docs.select(F.col(source).alias("source"), word_count(F.col(text)).alias("size"), doc_weight.alias("weight"))
         .groupBy("source")
-        .agg(F.sum("size").alias("source_size"), F.count("*").alias("rows"))
+        .agg(
+            F.sum("size").alias("source_size"),
+            F.count("*").alias("rows"),
+            F.percentile_approx("weight", shares, 200).alias("weights"),
+        )
     )
-    n_rows = sizes.agg(F.sum("rows")).first()[0] or 0
+    spread = sizes.select("rows", F.explode("weights").alias("weight"))
+    typical = F.percentile_approx("weight", shares, 1000).alias("weights")
+    totals = sizes.agg(F.sum("rows").alias("rows"), F.count("*").alias("sources")).first()
+    n_rows, found_weights = totals["rows"] or 0, spread.agg(typical).first()["weights"] or [1.0]
     n_ranges = max(1, math.ceil(n_rows / max(RANGE_ROWS, math.isqrt(n_rows))))
     targets = source_targets(sizes.select("source", "source_size"), weights, share)
 
-    # u ** (1 / w) grows as the key -ln(u) / w falls; it lies between 0 and 1, which makes ranges easy
-    drawn = -F.log(uniform(F.col(id_column))) / F.greatest(doc_weight, F.lit(1e-6))
+    # u ** (1 / w) grows as the key -ln(u) / w falls. The share of keys up to k is 1 - exp(-w k) for a weight w; its mean
+    # over typical weights deals the keys into ranges of about equal numbers of rows, in the order of the keys.
+    drawn = -F.log(uniform(F.col(id_column))) / doc_weight
+    up_to = let(
+        F.col(key), lambda k: reduce(operator.add, [F.lit(1.0) - F.exp(k * F.lit(-float(w))) for w in found_weights])
+    )
     rows = (
         docs.select(*others, word_count(F.col(text)).alias("size"), drawn.alias(key))
-        .withColumn(part, F.floor((1 - F.exp(-F.col(key))) * n_ranges))
+        .withColumn(part, F.floor(up_to * (n_ranges / len(found_weights))))
         .withColumn(name, F.col(source))
     )
-    ranges = rows.groupBy(name, part).agg(F.sum("size").alias("words"))
+    ranges = spread_ranges(rows, name, part)
     earlier = Window.partitionBy(name).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
     offsets = ranges.select(
         F.col(name).alias("source"),
-        F.col(part).alias("range"),
+        F.col(part).alias(of_range),
         F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias(start),
     )
+    few = totals["sources"] <= BROADCAST_SOURCES
+    targets = F.broadcast(targets) if few else targets
     by_key = Window.partitionBy(name, part).orderBy(key, F.col(id_column))
     running = F.sum("size").over(by_key.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    known = offsets.join(F.broadcast(targets), offsets["source"].eqNullSafe(targets["source"])).select(
-        offsets["source"].alias("of_source"), "range", start, "source_size", "target"
+    known = offsets.join(targets, offsets["source"].eqNullSafe(targets["source"])).select(
+        offsets["source"].alias(own), of_range, start, "source_size", "target"
     )
     placed = rows.withColumn(key, running - F.col("size")).join(
-        known, F.col(name).eqNullSafe(F.col("of_source")) & (F.col(part) == F.col("range"))
+        known, F.col(name).eqNullSafe(F.col(own)) & (F.col(part) == F.col(of_range))
     )
     epochs = F.coalesce(F.floor(F.col("target") / F.nullif(F.col("source_size"), F.lit(0))), F.lit(0))
     rest = F.floor("target") - epochs * F.col("source_size")
