@@ -237,9 +237,9 @@ def test_heavy_turbines_are_kept_out_of_the_shuffle(spark):
     got = anomalies(df, anomaly_thresholds(stats), RUN, broadcast_groups=10)
     assert 0 < stats.filter(F.col("readings") > df.count() / 10).count() <= 10
     text = plan(got)
-    assert "SortMergeJoin" in text and "LeftAnti" in text
+    assert "ShuffledHashJoin" in text and "LeftAnti" in text
     assert text.count("BroadcastHashJoin") == 3  # heavy, not heavy, without turbine
-    light = text[text.index("SortMergeJoin") : text.index("LeftAnti") + 2000]
+    light = text[text.index("ShuffledHashJoin") : text.index("LeftAnti") + 2000]
     assert "isnotnull(turbine_id" in light
 
 
