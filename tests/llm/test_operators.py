@@ -127,8 +127,8 @@ def test_quality_counts(spark):
 
 @pytest.mark.parametrize("broadcast", [1_000_000, 20])
 def test_quality_scores_equal_brute_force(spark, monkeypatch, broadcast):
-    """Every word and pair has counts of its own, broadcast or joined by key; the own share of a trusted text is left out."""
-    monkeypatch.setattr(quality_ratio, "BROADCAST_GRAMS", broadcast)
+    """With buckets enough, every word and pair has its own; broadcast or joined by key. The own share of a trusted text is left out."""
+    monkeypatch.setattr(quality_ratio, "BROADCAST_BUCKETS", broadcast)
     draw = random.Random(7)
     texts = [" ".join(draw.choice("abcdefgh") * draw.randint(1, 9) for _ in range(draw.randint(0, 40))) for _ in range(60)]
     texts += [texts[0], texts[1], None]
@@ -137,7 +137,7 @@ def test_quality_scores_equal_brute_force(spark, monkeypatch, broadcast):
     corpus, target = sum(grams, Counter()), sum((grams[i] for i in trusted), Counter())
     share = target.total() / corpus.total()
     ids = spark.createDataFrame([(i,) for i in trusted], "doc_id long")
-    got = {r["doc_id"]: r["score"] for r in quality_ratio.score_documents(frame(spark, texts), ids).collect()}
+    got = {r["doc_id"]: r["score"] for r in quality_ratio.score_documents(frame(spark, texts), ids, buckets=1 << 50).collect()}
     assert len(got) == len(texts) and got[62] is None
     for i, own in enumerate(grams):
         if own:

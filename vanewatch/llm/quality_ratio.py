@@ -1,14 +1,15 @@
 """Keeps documents whose words look like those of trusted documents.
 
-Words and word pairs, by 64-bit hash, are the grams of two multinomials: one over the corpus, one over the trusted
-documents in it. Both are smoothed, each in proportion to its length, so a gram that neither holds counts for nothing.
+Words and word pairs, hashed into buckets, are the grams of two multinomials: one over the corpus, one over the trusted
+documents in it. Both are smoothed, each in proportion to its length, so a bucket that neither holds counts for nothing.
 A document scores the mean log ratio of the two over its words and pairs, and is kept if that is at least a
 fixed threshold and the document passes the base rules. What a trusted document itself adds to the trusted
 counts is left out for it, so that it scores as it would without its label.
 
-Every gram has its own counts, however many there are. A gram that occurs once in the corpus has the same ratio
-everywhere and is not stored; the frequent ones are broadcast, and documents meet the others in a join by gram.
-Built of DataFrame functions alone.
+The number of buckets grows with the square root of the corpus, and with it both what they can tell apart (a gram
+that is more than one in ``buckets`` of all outweighs those that share its bucket) and the occurrences behind each ratio.
+Up to BROADCAST_BUCKETS are broadcast with their counts; beyond that the frequent ones are, and documents meet the others
+in a join by bucket. Built of DataFrame functions alone.
 """
 
 from __future__ import annotations
@@ -21,13 +22,17 @@ from pyspark.sql import functions as F
 from vanewatch.llm.words import WORD, let, pairwise, split_words
 from vanewatch.scratch import settle
 
-# Set on the labels of sf0.1: of documents with MIN_WORDS words, 556 of 562 bad ones score below, no good one of 3346.
-THRESHOLD = -0.85
+# Set on the labels of sf0.01 and sf0.1: 566 of 571 bad documents of the latter fail this or the base rules, and one of
+# 3330 good ones that pass those.
+THRESHOLD = -0.14
+# Buckets for each root of the corpus' characters, and the least number.
+BUCKETS_PER_ROOT = 13
+LEAST_BUCKETS = 4096
 # Ids of trusted documents that may be broadcast, 16 bytes each. More of them are joined by key.
 BROADCAST_IDS = 1_000_000
 SMOOTHING = 1.0
-# Grams that may be broadcast with their counts, 24 bytes each.
-BROADCAST_GRAMS = 1_000_000
+# Buckets that may be broadcast with their counts, some 50 bytes each.
+BROADCAST_BUCKETS = 2_000_000
 MIN_WORDS = 10
 MAX_REPEATED_PERCENT = 20
 REPEAT_WINDOW = 5
@@ -38,12 +43,16 @@ def trusted_ids(labels: DataFrame, label: str = "quality", id_column: str = "doc
     return labels.filter(F.col(label) == 1).filter(F.col(id_column).isNotNull()).select(id_column).distinct()
 
 
-def _grams(text: Column) -> Column:
-    """Hashes of the words and of the pairs of neighbouring words."""
-    return let(
-        F.transform(split_words(text), lambda w: F.xxhash64(w)),
-        lambda words: F.concat(words, pairwise(words, lambda a, b: F.xxhash64(a, b))),
-    )
+def _grams(words: Column, buckets: int) -> Column:
+    """Buckets of the words and of the pairs of neighbouring words."""
+
+    def both(hashes: Column) -> Column:
+        return F.concat(
+            F.transform(hashes, lambda h: F.pmod(h, F.lit(buckets))),
+            pairwise(hashes, lambda a, b: F.pmod(F.xxhash64(a, b), F.lit(buckets))),
+        )
+
+    return let(F.transform(words, lambda w: F.xxhash64(w)), both)
 
 
 def _tallied(grams: Column) -> Column:
@@ -64,11 +73,27 @@ def _tallied(grams: Column) -> Column:
                 ),
             ),
         )
-        return F.concat(runs, F.array(F.struct(F.lit(None).cast("long").alias("gram"), n.alias("n"))))
+        return F.concat(runs, _size_of(a))
 
     return let(F.sort_array(grams), tally)
 
 
+def _one_by_one(grams: Column) -> Column:
+    """As ``_tallied``, but a gram comes as often as the array holds it, with ``n`` 1."""
+    one = F.lit(1).alias("n")
+    return let(grams, lambda a: F.concat(F.transform(a, lambda g: F.struct(g.alias("gram"), one)), _size_of(a)))
+
+
+def _size_of(grams: Column) -> Column:
+    return F.array(F.struct(F.lit(None).cast("long").alias("gram"), F.size(grams).alias("n")))
+
+
+def bucket_number(docs: DataFrame, text: str = "text") -> int:
+    """How many buckets a corpus gets."""
+    chars = docs.agg(F.sum(F.length(text))).first()[0] or 0
+    return max(LEAST_BUCKETS, round(BUCKETS_PER_ROOT * math.sqrt(chars)))
+
+
 def _texts(docs: DataFrame, trusted: DataFrame, text: str, id_column: str) -> DataFrame:
     """``id``, ``body``, ``is_trusted`` and ``key`` of each row; rows of one key have the same score."""
     ids = trusted.select(F.col(id_column).alias("trusted_id"))
@@ -82,12 +107,12 @@ def _texts(docs: DataFrame, trusted: DataFrame, text: str, id_column: str) -> Da
     )
 
 
-def gram_counts(texts: DataFrame) -> DataFrame:
-    """``gram``, ``corpus`` and ``target``, its counts, of grams that occur twice or more.
+def gram_counts(texts: DataFrame, buckets: int) -> DataFrame:
+    """``gram``, ``corpus`` and ``target``, its counts, of buckets that are met twice or more.
 
-    The row without a gram has the totals, those of the other grams included.
+    The row without a gram has the totals, those of the other buckets included.
     """
-    sized = texts.select("is_trusted", _grams(F.col("body")).alias("grams"))
+    sized = texts.select("is_trusted", _grams(split_words(F.col("body")), buckets).alias("grams"))
     sized = sized.select("is_trusted", F.size("grams").alias("size"), "grams")
     # one more element, a null, stands for the document's size
     listed = sized.select("is_trusted", "size", F.explode(F.concat("grams", F.array(F.lit(None).cast("long")))).alias("gram"))
@@ -99,33 +124,45 @@ def gram_counts(texts: DataFrame) -> DataFrame:
     )
 
 
-def mean_ratios(texts: DataFrame, counts: DataFrame) -> DataFrame:
-    """``key`` and ``score``, the mean log ratio over all grams of its rows; null if they have none."""
+def score_keys(texts: DataFrame, counts: DataFrame, buckets: int) -> DataFrame:
+    """``key``, the base counts of its rows' text and ``score``, the mean log ratio over its grams; null if there are none."""
     total = counts.filter("gram is null").first()
     corpus, target = (total["corpus"], total["target"]) if total else (0, 0)
     # without trusted words, one stands for them
     share = max(target, 1) / max(corpus, 1)
     stored = counts.filter("gram is not null")
-    few = stored.count() <= BROADCAST_GRAMS
-    # less than BROADCAST_GRAMS grams can have more than that part of all occurrences
-    is_frequent = F.lit(True) if few else F.col("corpus") > corpus / BROADCAST_GRAMS
+    few = stored.count() <= BROADCAST_BUCKETS
+    # less than BROADCAST_BUCKETS can have more than that part of all occurrences
+    is_frequent = F.lit(True) if few else F.col("corpus") > corpus / BROADCAST_BUCKETS
     frequent = F.broadcast(stored.filter(is_frequent))
-    listed = texts.select("key", "is_trusted", F.inline(_tallied(_grams(F.col("body")))))
 
-    # a gram that is not stored occurs once: here, in the corpus, and not in another trusted document
+    def listed(*more: Column) -> DataFrame:
+        """Rows of a gram, the documents' sizes under a null one; the own counts matter for trusted ones alone."""
+        split = texts.select("key", "is_trusted", "body", split_words(F.col("body")).alias("words"))
+        grams = split.select("key", "is_trusted", *more, _grams(F.col("words"), buckets).alias("grams"))
+        rows = F.when(F.col("is_trusted"), _tallied(F.col("grams"))).otherwise(_one_by_one(F.col("grams")))
+        return grams.select(*[c for c in grams.columns if c != "grams"], F.inline(rows))
+
+    # a bucket that is not stored is met once: here, in the corpus, and not in another trusted document
     once = math.log(SMOOTHING) - math.log(1 + SMOOTHING)
     others = F.col("target") - F.when(F.col("is_trusted"), F.col("n")).otherwise(F.lit(0))
     ratio = F.log(others / F.lit(share) + SMOOTHING) - F.log(F.col("corpus") + F.lit(SMOOTHING))
     above = F.coalesce(F.col("n") * (ratio - F.lit(once)), F.lit(0.0)).alias("above")
     size = F.when(F.col("gram").isNull(), F.col("n")).otherwise(F.lit(0)).cast("long").alias("size")
+    base = base_counts(F.col("body"), F.col("words"))
 
-    parts = listed.join(frequent, "gram", "left").select("key", above, size)
+    whole = listed(*[value.alias(name) for name, value in base.items()])
+    parts = whole.join(frequent, "gram", "left").select("key", *base, above, size)
     if not few:
         rare = stored.filter(~is_frequent).hint("shuffle_hash")
-        unmet = listed.filter("gram is not null").join(frequent.select("gram"), "gram", "left_anti")
-        parts = parts.unionByName(unmet.join(rare, "gram").select("key", above, F.lit(0).cast("long").alias("size")))
-    sums = parts.groupBy("key").agg(F.sum("above").alias("above"), F.sum("size").alias("size"))
-    return sums.select("key", F.when(F.col("size") > 0, F.col("above") / F.col("size") + F.lit(once)).alias("score"))
+        unmet = listed().filter("gram is not null").join(frequent.select("gram"), "gram", "left_anti")
+        none = [F.lit(0).cast("long").alias(name) for name in base]
+        parts = parts.unionByName(unmet.join(rare, "gram").select("key", *none, above, F.lit(0).cast("long").alias("size")))
+    sums = parts.groupBy("key").agg(
+        *[F.max(name).alias(name) for name in base], F.sum("above").alias("above"), F.sum("size").alias("size")
+    )
+    score = F.when(F.col("size") > 0, F.col("above") / F.col("size") + F.lit(once))
+    return sums.select("key", *base, score.alias("score"))
 
 
 def repeated_words(words: Column, window: int = REPEAT_WINDOW) -> Column:
@@ -179,22 +216,19 @@ def score_documents(
     text: str = "text",
     id_column: str = "doc_id",
     threshold: float = THRESHOLD,
+    buckets: int | None = None,
 ) -> DataFrame:
     """One row for each row of ``docs``: its id, the base counts, ``base_failed``, ``score`` and ``kept``.
 
     Null and empty texts have no words, fail the base rules and score null. Repeated rows score alike, the
     order of rows does not matter, an empty table gives an empty result. Null ids are never trusted. Other
-    columns of ``docs`` are not read.
+    columns of ``docs`` are not read. Whole texts are scored, however long. Without ``buckets``,
+    ``bucket_number`` sets them.
     """
+    buckets = buckets or bucket_number(docs, text)
     texts = _texts(docs, settle(trusted.select(id_column).distinct()), text, id_column)
-    scores = mean_ratios(texts, settle(gram_counts(texts)))
-    rows = texts.select("id", "key", "body", split_words(F.col("body")).alias("words"))
-    counted = rows.select(
-        "id",
-        "key",
-        *[value.alias(name) for name, value in base_counts(F.col("body"), F.col("words")).items()],
-    )
-    scored = counted.join(scores, "key", "left").drop("key").withColumnRenamed("id", id_column)
+    scores = score_keys(texts, settle(gram_counts(texts, buckets)), buckets)
+    scored = texts.select("id", "key").join(scores, "key", "left").drop("key").withColumnRenamed("id", id_column)
     failed = (F.col("n_words") < MIN_WORDS) | (
         100 * F.col("n_repeat_words") > MAX_REPEATED_PERCENT * F.col("n_words")
     )
