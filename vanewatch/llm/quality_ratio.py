@@ -165,16 +165,30 @@ def score_keys(texts: DataFrame, counts: DataFrame, buckets: int) -> DataFrame:
     return sums.select("key", *base, score.alias("score"))
 
 
+def _window_hashes(items: Column, window: int) -> Column:
+    """A hash of each ``window`` neighbouring items, put together of windows of 1, 2, 4 ... items."""
+
+    def joined(a: Column, b: Column, gap: int) -> Column:
+        """Each of ``a`` with that of ``b`` that starts ``gap`` later; the last ones lack theirs and are cut off in the end."""
+        return F.zip_with(a, F.slice(b, gap + 1, F.greatest(F.size(b), F.lit(0))), lambda x, y: F.xxhash64(x, y))
+
+    def grown(part: Column, size: int, rest: int, whole: Column | None, covered: int) -> Column:
+        if rest & 1:
+            whole, covered = (part if whole is None else joined(whole, part, covered)), covered + size
+        if rest == 1:
+            return whole
+        return let(joined(part, part, size), lambda twice: grown(twice, 2 * size, rest >> 1, whole, covered))
+
+    return let(
+        items,
+        lambda a: F.when(F.size(a) >= window, F.slice(grown(a, 1, window, None, 0), F.lit(1), F.size(a) - (window - 1)))
+        .otherwise(F.array().cast("array<bigint>")),
+    )
+
+
 def repeated_words(words: Column, window: int = REPEAT_WINDOW) -> Column:
     """Number of words within windows that the array holds twice or more, the first time included."""
 
-    def windows(hashes: Column) -> Column:
-        n = F.size(hashes)
-        return F.when(
-            n >= window,
-            F.transform(F.sequence(F.lit(1), n - (window - 1)), lambda i: F.xxhash64(F.slice(hashes, i, window))),
-        ).otherwise(F.array().cast("array<bigint>"))
-
     def covered(keys: Column) -> Column:
         placed = F.sort_array(F.transform(keys, lambda key, i: F.struct(key.alias("key"), i.alias("at"))))
 
@@ -193,7 +207,7 @@ def repeated_words(words: Column, window: int = REPEAT_WINDOW) -> Column:
         return let(let(placed, starts), length)
 
     return let(
-        let(F.transform(words, lambda w: F.xxhash64(w)), windows),
+        _window_hashes(F.transform(words, lambda w: F.xxhash64(w)), window),
         lambda keys: F.when(F.size(F.array_distinct(keys)) == F.size(keys), F.lit(0)).otherwise(covered(keys)),
     ).cast("long")
 
