@@ -137,7 +137,7 @@ def test_quality_scores_equal_brute_force(spark, monkeypatch, broadcast):
     corpus, target = sum(grams, Counter()), sum((grams[i] for i in trusted), Counter())
     share = target.total() / corpus.total()
     ids = spark.createDataFrame([(i,) for i in trusted], "doc_id long")
-    got = {r["doc_id"]: r["score"] for r in quality_ratio.score_documents(frame(spark, texts), ids, buckets=1 << 32).collect()}
+    got = {r["doc_id"]: r["score"] for r in quality_ratio.score_documents(frame(spark, texts), ids, buckets=1 << 31).collect()}
     assert len(got) == len(texts) and got[62] is None
     for i, own in enumerate(grams):
         if own:

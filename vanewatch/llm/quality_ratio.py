@@ -36,6 +36,9 @@ BROADCAST_BUCKETS = 2_000_000
 MIN_WORDS = 10
 MAX_REPEATED_PERCENT = 20
 REPEAT_WINDOW = 5
+# A bucket, and in a text the number of its grams, takes so many bits.
+LOW_BITS = 31
+LOW = (1 << LOW_BITS) - 1
 
 
 def trusted_ids(labels: DataFrame, label: str = "quality", id_column: str = "doc_id") -> DataFrame:
@@ -48,13 +51,13 @@ def _hashes(words: Column) -> Column:
 
 
 def _grams(hashes: Column, buckets: int) -> Column:
-    """Buckets, at most 2**32, of words and of pairs of neighbouring words, from the words' hashes.
+    """Buckets, at most 2**31, of words and of pairs of neighbouring words, from the words' hashes.
 
     No element can be null in Spark's eyes, so that the arrays are sorted as plain numbers.
     """
 
     def bucket(h: Column) -> Column:
-        return F.shiftright(h.bitwiseAND(F.lit((1 << 31) - 1)) * F.lit(buckets).cast("long"), 31)
+        return F.shiftright(h.bitwiseAND(F.lit(LOW)) * F.lit(buckets).cast("long"), LOW_BITS)
 
     return let(
         hashes,
@@ -63,38 +66,25 @@ def _grams(hashes: Column, buckets: int) -> Column:
 
 
 def _tallied(ordered: Column) -> Column:
-    """Each distinct gram of a sorted array and ``n``, how often it is there; last a null gram with the array's size."""
+    """Each distinct gram of a sorted array, with how often it is there in the low bits."""
 
-    def heads(a: Column) -> Column:
-        placed = F.transform(a, lambda g, i: F.struct(g.alias("gram"), i.alias("at")))
-        return F.filter(placed, lambda row, i: F.coalesce(F.get(a, i - 1) != row["gram"], F.lit(True)))
+    def low(packed: Column) -> Column:
+        return packed.bitwiseAND(F.lit(LOW))
 
     def tally(a: Column) -> Column:
-        n = F.size(a)
-        runs = let(
-            heads(a),
+        starts = F.transform(
+            a, lambda g, i: F.when(F.coalesce(F.get(a, i - 1) != g, F.lit(True)), F.shiftleft(g, LOW_BITS) + i)
+        )
+        return let(
+            F.filter(starts, lambda x: x.isNotNull()),
             lambda found: F.transform(
-                found,
-                lambda row, i: F.struct(
-                    row["gram"].alias("gram"), (F.coalesce(F.get(found, i + 1)["at"], n) - row["at"]).alias("n")
-                ),
+                found, lambda x, i: x + F.coalesce(low(F.get(found, i + 1)), F.size(a)) - low(x) - low(x)
             ),
         )
-        return F.concat(runs, _size_of(a))
 
     return let(ordered, tally)
 
 
-def _one_by_one(grams: Column) -> Column:
-    """As ``_tallied``, but a gram comes as often as the array holds it, with ``n`` 1."""
-    one = F.lit(1).alias("n")
-    return let(grams, lambda a: F.concat(F.transform(a, lambda g: F.struct(g.alias("gram"), one)), _size_of(a)))
-
-
-def _size_of(grams: Column) -> Column:
-    return F.array(F.struct(F.lit(None).cast("long").alias("gram"), F.size(grams).alias("n")))
-
-
 def bucket_number(docs: DataFrame, text: str = "text") -> int:
     """How many buckets a corpus gets."""
     chars = docs.agg(F.sum(F.length(text))).first()[0] or 0
@@ -155,18 +145,26 @@ def score_keys(texts: DataFrame, counts: DataFrame, buckets: int) -> DataFrame:
     def listed(*more: Column) -> DataFrame:
         """Rows of a gram, the documents' sizes under a null one; the own counts matter for trusted ones alone."""
         grams = windowed.select("key", "is_trusted", *more, _grams(F.col("hashes"), buckets).alias("grams"))
-        kept = [c for c in grams.columns if c != "grams"]
+        kept = ["key", "is_trusted", "size", *[c for c in grams.columns[2:] if c != "grams"]]
         ordered = F.when(F.col("is_trusted"), F.sort_array("grams")).otherwise(F.col("grams"))
-        rows = F.when(F.col("is_trusted"), _tallied(F.col("grams"))).otherwise(_one_by_one(F.col("grams")))
-        return grams.select(*kept, ordered.alias("grams")).select(*kept, F.inline(rows))
+        sized = grams.select("*", F.size("grams").alias("size")).select(*kept, ordered.alias("grams"))
+        rows = F.when(F.col("is_trusted"), _tallied(F.col("grams"))).otherwise(F.col("grams"))
+        # one more element, a null, stands for the document's size
+        ended = sized.select(*kept, F.concat(rows, F.array(F.lit(None).cast("long"))).alias("grams"))
+        listed = ended.select(*kept, F.explode("grams").alias("packed"))
+        return listed.select(
+            *[c for c in kept if c != "size"],
+            F.when(F.col("packed").isNull(), F.col("size")).otherwise(F.lit(0)).cast("long").alias("size"),
+            F.when(F.col("is_trusted"), F.shiftright("packed", LOW_BITS)).otherwise(F.col("packed")).alias("gram"),
+            F.when(F.col("is_trusted"), F.col("packed").bitwiseAND(F.lit(LOW))).otherwise(F.lit(1)).alias("n"),
+        )
 
     own = F.log((F.col("target") - F.col("n")) / F.lit(share) + SMOOTHING) - F.col("below")
     above = F.coalesce(F.col("n") * F.when(F.col("is_trusted"), own).otherwise(F.col("plain")), F.lit(0.0)).alias("above")
-    size = F.when(F.col("gram").isNull(), F.col("n")).otherwise(F.lit(0)).cast("long").alias("size")
     base = base_counts(F.col("body"), F.col("words"), F.col("windows"))
 
     whole = listed(*[value.alias(name) for name, value in base.items()])
-    parts = whole.join(frequent, "gram", "left").select("key", *base, above, size)
+    parts = whole.join(frequent, "gram", "left").select("key", *base, above, "size")
     if not few:
         rare = stored.filter(~is_frequent).hint("shuffle_hash")
         unmet = listed().filter("gram is not null").join(frequent.select("gram"), "gram", "left_anti")
