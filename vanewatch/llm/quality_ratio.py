@@ -112,7 +112,7 @@ def gram_counts(texts: DataFrame, buckets: int) -> DataFrame:
     sized = texts.select("is_trusted", _grams(_hashes(split_words(F.col("body"))), buckets).alias("grams"))
     sized = sized.select("is_trusted", F.size("grams").alias("size"), "grams")
     # one more element, a null, stands for the document's size
-    listed = sized.select("is_trusted", "size", F.explode(F.concat("grams", F.array(F.lit(None).cast("long")))).alias("gram"))
+    listed = sized.select("is_trusted", "size", F.explode_outer(F.concat("grams", F.array(F.lit(None).cast("long")))).alias("gram"))
     n = F.when(F.col("gram").isNull(), F.col("size")).otherwise(F.lit(1)).cast("long")
     return (
         listed.groupBy("gram")
@@ -149,9 +149,10 @@ def score_keys(texts: DataFrame, counts: DataFrame, buckets: int) -> DataFrame:
         ordered = F.when(F.col("is_trusted"), F.sort_array("grams")).otherwise(F.col("grams"))
         sized = grams.select("*", F.size("grams").alias("size")).select(*kept, ordered.alias("grams"))
         rows = F.when(F.col("is_trusted"), _tallied(F.col("grams"))).otherwise(F.col("grams"))
-        # one more element, a null, stands for the document's size
+        # one more element, a null, stands for the document's size; a plain explode would have its input computed
+        # once more, in a filter of empty arrays
         ended = sized.select(*kept, F.concat(rows, F.array(F.lit(None).cast("long"))).alias("grams"))
-        listed = ended.select(*kept, F.explode("grams").alias("packed"))
+        listed = ended.select(*kept, F.explode_outer("grams").alias("packed"))
         return listed.select(
             *[c for c in kept if c != "size"],
             F.when(F.col("packed").isNull(), F.col("size")).otherwise(F.lit(0)).cast("long").alias("size"),
