@@ -36,6 +36,8 @@ BROADCAST_BUCKETS = 2_000_000
 MIN_WORDS = 10
 MAX_REPEATED_PERCENT = 20
 REPEAT_WINDOW = 5
+# fixed value: what counts as a symbol
+SYMBOL = "[#*$%&|<>]"
 # A bucket, and in a text the number of its grams, takes so many bits.
 LOW_BITS = 31
 LOW = (1 << LOW_BITS) - 1
@@ -50,19 +52,17 @@ def _hashes(words: Column) -> Column:
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
-def _grams(hashes: Column, buckets: int) -> Column:
-    """Buckets, at most 2**31, of words and of pairs of neighbouring words, from the words' hashes.
+def _bucket(h: Column, buckets: int) -> Column:
+    """One of at most 2**31 buckets for a hash."""
+    return F.shiftright(h.bitwiseAND(F.lit(LOW)) * F.lit(buckets).cast("long"), LOW_BITS)
 
-    No element can be null in Spark's eyes, so that the arrays are sorted as plain numbers.
-    """
 
-    def bucket(h: Column) -> Column:
-        return F.shiftright(h.bitwiseAND(F.lit(LOW)) * F.lit(buckets).cast("long"), LOW_BITS)
+def _grams(hashes: Column) -> Column:
+    """Hashes of words and of pairs of neighbouring words, from the words' hashes.
 
-    return let(
-        hashes,
-        lambda a: F.concat(F.transform(a, bucket), pairwise(a, lambda x, y: bucket(F.xxhash64(x, y)))),
-    )
+    No element can be null in Spark's eyes, so that arrays made of them are sorted as plain numbers.
+    """
+    return let(hashes, lambda a: F.concat(a, pairwise(a, lambda x, y: F.xxhash64(x, y))))
 
 
 def _tallied(ordered: Column) -> Column:
@@ -109,10 +109,13 @@ def gram_counts(texts: DataFrame, buckets: int) -> DataFrame:
 
     The row without a gram has the totals, those of the other buckets included.
     """
-    sized = texts.select("is_trusted", _grams(_hashes(split_words(F.col("body"))), buckets).alias("grams"))
+    sized = texts.select("is_trusted", _grams(_hashes(split_words(F.col("body")))).alias("grams"))
     sized = sized.select("is_trusted", F.size("grams").alias("size"), "grams")
     # one more element, a null, stands for the document's size
-    listed = sized.select("is_trusted", "size", F.explode_outer(F.concat("grams", F.array(F.lit(None).cast("long")))).alias("gram"))
+    ended = F.concat("grams", F.array(F.lit(None).cast("long")))
+    listed = sized.select("is_trusted", "size", F.explode_outer(ended).alias("gram")).withColumn(
+        "gram", _bucket(F.col("gram"), buckets)
+    )
     n = F.when(F.col("gram").isNull(), F.col("size")).otherwise(F.lit(1)).cast("long")
     return (
         listed.groupBy("gram")
@@ -144,10 +147,12 @@ def score_keys(texts: DataFrame, counts: DataFrame, buckets: int) -> DataFrame:
 
     def listed(*more: Column) -> DataFrame:
         """Rows of a gram, the documents' sizes under a null one; the own counts matter for trusted ones alone."""
-        grams = windowed.select("key", "is_trusted", *more, _grams(F.col("hashes"), buckets).alias("grams"))
+        grams = windowed.select("key", "is_trusted", *more, _grams(F.col("hashes")).alias("grams"))
         kept = ["key", "is_trusted", "size", *[c for c in grams.columns[2:] if c != "grams"]]
+        placed = F.when(F.col("is_trusted"), F.transform("grams", lambda h: _bucket(h, buckets))).otherwise(F.col("grams"))
         ordered = F.when(F.col("is_trusted"), F.sort_array("grams")).otherwise(F.col("grams"))
-        sized = grams.select("*", F.size("grams").alias("size")).select(*kept, ordered.alias("grams"))
+        sized = grams.select(*kept[:2], F.size("grams").alias("size"), *kept[3:], placed.alias("grams"))
+        sized = sized.select(*kept, ordered.alias("grams"))
         rows = F.when(F.col("is_trusted"), _tallied(F.col("grams"))).otherwise(F.col("grams"))
         # one more element, a null, stands for the document's size; a plain explode would have its input computed
         # once more, in a filter of empty arrays
@@ -156,7 +161,9 @@ def score_keys(texts: DataFrame, counts: DataFrame, buckets: int) -> DataFrame:
         return listed.select(
             *[c for c in kept if c != "size"],
             F.when(F.col("packed").isNull(), F.col("size")).otherwise(F.lit(0)).cast("long").alias("size"),
-            F.when(F.col("is_trusted"), F.shiftright("packed", LOW_BITS)).otherwise(F.col("packed")).alias("gram"),
+            F.when(F.col("is_trusted"), F.shiftright("packed", LOW_BITS))
+            .otherwise(_bucket(F.col("packed"), buckets))
+            .alias("gram"),
             F.when(F.col("is_trusted"), F.col("packed").bitwiseAND(F.lit(LOW))).otherwise(F.lit(1)).alias("n"),
         )
 
@@ -234,8 +241,8 @@ def base_counts(text: Column, words: Column, windows: Column) -> dict[str, Colum
     lines = F.filter(F.split(text, "\n", -1), lambda line: line.rlike(WORD))
     return {
         "n_words": F.size(words).cast("long"),
-        "word_chars": F.length(F.translate(text, " \t\n\x0b\x0c\r", "")).cast("long"),
-        "n_symbols": (F.length(text) - F.length(F.translate(text, "#*$%&|<>", ""))).cast("long"),
+        "word_chars": F.length(F.array_join(words, "")).cast("long"),
+        "n_symbols": F.regexp_count(text, F.lit(SYMBOL)).cast("long"),
         "n_dup_lines": let(lines, lambda a: F.size(a) - F.size(F.array_distinct(a))).cast("long"),
         "n_repeat_words": _covered_words(windows, REPEAT_WINDOW),
     }
