@@ -177,6 +177,46 @@ def test_repeated_words_equal_brute_force(spark):
         assert r["n"] == len(covered)
 
 
+def brute_licenses(text, templates, threshold):
+    """Labels and best share, each template held against each of its blocks."""
+    split = [w for w in re.split(r"[\x00-\x2f:-`{-\x7f]+", (text or "").lower()) if w]
+    labels, best = set(), 0.0
+    for label, notice in templates:
+        wanted = [w for w in re.split(r"[\x00-\x2f:-`{-\x7f]+", notice.lower()) if w]
+        for start in range(0, max(len(split) - len(wanted), 1), max(len(wanted), 1)):
+            share = len(set(wanted) & set(split[start : start + 2 * len(wanted)])) / max(len(set(wanted)), 1)
+            if wanted and share >= threshold:
+                labels.add(label)
+                best = max(best, share)
+    return ",".join(sorted(labels)), best
+
+
+@pytest.mark.parametrize("part", [200_000, 40])
+def test_licenses_equal_brute_force(spark, monkeypatch, part):
+    monkeypatch.setattr(license_scan, "PART_WORDS", part)
+    draw = random.Random(8)
+    pick = [words(1) for _ in range(40)]
+    templates = [(f"l{i % 23}", " ".join(draw.choices(pick, k=draw.choice((1, 3, 5, 9, 20, 41))))) for i in range(40)] + [("none", "--")]
+    texts = [None, "", "x", " ".join(pick), templates[3][1].upper()]
+    for _ in range(120):
+        parts = [" ".join(draw.choices(pick, k=draw.randint(0, 30)))]
+        for _, notice in draw.choices(templates, k=2):
+            kept = [w for w in notice.split() if draw.random() > 0.1]
+            parts += [" ".join(kept), " ".join(draw.choices(pick, k=draw.randint(0, 20)))]
+        texts.append(" ".join(parts))
+    for threshold in (0.8, 0.9):
+        got = license_scan.scan_licenses(frame(spark, texts), templates=templates, phrases={}, threshold=threshold).collect()
+        assert {r["doc_id"]: (r["labels"], r["score"]) for r in got} == {
+            i: brute_licenses(t, templates, threshold) for i, t in enumerate(texts)
+        }
+
+
+def test_licenses_want_a_short_notice_in_one_place(spark):
+    far = "all the students in this school have rights and " + words(20) + " a table is reserved"
+    got = license_scan.scan_licenses(frame(spark, [far, "so: All rights reserved, 2020"])).orderBy("doc_id").collect()
+    assert [r["labels"] for r in got] == ["", "all-rights-reserved"]
+
+
 def test_toxicity_learns_words_and_parts_of_words():
     clean = [words(rng.randint(5, 80)) for _ in range(900)]
     marks = ["zzkua", "zzkuoe", "zzkuand", "wretch"]

@@ -1,29 +1,32 @@
 """Finds license notices: a set-similarity join of text blocks with notice templates.
 
-A block is a window of consecutive words, the windows overlapping so that every stretch as long as the longest
-template lies in one of them. A block meets a template if it holds at least ``threshold`` of the template's
-distinct words. Words are ordered by their frequency over all blocks, the rarest first. With ``need`` the
-smallest overlap that suffices for a template of ``n`` words, at least one of its ``n - need + 1`` rarest
-words must be in the block (prefix filter), the block must have ``need`` distinct words (length filter), and
-the words that follow the first common one on either side must be enough (positional filter). What is left
-is counted exactly, so nothing is missed.
+For a template of ``w`` words a block is a window of ``2 * w`` consecutive words, starting ``w`` after the one before, so
+that every stretch as long as the template lies in one of them. A block meets a template if it holds at least
+``threshold`` of the template's distinct words. Words are ordered by their frequency over all texts, the rarest first.
+With ``need`` the smallest overlap that suffices for a template of ``n`` distinct words, at least one of its
+``n - need + 1`` rarest words must be in the block (prefix filter), so only blocks around such a word are looked at: the
+texts' words are joined with the prefixes' words. The block must have ``need`` distinct words (length filter), and the
+words that follow the first common one on either side must be enough (positional filter). What is left is counted
+exactly, so nothing is missed.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vanewatch.llm.words import let, lower_ascii, split_words
-from vanewatch.scratch import settle
+from vanewatch.llm.words import lower_ascii, split_words
 
 # fixed values: what lies between two words
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 # fixed values: phrases and their labels
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 THRESHOLD = 0.9
+# Words of templates that are broadcast at once, some 100 bytes each; longer lists of templates take several rounds.
+PART_WORDS = 200_000
 
 # fixed values: notices as they are commonly written, and their labels
 TEMPLATES = [
@@ -62,22 +65,82 @@ def notice_words(text: Column) -> Column:
     return split_words(lower_ascii(F.coalesce(text, F.lit(""))), GAP)
 
 
-def template_sets(spark: SparkSession, templates: list[tuple[str, str]] = TEMPLATES) -> DataFrame:
-    rows = [(i, label, text) for i, (label, text) in enumerate(templates)]
-    return spark.createDataFrame(rows, "template int, label string, text string").select(
-        "template", "label", F.array_distinct(notice_words(F.col("text"))).alias("tokens")
-    )
-
+Template = tuple[int, str, list[str]]
 
-def _longest(templates: list[tuple[str, str]]) -> int:
-    # a count of blanks and hyphens is at least the number of words: only the window's size hangs on it
-    return max(len(text.replace("-", " ").replace("/", " ").replace(".", " ").split()) for _, text in templates)
 
-
-def _blocks(words: Column, width: int) -> Column:
-    """Windows of ``2 * width`` words, each starting ``width`` after the one before."""
-    last = F.greatest(F.size(words) - width, F.lit(1))
-    return F.transform(F.sequence(F.lit(1), last, F.lit(width)), lambda i: F.slice(words, i, 2 * width))
+def template_words(spark: SparkSession, templates: list[tuple[str, str]] = TEMPLATES) -> list[Template]:
+    """Number, label and words of each template that has words."""
+    rows = [(i, label, text) for i, (label, text) in enumerate(templates)]
+    found = spark.createDataFrame(rows, "template int, label string, text string").select(
+        "template", "label", notice_words(F.col("text")).alias("words")
+    )
+    return [(r["template"], r["label"], r["words"]) for r in found.collect() if r["words"]]
+
+
+def _parts(templates: list[Template]) -> Iterator[list[Template]]:
+    """The templates in lists that may be broadcast; a longer template is in one of its own."""
+    part, size = [], 0
+    for template in templates:
+        if part and size + len(template[2]) > PART_WORDS:
+            yield part
+            part, size = [], 0
+        part.append(template)
+        size += len(template[2])
+    if part:
+        yield part
+
+
+def _ranks(texts: DataFrame, templates: list[Template]) -> dict[str, int]:
+    """The place of each template word in their order by occurrences in all texts, the rarest first."""
+    words = sorted({word for *_, words in templates for word in words})
+    known = texts.sparkSession.createDataFrame([(word,) for word in words], "word string")
+    counts = texts.select(F.explode_outer("words").alias("word")).join(F.broadcast(known), "word", "left_semi").groupBy("word").count()
+    # at most one row for each word of the templates, which come from the driver
+    found = {row["word"]: row["count"] for row in counts.collect()}
+    return {word: rank for rank, word in enumerate(sorted(words, key=lambda w: (found.get(w, 0), w)))}
+
+
+def _met(texts: DataFrame, templates: list[Template], threshold: float) -> DataFrame:
+    """``key``, ``label`` and ``share`` for each block of ``texts`` (``key``, ``words``) that meets a template."""
+    spark = texts.sparkSession
+    order = _ranks(texts, templates)
+    sets, prefixes = [], []
+    for number, label, words in templates:
+        tokens = sorted(set(words), key=order.__getitem__)
+        need = max(1, math.ceil(round(threshold * len(tokens), 9)))
+        ranks = [order[token] for token in tokens]
+        prefix = len(tokens) - need + 1
+        sets.append((number, label, need, ranks, ranks[:prefix]))
+        prefixes += [(token, number, len(words), need) for token in tokens[:prefix]]
+    index = spark.createDataFrame(prefixes, "rare string, template int, width int, need int")
+    known = spark.createDataFrame(list(order.items()), "word string, rank int")
+    wanted = spark.createDataFrame(sets, "template int, label string, need int, ranks array<int>, prefix array<int>")
+
+    # prefix filter; the words themselves stay in the scan's own stage and only blocks leave it. A plain explode would have
+    # the words split once more, in a filter of empty arrays
+    placed = texts.select("key", "words", F.posexplode_outer("words").alias("at", "rare")).join(F.broadcast(index), "rare")
+    cell = F.floor(F.col("at") / F.col("width")).cast("int")
+    around = placed.select(
+        "key", "template", "need", "width", "rare", "at", "words", F.explode(F.array(cell - 1, cell)).alias("block")
+    ).filter("block >= 0 and (block = 0 or (block + 1) * width < size(words))")
+    window = F.slice("words", F.col("block") * F.col("width") + 1, 2 * F.col("width"))
+    # length filter, and of a word that is in the block several times the first place alone
+    blocks = around.select(
+        "key", "template", "need", "block", "rare", (F.col("at") - F.col("block") * F.col("width") + 1).alias("place"), window.alias("window")
+    ).filter((F.size("window") >= F.col("need")) & (F.array_position("window", F.col("rare")) == F.col("place")))
+    held = (
+        blocks.select("key", "template", "block", F.explode_outer(F.array_distinct("window")).alias("word"))
+        .join(F.broadcast(known), "word")
+        .groupBy("key", "template", "block")
+        .agg(F.collect_set("rank").alias("held"))
+        .join(F.broadcast(wanted), "template")
+    )
+    first = held.withColumn("first", F.array_min(F.array_intersect("prefix", "held")))
+    after = F.size(F.filter("held", lambda rank: rank >= F.col("first")))
+    left = F.size("ranks") - F.array_position("ranks", F.col("first")) + 1
+    positioned = first.filter((after >= F.col("need")) & (left >= F.col("need")))
+    overlap = F.size(F.array_intersect("ranks", "held"))
+    return positioned.filter(overlap >= F.col("need")).select("key", "label", (overlap / F.size("ranks")).alias("share"))
 
 
 def scan_licenses(
@@ -91,100 +154,40 @@ def scan_licenses(
     """One row for each row of ``docs``: phrase places, labels, and the best template containment as score.
 
     Null and empty texts have no words and no labels, and score 0. A document without a template that is met
-    scores 0. Repeated rows get the same result; an empty table gives an empty one. Only the text and the id
-    are read. The text is scanned twice; the word counts that are shuffled are one row for each template word.
+    scores 0. Equal texts, repeated rows among them, get the same result; an empty table gives an empty one, and
+    templates without words are never met. Only the text and the id are read, so other columns may have any name.
+    Texts are scanned whole, however long, three times; what is shuffled is a row for each template word, one for each
+    block that holds a rare word of a template, and one without its text for each document.
     """
-    spark = docs.sparkSession
-    width = _longest(templates)
-    sets = template_sets(spark, templates)
-    # the templates are a fixed list, so their words and sizes are known before the join
-    known = sets.collect()
-    vocabulary = sorted({word for row in known for word in row["tokens"]})
-    in_templates = F.array(*map(F.lit, vocabulary))
-
-    def template_blocks(words: Column) -> Column:
-        """Of each block the template words alone: no other word can add to an overlap."""
-        return F.transform(_blocks(words, width), lambda block: F.array_intersect(block, in_templates))
-
-    ranked = _rank(docs, text, template_blocks, vocabulary)
-    order = {word: i for i, word in enumerate(ranked)}
-
-    checks = []
-    for row in known:
-        tokens = sorted(row["tokens"], key=order.__getitem__)
-        need = math.ceil(round(threshold * len(tokens), 9))
-        checks.append((row["label"], tokens, need))
-
-    least = min(need for *_, need in checks)
-    rarest = sorted({word for _, tokens, need in checks for word in tokens[: len(tokens) - need + 1]})
-    place = F.create_map(*[F.lit(x) for pair in order.items() for x in pair])
-
-    def containment(block: Column, tokens: list[str], need: int) -> Column:
-        """Share of the template's words in the block, 0 if it is under the threshold."""
-        n = len(tokens)
-        wanted = F.array(*map(F.lit, tokens))
-        prefix = F.array(*map(F.lit, tokens[: n - need + 1]))
-        first = F.array_position(wanted, F.get(F.array_intersect(prefix, block), F.lit(0)))
-        enough_left = (n - first + 1 >= need) & (F.size(block) >= need)
-        after = F.size(F.filter(block, lambda w: F.element_at(place, w) >= F.element_at(place, F.element_at(wanted, first.cast("int")))))
-        overlap = F.size(F.array_intersect(wanted, block))
-        return F.when(
-            F.arrays_overlap(prefix, block),
-            F.when(enough_left & (after >= need) & (overlap >= need), overlap / F.lit(n)).otherwise(F.lit(0.0)),
-        ).otherwise(F.lit(0.0))
-
-    def met(words: Column) -> Column:
-        blocks = F.filter(template_blocks(words), lambda b: F.size(b) >= least)
-        return F.flatten(
-            F.transform(
-                blocks,
-                lambda b: F.array(
-                    *[
-                        F.struct(F.lit(label).alias("label"), containment(b, tokens, need).alias("share"))
-                        for label, tokens, need in checks
-                    ]
-                ),
-            )
-        )
-
-    none = F.array().cast("array<struct<label:string,share:double>>")
-    words = F.col("words")
-    has_rare = F.arrays_overlap(words, F.array(*map(F.lit, rarest)))
-    rows = docs.select(F.col(id_column), notice_words(F.col(text)).alias("words")).select(
-        id_column,
-        F.size("words").cast("long").alias("n_words"),
-        _phrase_places(words, phrases).alias("places"),
-        F.when(has_rare, F.filter(met(words), lambda m: m["share"] > 0)).otherwise(none).alias("met"),
+    rows = docs.select(F.col(id_column).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("body"))
+    split = rows.select("id", F.xxhash64("body").alias("key"), notice_words(F.col("body")).alias("words"))
+    texts = split.select("key", "words")
+    met = docs.sparkSession.createDataFrame([], "key long, label string, share double")
+    for part in _parts(template_words(docs.sparkSession, templates)):
+        met = met.unionByName(_met(texts, part, threshold))
+    best = met.groupBy("key").agg(F.collect_set("label").alias("met"), F.max("share").alias("share"))
+
+    placed = split.select(
+        "id", "key", F.size("words").cast("long").alias("n_words"), _phrase_places(F.col("words"), phrases).alias("places")
     )
+    found = placed.join(best, "key", "left")
     base = F.transform("places", lambda p: p["label"])
     starts = F.transform("places", lambda p: p["at"].cast("long"))
+    more = F.coalesce("met", F.array().cast("array<string>"))
 
     def joined(labels: Column) -> Column:
         return F.array_join(F.sort_array(F.array_distinct(labels)), ",")
 
-    return rows.select(
-        id_column,
+    return found.select(
+        F.col("id").alias(id_column),
         "n_words",
         F.size("places").cast("long").alias("n_base"),
         F.array_min(starts).alias("first_word"),
         F.array_max(starts).alias("last_word"),
         joined(base).alias("base_labels"),
-        joined(F.concat(base, F.transform("met", lambda m: m["label"]))).alias("labels"),
-        F.coalesce(F.array_max(F.transform("met", lambda m: m["share"])), F.lit(0.0)).alias("score"),
-    )
-
-
-def _rank(docs: DataFrame, text: str, blocks_of, vocabulary: list[str]) -> list[str]:
-    """The template words by the number of blocks that hold them, the rarest first."""
-    counts = (
-        docs.select(F.explode(let(notice_words(F.col(text)), blocks_of)).alias("block"))
-        .select(F.explode("block").alias("word"))
-        .groupBy("word")
-        .count()
+        joined(F.concat(base, more)).alias("labels"),
+        F.coalesce("share", F.lit(0.0)).alias("score"),
     )
-    # at most one row for each word of the fixed templates
-    found = {row["word"]: row["count"] for row in settle(counts).collect()}
-    return sorted(vocabulary, key=lambda word: (found.get(word, 0), word))
 
 
 def _places(words: Column, phrase: str, label: str) -> Column:
@@ -206,4 +209,5 @@ def _places(words: Column, phrase: str, label: str) -> Column:
 
 def _phrase_places(words: Column, phrases: dict[str, str]) -> Column:
     """Every place where a phrase's words stand one after another."""
-    return F.concat(*[_places(words, phrase, label) for phrase, label in phrases.items()])
+    none = F.array().cast("array<struct<label:string,at:int>>")
+    return F.concat(none, *[_places(words, phrase, label) for phrase, label in phrases.items()])

@@ -129,7 +129,6 @@ _WORD = r"[^\x20\x09-\x0D]+"
 
 
 def _license_sql() -> str:
-    width = license_scan._longest(license_scan.TEMPLATES)
     rows = ", ".join(f"({i}, '{label}', '{text}')" for i, (label, text) in enumerate(license_scan.TEMPLATES))
     notice = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
     low = f"translate({{0}}, '{license_scan_upper}', '{license_scan_lower}')"
@@ -138,8 +137,8 @@ def _license_sql() -> str:
     )
     return rf"""
 with templates as (
- select t, label, list_distinct(regexp_extract_all({low.format('body')}, '{notice}')) as tokens
- from (values {rows}) v(t, label, body)
+ select t, label, len(ws) as width, list_distinct(ws) as tokens
+ from (select t, label, regexp_extract_all({low.format('body')}, '{notice}') as ws from (values {rows}) v(t, label, body))
 ), w as (
  select row_number() over () as r, doc_id, regexp_extract_all({low.format("coalesce(text, '')")}, '{notice}') as words
  from documents
@@ -151,10 +150,11 @@ places as (
 ), base as (
  select r, count(*) as n, min(pos) as a, max(pos) as z, list(distinct label) as found from places group by r
 ), blocks as (
- select r, list_slice(words, s, s + {2 * width} - 1) as block from (
-  select r, words, unnest(range(1, greatest(len(words) - {width}, 1) + 1, {width})) as s from w) x
+ select r, label, tokens, list_slice(words, s, s + 2 * width - 1) as block from (
+  select r, words, t, label, tokens, width, unnest(range(1, greatest(len(words) - width, 1) + 1, width)) as s
+  from w, templates) x
 ), met as (
- select r, label, len(list_intersect(tokens, block)) / len(tokens) as share from blocks, templates
+ select r, label, len(list_intersect(tokens, block)) / len(tokens) as share from blocks
  where len(list_intersect(tokens, block)) >= ceil(round({license_scan.THRESHOLD} * len(tokens), 9))
 ), best as (select r, list(distinct label) as found, max(share) as score from met group by r)
 select w.doc_id, len(words)::bigint as n_words, coalesce(n, 0) as n_base, a as first_word, z as last_word,
