@@ -12,6 +12,7 @@ exactly, so nothing is missed.
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Iterator
 
@@ -68,10 +69,15 @@ def notice_words(text: Column) -> Column:
 Template = tuple[int, str, list[str]]
 
 
+def _table(spark: SparkSession, rows: list[dict], schema: str) -> DataFrame:
+    """A small table as one literal, which needs no Python worker and leaves the plan as short as it is."""
+    return spark.range(0, 1, 1, 1).select(F.inline(F.from_json(F.lit(json.dumps(rows)), f"array<struct<{schema}>>")))
+
+
 def template_words(spark: SparkSession, templates: list[tuple[str, str]] = TEMPLATES) -> list[Template]:
     """Number, label and words of each template that has words."""
-    rows = [(i, label, text) for i, (label, text) in enumerate(templates)]
-    found = spark.createDataFrame(rows, "template int, label string, text string").select(
+    rows = [{"template": i, "label": label, "text": text} for i, (label, text) in enumerate(templates)]
+    found = _table(spark, rows, "template: int, label: string, text: string").select(
         "template", "label", notice_words(F.col("text")).alias("words")
     )
     return [(r["template"], r["label"], r["words"]) for r in found.collect() if r["words"]]
@@ -93,7 +99,7 @@ def _parts(templates: list[Template]) -> Iterator[list[Template]]:
 def _ranks(texts: DataFrame, templates: list[Template]) -> dict[str, int]:
     """The place of each template word in their order by occurrences in all texts, the rarest first."""
     words = sorted({word for *_, words in templates for word in words})
-    known = texts.sparkSession.createDataFrame([(word,) for word in words], "word string")
+    known = _table(texts.sparkSession, [{"word": word} for word in words], "word: string")
     counts = texts.select(F.explode_outer("words").alias("word")).join(F.broadcast(known), "word", "left_semi").groupBy("word").count()
     # at most one row for each word of the templates, which come from the driver
     found = {row["word"]: row["count"] for row in counts.collect()}
@@ -110,11 +116,11 @@ def _met(texts: DataFrame, templates: list[Template], threshold: float) -> DataF
         need = max(1, math.ceil(round(threshold * len(tokens), 9)))
         ranks = [order[token] for token in tokens]
         prefix = len(tokens) - need + 1
-        sets.append((number, label, need, ranks, ranks[:prefix]))
-        prefixes += [(token, number, len(words), need) for token in tokens[:prefix]]
-    index = spark.createDataFrame(prefixes, "rare string, template int, width int, need int")
-    known = spark.createDataFrame(list(order.items()), "word string, rank int")
-    wanted = spark.createDataFrame(sets, "template int, label string, need int, ranks array<int>, prefix array<int>")
+        sets.append({"template": number, "label": label, "need": need, "ranks": ranks, "prefix": ranks[:prefix]})
+        prefixes += [{"rare": t, "template": number, "width": len(words), "need": need} for t in tokens[:prefix]]
+    index = _table(spark, prefixes, "rare: string, template: int, width: int, need: int")
+    known = _table(spark, [{"word": word, "rank": rank} for word, rank in order.items()], "word: string, rank: int")
+    wanted = _table(spark, sets, "template: int, label: string, need: int, ranks: array<int>, prefix: array<int>")
 
     # prefix filter; the words themselves stay in the scan's own stage and only blocks leave it. A plain explode would have
     # the words split once more, in a filter of empty arrays
@@ -162,7 +168,7 @@ def scan_licenses(
     rows = docs.select(F.col(id_column).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("body"))
     split = rows.select("id", F.xxhash64("body").alias("key"), notice_words(F.col("body")).alias("words"))
     texts = split.select("key", "words")
-    met = docs.sparkSession.createDataFrame([], "key long, label string, share double")
+    met = _table(docs.sparkSession, [], "key: long, label: string, share: double")
     for part in _parts(template_words(docs.sparkSession, templates)):
         met = met.unionByName(_met(texts, part, threshold))
     best = met.groupBy("key").agg(F.collect_set("label").alias("met"), F.max("share").alias("share"))
