@@ -2,6 +2,7 @@
 
 import glob
 import hashlib
+import inspect
 import math
 import os
 import random
@@ -28,6 +29,7 @@ from vanewatch.llm import (
     toxicity,
     url_filter,
 )
+from vanewatch.llm import text_arrays as ta
 from vanewatch.llm.components import connected
 
 SF = "/root/testdata/sf0.001"
@@ -648,3 +650,26 @@ def test_contamination_on_odd_rows(spark):
         {(d, i): n for d, n in ((3, 2), (None, 1)) for i in (1, 2, None)}
     )
     assert all(r["distance"] == 0 for r in got)
+
+
+def test_workers_give_freed_memory_back():
+    """What a task has freed below memory that is still in use goes back to the system, or its worker would keep it."""
+
+    def resident():
+        with open("/proc/self/statm") as f:
+            return int(f.read().split()[1]) * os.sysconf("SC_PAGE_SIZE") >> 20
+
+    kept = []
+
+    def run(batches):
+        for batch in batches:
+            used = [np.ones(1 << 16, np.uint8) for _ in range(4000)]
+            kept.append(np.ones(1 << 16, np.uint8))
+            yield batch
+            del used
+
+    before = resident()
+    assert list(ta.released(run)(iter([1, 2]))) == [1, 2]
+    assert resident() - before < 100
+    source = inspect.getsource(ngram_join) + inspect.getsource(decontaminate) + inspect.getsource(toxicity)
+    assert source.count("mapInArrow(") == source.count("mapInArrow(ta.released(")

@@ -267,7 +267,7 @@ def find_contamination(
     for block in range(blocks):
         own = items.filter(F.pmod(F.col("number"), F.lit(blocks)) == block)
         shared = spark.sparkContext.broadcast(prepare([tuple(row) for row in own.collect()]))
-        found = texts.mapInArrow(_search(shared), SCHEMA)
+        found = texts.mapInArrow(ta.released(_search(shared)), SCHEMA)
         if blocks > 1:
             # the places are in the shared folder, so the driver holds one block at a time
             found = settle(found)

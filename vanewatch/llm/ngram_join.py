@@ -197,7 +197,7 @@ def describe_sets(docs: DataFrame, id_column: str, text: str, shingle_words: int
             )
 
     rows = docs.select(F.col(id_column).cast("long"), F.col(text))
-    return rows.mapInArrow(run, "doc_id long, n_shingles long, d1 long, d2 long, sketch binary")
+    return rows.mapInArrow(ta.released(run), "doc_id long, n_shingles long, d1 long, d2 long, sketch binary")
 
 
 def _planes(numbers: np.ndarray) -> bytes:
@@ -245,7 +245,7 @@ def _signature_rows(docs: DataFrame, shingle_words: int, similar: int, parts: in
         if size:
             yield packed(keys, nodes)
 
-    return docs.select("node", "text").mapInArrow(run, "part int, signatures binary, nodes binary")
+    return docs.select("node", "text").mapInArrow(ta.released(run), "part int, signatures binary, nodes binary")
 
 
 def _shared_signatures(rows: DataFrame, parts: int) -> DataFrame:
@@ -275,7 +275,7 @@ def _shared_signatures(rows: DataFrame, parts: int) -> DataFrame:
             keys, nodes = zip(*packed)
             yield from found([_from_planes(k) for k in keys], [_from_planes(n) for n in nodes])
 
-    return rows.repartition(parts, "part").mapInArrow(run, "signature long, node long, lowest long")
+    return rows.repartition(parts, "part").mapInArrow(ta.released(run), "signature long, node long, lowest long")
 
 
 def _set_rows(docs: DataFrame, shingle_words: int) -> DataFrame:
@@ -288,7 +288,7 @@ def _set_rows(docs: DataFrame, shingle_words: int) -> DataFrame:
                     [part.column(0), pa.array(found, pa.list_(pa.int64()))], names=["node", "items"]
                 )
 
-    return docs.mapInArrow(run, "node long, items array<long>")
+    return docs.mapInArrow(ta.released(run), "node long, items array<long>")
 
 
 def restrict(docs: DataFrame, id_column: str, ids: DataFrame, keep: bool) -> DataFrame:
@@ -312,7 +312,7 @@ def possible_pairs(pairs: DataFrame, sketches: DataFrame, similar: int) -> DataF
     a = sketches.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("sketch_a"))
     b = sketches.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("sketch_b"))
     both = pairs.join(a, "a").join(b, "b").select("a", "b", "n_a", "sketch_a", "n_b", "sketch_b")
-    return both.mapInArrow(run, "a long, b long")
+    return both.mapInArrow(ta.released(run), "a long, b long")
 
 
 def similar_pairs(pairs: DataFrame, sketches: DataFrame, texts: DataFrame, shingle_words: int, similar: int) -> DataFrame:
@@ -364,7 +364,7 @@ def _outside_links(
         shared = spark.sparkContext.broadcast(_lay_out(query))
         del query
         partners = sets.filter(F.array_contains("blocks", number)).select("node", "items", "component")
-        found = found.unionByName(settle(partners.mapInArrow(_compare_with(shared, similar), "a long, b long")))
+        found = found.unionByName(settle(partners.mapInArrow(ta.released(_compare_with(shared, similar)), "a long, b long")))
         # the links are in the shared folder, so the driver holds one block at a time
         shared.destroy()
     return found

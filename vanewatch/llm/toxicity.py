@@ -284,4 +284,4 @@ def score_texts(docs: DataFrame, network: Network, text: str = "text", score: st
             )
 
     schema = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(run, f"{schema}, `{score}` double")
+    return docs.mapInArrow(ta.released(run), f"{schema}, `{score}` double")
