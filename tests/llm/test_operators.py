@@ -673,3 +673,22 @@ def test_workers_give_freed_memory_back():
     assert resident() - before < 100
     source = inspect.getsource(ngram_join) + inspect.getsource(decontaminate) + inspect.getsource(toxicity)
     assert source.count("mapInArrow(") == source.count("mapInArrow(ta.released(")
+
+
+def test_repeated_words_of_few_and_many_windows(spark):
+    """Below and above the number of windows that are sorted packed; pairs of words are hashed once for windows and grams."""
+    letters = random.Random(8)
+    texts = [[letters.choice("abc" if n % 2 else "abcdefgh") for _ in range(n)] for n in (0, 1, 4, 5, 6, 7, 30, 301, 4100, 4101, 5000)]
+    texts += [[str(i % (n - 9)) for i in range(n)] for n in (4099, 4100, 4101, 4500)]
+
+    def slow(text):
+        windows = [tuple(text[i : i + 5]) for i in range(len(text) - 4)]
+        count = Counter(windows)
+        return len({i + k for i, w in enumerate(windows) if count[w] > 1 for k in range(5)})
+
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, words array<string>")
+    got = dict(rows.select("i", quality_ratio.repeated_words(F.col("words"))).collect())
+    assert got == {i: slow(text) for i, text in enumerate(texts)}
+    hashed = rows.select(quality_ratio._hashes(F.col("words")).alias("h")).select("h", quality_ratio._pairs(F.col("h")).alias("p"))
+    own, shared = (quality_ratio._window_hashes(F.col("h"), 5, *more) for more in ((), (F.col("p"),)))
+    assert hashed.filter(~own.eqNullSafe(shared)).count() == 0

@@ -41,6 +41,8 @@ SYMBOL = "[#*$%&|<>]"
 # A bucket, and in a text the number of its grams, takes so many bits.
 LOW_BITS = 31
 LOW = (1 << LOW_BITS) - 1
+# Up to 2 ** PLACE_BITS windows are sorted as numbers that end in their place.
+PLACE_BITS = 12
 
 
 def trusted_ids(labels: DataFrame, label: str = "quality", id_column: str = "doc_id") -> DataFrame:
@@ -62,7 +64,11 @@ def _grams(hashes: Column) -> Column:
 
     No element can be null in Spark's eyes, so that arrays made of them are sorted as plain numbers.
     """
-    return let(hashes, lambda a: F.concat(a, pairwise(a, lambda x, y: F.xxhash64(x, y))))
+    return let(hashes, lambda a: F.concat(a, _pairs(a)))
+
+
+def _pairs(hashes: Column) -> Column:
+    return pairwise(hashes, lambda x, y: F.xxhash64(x, y))
 
 
 def _tallied(ordered: Column) -> Column:
@@ -143,11 +149,13 @@ def score_keys(texts: DataFrame, counts: DataFrame, buckets: int) -> DataFrame:
     # steps of their own, as what stands within a lambda is interpreted; the arrays are sorted by compiled code
     split = texts.select("key", "is_trusted", "body", split_words(F.col("body")).alias("words"))
     hashed = split.select("*", _hashes(F.col("words")).alias("hashes"))
-    windowed = hashed.select("*", _window_hashes(F.col("hashes"), REPEAT_WINDOW).alias("windows"))
+    paired = hashed.select("*", _pairs(F.col("hashes")).alias("pairs"))
+    windows = _window_hashes(F.col("hashes"), REPEAT_WINDOW, F.col("pairs"))
+    windowed = paired.select("*", windows.alias("windows"))
 
     def listed(*more: Column) -> DataFrame:
         """Rows of a gram, the documents' sizes under a null one; the own counts matter for trusted ones alone."""
-        grams = windowed.select("key", "is_trusted", *more, _grams(F.col("hashes")).alias("grams"))
+        grams = windowed.select("key", "is_trusted", *more, F.concat("hashes", "pairs").alias("grams"))
         kept = ["key", "is_trusted", "size", *[c for c in grams.columns[2:] if c != "grams"]]
         placed = F.when(F.col("is_trusted"), F.transform("grams", lambda h: _bucket(h, buckets))).otherwise(F.col("grams"))
         ordered = F.when(F.col("is_trusted"), F.sort_array("grams")).otherwise(F.col("grams"))
@@ -185,8 +193,8 @@ def score_keys(texts: DataFrame, counts: DataFrame, buckets: int) -> DataFrame:
     return sums.select("key", *base, score.alias("score"))
 
 
-def _window_hashes(items: Column, window: int) -> Column:
-    """A hash of each ``window`` neighbouring items, put together of windows of 1, 2, 4 ... items."""
+def _window_hashes(items: Column, window: int, pairs: Column | None = None) -> Column:
+    """A hash of each ``window`` neighbouring items, put together of windows of 1, 2, 4 ... items; ``pairs`` are those of 2."""
 
     def joined(a: Column, b: Column, gap: int) -> Column:
         """Each of ``a`` with that of ``b`` that starts ``gap`` later; the last ones lack theirs and are cut off in the end."""
@@ -197,7 +205,8 @@ def _window_hashes(items: Column, window: int) -> Column:
             whole, covered = (part if whole is None else joined(whole, part, covered)), covered + size
         if rest == 1:
             return whole
-        return let(joined(part, part, size), lambda twice: grown(twice, 2 * size, rest >> 1, whole, covered))
+        twice = joined(part, part, size) if pairs is None or size > 1 else pairs
+        return let(twice, lambda both: grown(both, 2 * size, rest >> 1, whole, covered))
 
     return let(
         items,
@@ -215,21 +224,29 @@ def _covered_words(keys: Column, window: int) -> Column:
     """As ``repeated_words``, from the hashes of the windows."""
 
     def covered(keys: Column) -> Column:
-        placed = F.sort_array(F.transform(keys, lambda key, i: F.struct(key.alias("key"), i.alias("at"))))
-
-        def starts(rows: Column) -> Column:
-            same = F.filter(
-                rows,
-                lambda row, i: (F.get(rows, i - 1)["key"] == row["key"]).eqNullSafe(F.lit(True))
-                | (F.get(rows, i + 1)["key"] == row["key"]).eqNullSafe(F.lit(True)),
-            )
-            return F.sort_array(F.transform(same, lambda row: row["at"]))
+        low = F.lit((1 << PLACE_BITS) - 1).cast("long")
+        packed = F.transform(keys, lambda key, i: key.bitwiseAND(F.bitwise_not(low)).bitwiseOR(i.cast("long")))
+        short = F.transform(F.sort_array(packed), lambda x: x.bitwiseAND(low).cast("int"))
+        placed = F.transform(keys, lambda key, i: F.struct(key.alias("key"), i.alias("at")))
+        long = F.transform(F.sort_array(placed), lambda row: row["at"])
+        # places in the order of their windows' hashes; whole hashes are compared
+        order = F.when(F.size(keys) <= 1 << PLACE_BITS, short).otherwise(long)
+
+        def starts(order: Column) -> Column:
+            def repeated(held: Column) -> Column:
+                return F.filter(
+                    order,
+                    lambda at, i: (F.get(held, i - 1) == F.get(held, i)).eqNullSafe(F.lit(True))
+                    | (F.get(held, i + 1) == F.get(held, i)).eqNullSafe(F.lit(True)),
+                )
+
+            return F.sort_array(let(F.transform(order, lambda at: F.get(keys, at)), repeated))
 
         def length(at: Column) -> Column:
             gaps = pairwise(at, lambda a, b: F.least(b - a, F.lit(window)))
             return F.aggregate(gaps, F.lit(window), lambda total, gap: total + gap)
 
-        return let(let(placed, starts), length)
+        return let(let(order, starts), length)
 
     return (
         F.when(F.size(F.array_distinct(keys)) == F.size(keys), F.lit(0)).otherwise(covered(keys)).cast("long")
