@@ -692,3 +692,39 @@ def test_repeated_words_of_few_and_many_windows(spark):
     hashed = rows.select(quality_ratio._hashes(F.col("words")).alias("h")).select("h", quality_ratio._pairs(F.col("h")).alias("p"))
     own, shared = (quality_ratio._window_hashes(F.col("h"), 5, *more) for more in ((), (F.col("p"),)))
     assert hashed.filter(~own.eqNullSafe(shared)).count() == 0
+
+
+def test_grams_are_counted_without_lambdas(spark):
+    """What stands in a lambda is interpreted for each word, which took op1_quality_rules over its CPU budget."""
+    texts = ["a b a b c", "b c", "x", "", None, "a b"]
+    ids = spark.createDataFrame([(0,), (2,)], "doc_id long")
+    counts = quality_ratio.gram_counts(quality_ratio._texts(frame(spark, texts), ids, "text", "doc_id"), 1 << 31)
+    assert "lambda" not in counts._jdf.queryExecution().toString()
+    grams = [Counter(t.split() + list(zip(t.split(), t.split()[1:]))) for t in (t or "" for t in texts)]
+    corpus, target = sum(grams, Counter()), grams[0] + grams[2]
+    got = Counter((r["corpus"], r["target"]) for r in counts.filter("gram is not null").collect())
+    assert got == Counter((n, target[g]) for g, n in corpus.items() if n > 1)
+    total = counts.filter("gram is null").first()
+    assert (total["corpus"], total["target"]) == (corpus.total(), target.total())
+
+
+@pytest.mark.parametrize("buckets", [1, 5, 1 << 31])
+def test_own_grams_of_trusted_texts_are_counted_at_any_number(spark, buckets):
+    """Grams that a text holds once, a few times and often; a bucket of all grams and that of number 0 among them."""
+    texts = [" ".join(w for i, w in enumerate("abcdefghijkl") for _ in range(i + 1)), "a b c", "l", "x y", "", "l l l l l l l"]
+    ids = spark.createDataFrame([(0,), (2,), (4,)], "doc_id long")
+    rows = quality_ratio._texts(frame(spark, texts), ids, "text", "doc_id")
+    words = {w for t in texts for w in t.split()}
+    pairs = {p for t in texts for p in zip(t.split(), t.split()[1:])}
+    hashed = spark.createDataFrame([(w, w, None) for w in words] + [(f"{a} {b}", a, b) for a, b in pairs], "gram string, a string, b string")
+    h = F.when(F.col("b").isNull(), F.xxhash64("a")).otherwise(F.xxhash64(F.xxhash64("a"), F.xxhash64("b")))
+    bucket = dict(hashed.select("gram", quality_ratio._bucket(h, buckets)).collect())
+    grams = [Counter(bucket[g] for g in t.split() + [f"{a} {b}" for a, b in zip(t.split(), t.split()[1:])]) for t in texts]
+    corpus, target = sum(grams, Counter()), grams[0] + grams[2]
+    share = target.total() / corpus.total()
+    got = quality_ratio.score_keys(rows, quality_ratio.gram_counts(rows, buckets), buckets).join(rows, "key").collect()
+    assert len(got) == len(texts)
+    for r in got:
+        own = grams[r["id"]]
+        ratio = {g: math.log(((target[g] - n * r["is_trusted"]) / share + 1) / (corpus[g] + 1)) for g, n in own.items()}
+        assert r["score"] == (pytest.approx(sum(n * ratio[g] for g, n in own.items()) / own.total()) if own else None)

@@ -41,6 +41,10 @@ SYMBOL = "[#*$%&|<>]"
 # A bucket, and in a text the number of its grams, takes so many bits.
 LOW_BITS = 31
 LOW = (1 << LOW_BITS) - 1
+# Grams that a text holds up to so often are counted where they are listed, and those it holds more often before; these
+# are told from buckets by a bit of their own.
+SHORT_RUN = 3
+LONG_RUN = 1 << 62
 # Up to 2 ** PLACE_BITS windows are sorted as numbers that end in their place.
 PLACE_BITS = 12
 
@@ -59,16 +63,14 @@ def _bucket(h: Column, buckets: int) -> Column:
     return F.shiftright(h.bitwiseAND(F.lit(LOW)) * F.lit(buckets).cast("long"), LOW_BITS)
 
 
-def _grams(hashes: Column) -> Column:
-    """Hashes of words and of pairs of neighbouring words, from the words' hashes.
+def _pairs(hashes: Column) -> Column:
+    """Hashes of pairs of neighbouring words, from the words' hashes.
 
-    No element can be null in Spark's eyes, so that arrays made of them are sorted as plain numbers.
+    No element can be null in Spark's eyes, so that arrays made of them are sorted as plain numbers. The last one lacks its
+    neighbour and is cut off.
     """
-    return let(hashes, lambda a: F.concat(a, _pairs(a)))
-
-
-def _pairs(hashes: Column) -> Column:
-    return pairwise(hashes, lambda x, y: F.xxhash64(x, y))
+    joined = F.zip_with(hashes, F.slice(hashes, F.lit(2), F.size(hashes)), lambda x, y: F.xxhash64(x, y))
+    return F.slice(joined, F.lit(1), F.greatest(F.size(hashes) - 1, F.lit(0)))
 
 
 def _tallied(ordered: Column) -> Column:
@@ -91,6 +93,21 @@ def _tallied(ordered: Column) -> Column:
     return let(ordered, tally)
 
 
+def _long_runs(ordered: Column) -> Column:
+    """As ``_tallied``, marked as LONG_RUN, of the grams that are there more than SHORT_RUN times."""
+    further = F.filter(ordered, lambda g, i: g == F.get(ordered, i + SHORT_RUN))
+    return F.transform(_tallied(further), lambda packed: packed + F.lit(LONG_RUN + SHORT_RUN))
+
+
+def _short_run(ordered: Column, at: Column, gram: Column) -> Column:
+    """How often a gram of a sorted array is there if this is its first place and if that is SHORT_RUN times or less, else 0."""
+    ends = [~F.get(ordered, at + n).eqNullSafe(gram) for n in range(1, SHORT_RUN + 1)]
+    n = F.when(F.get(ordered, at - 1).eqNullSafe(gram), F.lit(0))
+    for count, end in enumerate(ends, 1):
+        n = n.when(end, F.lit(count))
+    return n.otherwise(F.lit(0))
+
+
 def bucket_number(docs: DataFrame, text: str = "text") -> int:
     """How many buckets a corpus gets."""
     chars = docs.agg(F.sum(F.length(text))).first()[0] or 0
@@ -115,14 +132,16 @@ def gram_counts(texts: DataFrame, buckets: int) -> DataFrame:
 
     The row without a gram has the totals, those of the other buckets included.
     """
-    sized = texts.select("is_trusted", _grams(_hashes(split_words(F.col("body")))).alias("grams"))
-    sized = sized.select("is_trusted", F.size("grams").alias("size"), "grams")
-    # one more element, a null, stands for the document's size
-    ended = F.concat("grams", F.array(F.lit(None).cast("long")))
-    listed = sized.select("is_trusted", "size", F.explode_outer(ended).alias("gram")).withColumn(
-        "gram", _bucket(F.col("gram"), buckets)
-    )
-    n = F.when(F.col("gram").isNull(), F.col("size")).otherwise(F.lit(1)).cast("long")
+    split = texts.select("is_trusted", split_words(F.col("body")).alias("words"))
+    # words are listed before they are hashed, as compiled code does it then; what stands in a lambda is interpreted.
+    # Outer, as a plain explode would have its input computed once more, in a filter of empty arrays.
+    each = split.select("is_trusted", "words", F.posexplode_outer("words").alias("at", "word"))
+    word, follower = F.xxhash64("word"), F.get("words", F.col("at") + 1)
+    pair = F.when(follower.isNotNull(), _bucket(F.xxhash64(word, F.xxhash64(follower)), buckets))
+    both = F.array(F.when(F.col("word").isNotNull(), _bucket(word, buckets)), pair)
+    listed = each.select("is_trusted", F.size("words").alias("size"), F.explode_outer(both).alias("gram"))
+    # the last word has no pair; its null stands for the document's size
+    n = F.when(F.col("gram").isNull(), F.greatest(2 * F.col("size") - 1, F.lit(0))).otherwise(F.lit(1)).cast("long")
     return (
         listed.groupBy("gram")
         .agg(F.sum(n).alias("corpus"), F.sum(F.when(F.col("is_trusted"), n).otherwise(F.lit(0).cast("long"))).alias("target"))
@@ -161,18 +180,24 @@ def score_keys(texts: DataFrame, counts: DataFrame, buckets: int) -> DataFrame:
         ordered = F.when(F.col("is_trusted"), F.sort_array("grams")).otherwise(F.col("grams"))
         sized = grams.select(*kept[:2], F.size("grams").alias("size"), *kept[3:], placed.alias("grams"))
         sized = sized.select(*kept, ordered.alias("grams"))
-        rows = F.when(F.col("is_trusted"), _tallied(F.col("grams"))).otherwise(F.col("grams"))
+        runs = F.when(F.col("is_trusted"), _long_runs(F.col("grams"))).otherwise(F.array().cast("array<bigint>"))
         # one more element, a null, stands for the document's size; a plain explode would have its input computed
         # once more, in a filter of empty arrays
-        ended = sized.select(*kept, F.concat(rows, F.array(F.lit(None).cast("long"))).alias("grams"))
-        listed = ended.select(*kept, F.explode_outer("grams").alias("packed"))
-        return listed.select(
+        ended = sized.select(*kept, F.concat("grams", runs, F.array(F.lit(None).cast("long"))).alias("grams"))
+        each = ended.select(*kept, "grams", F.posexplode_outer("grams").alias("at", "packed"))
+        is_long = F.col("packed") >= F.lit(LONG_RUN)
+        n = F.when(~F.col("is_trusted") | F.col("packed").isNull(), F.lit(1)).when(
+            is_long, F.col("packed").bitwiseAND(F.lit(LOW))
+        )
+        counted = each.withColumn("n", n.otherwise(_short_run(F.col("grams"), F.col("at"), F.col("packed")))).filter("n > 0")
+        return counted.select(
             *[c for c in kept if c != "size"],
             F.when(F.col("packed").isNull(), F.col("size")).otherwise(F.lit(0)).cast("long").alias("size"),
-            F.when(F.col("is_trusted"), F.shiftright("packed", LOW_BITS))
-            .otherwise(_bucket(F.col("packed"), buckets))
+            F.when(~F.col("is_trusted"), _bucket(F.col("packed"), buckets))
+            .when(is_long, F.shiftright(F.col("packed") - F.lit(LONG_RUN), LOW_BITS))
+            .otherwise(F.col("packed"))
             .alias("gram"),
-            F.when(F.col("is_trusted"), F.col("packed").bitwiseAND(F.lit(LOW))).otherwise(F.lit(1)).alias("n"),
+            "n",
         )
 
     own = F.log((F.col("target") - F.col("n")) / F.lit(share) + SMOOTHING) - F.col("below")
@@ -194,30 +219,24 @@ def score_keys(texts: DataFrame, counts: DataFrame, buckets: int) -> DataFrame:
 
 
 def _window_hashes(items: Column, window: int, pairs: Column | None = None) -> Column:
-    """A hash of each ``window`` neighbouring items, put together of windows of 1, 2, 4 ... items; ``pairs`` are those of 2."""
-
-    def joined(a: Column, b: Column, gap: int) -> Column:
-        """Each of ``a`` with that of ``b`` that starts ``gap`` later; the last ones lack theirs and are cut off in the end."""
-        return F.zip_with(a, F.slice(b, gap + 1, F.greatest(F.size(b), F.lit(0))), lambda x, y: F.xxhash64(x, y))
-
-    def grown(part: Column, size: int, rest: int, whole: Column | None, covered: int) -> Column:
-        if rest & 1:
-            whole, covered = (part if whole is None else joined(whole, part, covered)), covered + size
-        if rest == 1:
-            return whole
-        twice = joined(part, part, size) if pairs is None or size > 1 else pairs
-        return let(twice, lambda both: grown(both, 2 * size, rest >> 1, whole, covered))
-
-    return let(
-        items,
-        lambda a: F.when(F.size(a) >= window, F.slice(grown(a, 1, window, None, 0), F.lit(1), F.size(a) - (window - 1)))
-        .otherwise(F.array().cast("array<bigint>")),
-    )
+    """A hash of each ``window`` neighbouring items, put together of their pairs; ``pairs`` are those if they are there already."""
+
+    def joined(pairs: Column) -> Column:
+        def one(i: Column) -> Column:
+            parts = [F.get(pairs, i + k) for k in range(0, window - 1, 2)]
+            return F.xxhash64(*parts, *([F.get(items, i + (window - 1))] if window % 2 else []))
+
+        # the last ones lack some and are cut off
+        hashes = F.transform(items, lambda _, i: one(i))
+        return F.slice(hashes, F.lit(1), F.greatest(F.size(items) - (window - 1), F.lit(0)))
+
+    return let(_pairs(items), joined) if pairs is None else joined(pairs)
 
 
 def repeated_words(words: Column, window: int = REPEAT_WINDOW) -> Column:
     """Number of words within windows that the array holds twice or more, the first time included."""
-    return let(_window_hashes(_hashes(words), window), lambda keys: _covered_words(keys, window))
+    hashes = _hashes(F.coalesce(words, F.array().cast("array<string>")))
+    return let(hashes, lambda a: let(_window_hashes(a, window), lambda keys: _covered_words(keys, window)))
 
 
 def _covered_words(keys: Column, window: int) -> Column:
