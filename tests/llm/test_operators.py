@@ -425,6 +425,81 @@ def test_sets_outside_the_largest_component_meet_in_blocks(spark, monkeypatch):
     assert [got.get(n, n) for n in sets] == [want[n][1] for n in sets]
 
 
+@pytest.mark.parametrize("paired, closest", [(2, 64), (2, 1), (1000, 64)])
+def test_sets_in_small_and_crowded_buckets_equal_brute_force(spark, monkeypatch, paired, closest):
+    monkeypatch.setattr(ngram_join, "PAIRED", paired)
+    monkeypatch.setattr(ngram_join, "CLOSEST", closest)
+    monkeypatch.setattr(ngram_join, "COUNTED", 100)
+    texts = near_copies()
+    docs = frame(spark, texts)
+    described = {r["doc_id"]: r for r in ngram_join.describe_sets(docs, "doc_id", "text", 4).collect()}
+    nodes = [n for n, r in described.items() if r["n_shingles"]]
+    want = brute_components(texts)
+    # of each component the even and the odd nodes are linked so far; every fifth node is in one bucket more
+    first = {}
+    component = {n: first.setdefault((want[n][1], n % 2), n) for n in nodes}
+    rows = [(1, n, component[n]) for n in nodes] + [(2 + n % 3, n, component[n]) for n in nodes if n % 5 == 0]
+    members = spark.createDataFrame(rows + rows[:9], "signature long, node long, component long")
+    sketches = spark.createDataFrame(
+        [(n, described[n]["n_shingles"], described[n]["sketch"]) for n in nodes], "node long, n long, sketch binary"
+    )
+    links = ngram_join._outside_links(members, sketches, docs.selectExpr("doc_id as node", "text"), 4, 85)
+    so_far = spark.createDataFrame([(n, c) for n, c in component.items()], "a long, b long")
+    got = dict(tuple(r) for r in connected(links.unionByName(so_far)).collect())
+    assert [got.get(n, n) for n in nodes] == [want[n][1] for n in nodes]
+
+
+def test_outside_sets_take_no_job_of_their_own(spark, monkeypatch):
+    # each block of such sets was a pass over all of them, so that time grew with the square of their number
+    texts = near_copies()
+    docs = frame(spark, texts)
+    described = [r for r in ngram_join.describe_sets(docs, "doc_id", "text", 4).collect() if r["n_shingles"]]
+    sketches = spark.createDataFrame(
+        [(r["doc_id"], r["n_shingles"], r["sketch"]) for r in described], "node long, n long, sketch binary"
+    )
+    members = spark.createDataFrame(
+        [(1, r["doc_id"], r["doc_id"]) for r in described], "signature long, node long, component long"
+    )
+    jobs = []
+    for shingles in (10**6, 100):
+        monkeypatch.setattr(ngram_join, "BLOCK_SHINGLES", shingles)
+        name = f"blocks of {shingles}"
+        spark.sparkContext.setJobGroup(name, name)
+        ngram_join._outside_links(members, sketches, docs.selectExpr("doc_id as node", "text"), 4, 85).collect()
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(name)))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs[1] < jobs[0] + 20
+
+
+@pytest.mark.parametrize("places", [1, 512])
+def test_short_sketches_rule_out_no_similar_set(monkeypatch, places):
+    monkeypatch.setattr(ngram_join, "PLACES", places)
+    draw = np.random.default_rng(7)
+    for size in (1, 2, 3, 4, 5, 9, 17, 60, 130, 700, 2100):
+        sets = []
+        for _ in range(12):
+            base = draw.integers(0, 2**63, size).astype(np.uint64)
+            grown = draw.integers(0, 2**63, draw.integers(0, size // 2 + 1)).astype(np.uint64)
+            sets += [np.unique(base), np.unique(np.concatenate([base[draw.integers(0, size // 3 + 1) :], grown]))]
+            # many in one place
+            sets.append(np.unique(base & ~np.uint64(15)))
+        sets = [s for s in sets if len(s)]
+        full = [ngram_join.sketch(s) for s in sets]
+        short = [ngram_join._gray(np.frombuffer(s, np.uint8)[None]).tobytes() for s in full]
+        n, apart = np.array([len(s) for s in sets]), np.arange(len(sets))
+        found = [*ngram_join._near_in_bucket(apart, np.ones(len(sets), bool), n, short, 80)]
+        near = {(int(a), int(b)) for x, y, _ in found for a, b in zip(x, y)}
+        least = {(int(a), int(b)): int(d) for x, y, m in found for a, b, d in zip(x, y, m)}
+        for a in range(len(sets)):
+            for b in range(a + 1, len(sets)):
+                common = len(np.intersect1d(sets[a], sets[b]))
+                if 100 * common >= 80 * (n[a] + n[b] - common):
+                    assert (a, b) in near
+                assert least.get((a, b), 0) <= n[a] + n[b] - 2 * common
+        if size == 700:
+            assert len(near) < 80
+
+
 def test_similar_sets_share_a_signature():
     for size in (1, 5, 6, 7, 13, 40, 200, 900):
         for _ in range(20):

@@ -16,8 +16,9 @@ histograms differs between the sets. Most chance pairs end there, and no set has
 
 Sets that are equal are one node. In a bucket of sets with the same signature each set is compared with one
 of them, so that a large bucket of similar sets costs as many comparisons as it has members. What is not linked
-then, the sets outside a bucket's largest component, are a query set: in blocks of bounded size they are
-compared with all members of their buckets, inside the tasks, and no pair is written but for the links found.
+then, the sets outside a bucket's largest component, are compared with all members of their buckets. Small
+buckets are written as pairs. In a larger one histograms, two bits for each place, are compared inside the task,
+and only the pairs that these leave are written and counted exactly.
 """
 
 from __future__ import annotations
@@ -51,10 +52,16 @@ BUFFER = 1 << 20
 PART_SHINGLES = 1_000_000
 # Ids that may be broadcast, 16 bytes each.
 BROADCAST_IDS = 1_000_000
-# Shingles of a block of queries, 12 bytes each when broadcast.
-BLOCK_SHINGLES = 1_000_000
-# Meetings of a set's shingles with those of a block that are counted at a time.
+# Places of the smallest histogram. In few places much of what differs between small sets hides.
+PLACES = 512
+# Members of a bucket whose pairs are written; larger buckets are compared as they are.
+PAIRED = 16
+# Shingles of the sets of such buckets that a task takes, up to a quarter of a byte each.
+BLOCK_SHINGLES = 1 << 26
+# Pairs of a bucket that are compared at a time.
 COUNTED = 1 << 19
+# Partners of a set in another component that are counted at first, where more may be similar.
+CLOSEST = 64
 
 
 def _sets(column: pa.Array, shingle_words: int) -> Iterator[np.ndarray]:
@@ -161,14 +168,18 @@ def signatures(items: np.ndarray, similar: int) -> np.ndarray:
     return np.unique(np.concatenate(out))
 
 
+def _places(size: int) -> int:
+    return max(PLACES, 1 << max(0, (size - 1).bit_length() - 1))
+
+
 def sketch(items: np.ndarray) -> bytes:
-    """Histogram of a set over half as many places as it has items, rounded up to a power of two.
+    """Histogram of a set over half as many places as it has items, rounded up to a power of two, but ``PLACES`` at least.
 
     Nothing if a count does not fit a byte, which chance does not bring about.
     """
     if len(items) == 0:
         return b""
-    places = 1 << max(0, (len(items) - 1).bit_length() - 1)
+    places = _places(len(items))
     counts = np.bincount((items & ta.U64(places - 1)).astype(np.int64), minlength=places)
     return b"" if counts.max() > 255 else counts.astype(np.uint8).tobytes()
 
@@ -328,86 +339,208 @@ def similar_pairs(pairs: DataFrame, sketches: DataFrame, texts: DataFrame, shing
     return settle(counted.filter(f"100 * common >= {int(similar)} * (n - common)").select("a", "b"))
 
 
+def _in_buckets(members: DataFrame, parts: int, crowded: bool) -> DataFrame:
+    """What is left to compare, by bucket.
+
+    Of buckets of up to ``PAIRED`` sets the pairs (a, b) of different components; else, with ``crowded``, the
+    rows ``signature``, ``node``, ``component`` of the larger ones and whether a set is ``outside`` the largest component.
+    """
+
+    def pairs(nodes: np.ndarray, components: np.ndarray, first: np.ndarray, size: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for members_of_one in range(2, PAIRED + 1):
+            one, other = np.triu_indices(members_of_one, 1)
+            starts, step = first[size == members_of_one], max(1, COUNTED // len(one))
+            for at in range(0, len(starts), step):
+                x, y = (starts[at : at + step, None] + np.arange(members_of_one))[:, [one, other]].transpose(1, 0, 2)
+                apart = components[x] != components[y]
+                x, y = nodes[x[apart]], nodes[y[apart]]
+                columns = [pa.array(c) for c in (np.minimum(x, y), np.maximum(x, y))]
+                yield pa.RecordBatch.from_arrays(columns, names=["a", "b"])
+
+    def rows(*bucket: np.ndarray) -> Iterator[pa.RecordBatch]:
+        signature, nodes, components, first, size = bucket
+        start = np.flatnonzero(_changes(signature) | _changes(components))
+        length = np.diff(np.append(start, len(signature)))
+        # the largest component of each bucket, of equal ones the one with the largest number
+        order = np.lexsort((components[start], length, signature[start]))
+        largest = order[_changes(signature[start][order][::-1])[::-1]]
+        outside = np.ones(len(start), bool)
+        outside[largest] = False
+        keep = np.repeat(size > PAIRED, size)
+        columns = [c[keep] for c in (signature, nodes, components, np.repeat(outside, length))]
+        for at in range(0, len(columns[0]), 1 << 18):
+            part = [pa.array(c[at : at + (1 << 18)]) for c in columns]
+            yield pa.RecordBatch.from_arrays(part, names=["signature", "node", "component", "outside"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [[np.asarray(batch.column(i), np.int64) for i in range(3)] for batch in batches]
+        if not held:
+            return
+        signature, nodes, components = (np.concatenate(c) for c in zip(*held))
+        order = np.lexsort((nodes, components, signature))
+        order = order[_changes(signature[order]) | _changes(nodes[order])]
+        signature, nodes, components = signature[order], nodes[order], components[order]
+        first = np.flatnonzero(_changes(signature))
+        size = np.diff(np.append(first, len(signature)))
+        yield from rows(signature, nodes, components, first, size) if crowded else pairs(nodes, components, first, size)
+
+    columns = "signature long, node long, component long, outside boolean" if crowded else "a long, b long"
+    return members.select("signature", "node", "component").repartition(parts, "signature").mapInArrow(ta.released(run), columns)
+
+
+def _changes(ordered: np.ndarray) -> np.ndarray:
+    """Where a value differs from the one before it; the first one does."""
+    return np.concatenate([np.ones(min(1, len(ordered)), bool), ordered[1:] != ordered[:-1]])
+
+
+def _gray(counts: np.ndarray) -> np.ndarray:
+    """The last two bits of each count, such that neighbours, 3 and 0 among them, differ in one bit. A row for each set."""
+    high, low = counts >> 1 & 1, counts & 1
+    return np.packbits(np.concatenate([high, high ^ low], axis=1).astype(np.uint8), axis=1)
+
+
+def _from_gray(raw: np.ndarray, places: int) -> np.ndarray:
+    bits = np.unpackbits(raw, axis=1, count=2 * places)
+    high, low = bits[:, :places], bits[:, places:]
+    return 2 * high + (high ^ low)
+
+
+def _short_sketches(sketches: DataFrame) -> DataFrame:
+    """``node``, ``n`` and, in a quarter of the room, the sketch's counts modulo four; nothing where there is no sketch."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            full = (np.frombuffer(x or b"", np.uint8)[None] for x in batch.column(2).to_pylist())
+            short = pa.array([_gray(x).tobytes() for x in full], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), short], names=["node", "n", "short"])
+
+    columns = sketches.select("node", F.col("n").cast("long"), "sketch")
+    return columns.mapInArrow(ta.released(run), "node long, n long, short binary")
+
+
+def _short_words(n: np.ndarray, short: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Short sketches of a bucket, all folded to as many places as the smallest has, and which sets have one.
+
+    Words of 64 bits, one set in a column.
+    """
+    places = np.array([_places(x) if s else 0 for x, s in zip(n.tolist(), short)])
+    known = places > 0
+    least = int(places[known].min()) if known.any() else 1
+    rows = np.zeros((len(n), -(-2 * least // 64) * 8), np.uint8)
+    for size in np.unique(places[known]).tolist():
+        at = np.flatnonzero(places == size)
+        raw = np.frombuffer(b"".join(short[i] for i in at.tolist()), np.uint8).reshape(len(at), -1)
+        if size > least:
+            raw = _gray(_from_gray(raw, size).reshape(len(at), -1, least).sum(axis=1))
+        rows[at, : raw.shape[1]] = raw
+    return np.ascontiguousarray(rows.view(np.uint64).T), known
+
+
+def _near_in_bucket(
+    components: np.ndarray, outside: np.ndarray, n: np.ndarray, short: list[bytes], similar: int
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Places of two sets of different components that their sketches do not rule out, and what these differ by at least.
+
+    All partners of a set come together, in order of its place.
+    """
+    words, known = _short_words(n, short)
+    half = -(-len(words) // 2)
+    sets, asking = np.arange(len(n)), np.flatnonzero(outside)
+    step = max(1, COUNTED // len(n))
+
+    def possible(x: np.ndarray, y: np.ndarray, difference: np.ndarray) -> np.ndarray:
+        common = (n[x] + n[y] - np.maximum(difference, np.abs(n[x] - n[y]))) // 2
+        return 100 * common >= similar * (n[x] + n[y] - common)
+
+    for at in range(0, len(asking), step):
+        x = asking[at : at + step, None]
+        difference = np.zeros((len(x), len(n)), np.int32)
+        for word in words[:half]:
+            difference += np.bitwise_count(word[x] ^ word)
+        difference[~(known[x] & known)] = 0
+        # of two that ask, the first one does
+        hit = possible(x, sets[None], difference) & (components[x] != components) & (~outside | (sets > x))
+        row, y = np.nonzero(hit)
+        x, difference = x[row, 0], difference[hit]
+        both = known[x] & known[y]
+        for word in words[half:]:
+            difference += np.bitwise_count(word[x] ^ word[y]) * both
+        hit = possible(x, y, difference)
+        yield x[hit], y[hit], difference[hit]
+
+
+def _near(rows: DataFrame, similar: int, closest: int) -> DataFrame:
+    """Pairs (a, b) of sets of a bucket that may be similar, for each set the ``closest`` ones of another component.
+
+    Buckets in which more than these may be similar are named as ``left``.
+    """
+    names = ["a", "b", "left"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, short = [], []
+        for batch in batches:
+            held.append([np.asarray(batch.column(i).cast(pa.int64()), np.int64) for i in range(5)])
+            short += batch.column(5).to_pylist()
+        if not held:
+            return
+        columns = [np.concatenate(c) for c in zip(*held)]
+        order = np.argsort(columns[0], kind="stable")
+        signature, nodes, components, outside, n = (c[order] for c in columns)
+        first = np.flatnonzero(_changes(signature)).tolist()
+        for lo, hi in zip(first, [*first[1:], len(order)]):
+            own, parts, left = nodes[lo:hi], components[lo:hi], False
+            sketches = [short[i] for i in order[lo:hi].tolist()]
+            for x, y, difference in _near_in_bucket(parts, outside[lo:hi] > 0, n[lo:hi], sketches, similar):
+                best = np.lexsort((difference, parts[y], x))
+                x, y = x[best], y[best]
+                start = np.flatnonzero(_changes(x) | _changes(parts[y]))
+                keep = np.arange(len(x)) - np.repeat(start, np.diff(np.append(start, len(x)))) < closest
+                left |= not keep.all()
+                x, y = x[keep], y[keep]
+                if len(x):
+                    found = [pa.array(c) for c in (np.minimum(own[x], own[y]), np.maximum(own[x], own[y]))]
+                    yield pa.RecordBatch.from_arrays([*found, pa.nulls(len(x), pa.int64())], names=names)
+            if left:
+                none = pa.nulls(1, pa.int64())
+                yield pa.RecordBatch.from_arrays([none, none, pa.array(signature[lo : lo + 1])], names=names)
+
+    return rows.mapInArrow(ta.released(run), "a long, b long, left long")
+
+
 def _outside_links(
     members: DataFrame, sketches: DataFrame, texts: DataFrame, shingle_words: int, similar: int
 ) -> DataFrame:
     """Links (a, b) of sets outside a bucket's largest component with members of other components.
 
-    For each set and each other component one link is given at most. All pairs in ``members`` of different
-    components are compared, as one of the two is outside the largest.
+    All pairs in ``members`` of different components are compared, as one of the two is outside the largest. Where a
+    set may be similar to many of one component, the closest are counted first; buckets that had more of them and still
+    have several components are compared again.
     """
-    spark = members.sparkSession
-    nothing = spark.createDataFrame([], "a long, b long")
-    sizes = members.groupBy("signature", "component").count()
-    largest = sizes.groupBy("signature").agg(F.max_by("component", F.struct("count", "component")).alias("main"))
-    outside = settle(members.join(largest, "signature").filter("component <> main").select("signature", "node"))
-    asking = settle(outside.select("node").distinct())
-    total = asking.join(sketches, "node").agg(F.sum("n")).first()[0]
-    if not total:
-        return nothing
-    blocks = math.ceil(total / BLOCK_SHINGLES)
-    block = F.pmod(F.xxhash64("node"), F.lit(blocks)).cast("int")
-    # the blocks that each set has to meet, found for all blocks at once
-    meets = outside.groupBy("signature").agg(F.sort_array(F.collect_set(block)).alias("blocks"))
-    everyone = (
-        members.join(meets, "signature")
-        .groupBy("node")
-        .agg(F.min("component").alias("component"), F.array_distinct(F.flatten(F.collect_set("blocks"))).alias("blocks"))
-    )
-    everyone = settle(everyone.join(asking.withColumn("asks", F.lit(True)), "node", "left"))
-    few = everyone.agg(F.sum(F.size("blocks") + 2)).first()[0] <= BROADCAST_IDS
-    rows = _set_rows(restrict(texts, "node", everyone.select("node"), keep=True), shingle_words)
-    sets = settle(rows.join(F.broadcast(everyone) if few else everyone, "node"))
-    found = nothing
-    for number in range(blocks):
-        query = sets.filter(F.col("asks") & (block == number)).select("node", "items", "component").toArrow()
-        shared = spark.sparkContext.broadcast(_lay_out(query))
-        del query
-        partners = sets.filter(F.array_contains("blocks", number)).select("node", "items", "component")
-        found = found.unionByName(settle(partners.mapInArrow(ta.released(_compare_with(shared, similar)), "a long, b long")))
-        # the links are in the shared folder, so the driver holds one block at a time
-        shared.destroy()
-    return found
-
-
-def _lay_out(query: pa.Table) -> tuple[np.ndarray, ...]:
-    """Shingles in order with the sets that hold them; node, component and size of those sets."""
-    query = query.combine_chunks()
-    nodes, components = (query.column(c).to_numpy() for c in ("node", "component"))
-    lists = query.column("items").combine_chunks()
-    lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) and lists.num_chunks else lists
-    sizes = np.asarray(lists.value_lengths(), np.int64) if len(nodes) else np.zeros(0, np.int64)
-    items = np.asarray(lists.flatten(), np.int64) if len(nodes) else np.zeros(0, np.int64)
-    order = np.argsort(items, kind="stable")
-    return items[order], np.repeat(np.arange(len(nodes), dtype=np.int32), sizes)[order], nodes, components, sizes
-
-
-def _compare_with(shared, similar: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items, owner, nodes, components, sizes = shared.value
-        for batch in batches:
-            found: list[tuple[int, int]] = []
-            for row in range(batch.num_rows):
-                node, component = batch.column(0)[row].as_py(), batch.column(2)[row].as_py()
-                own = np.asarray(batch.column(1)[row].values, np.int64)
-                low, high = np.searchsorted(items, own, "left"), np.searchsorted(items, own, "right")
-                count = high - low
-                common = np.zeros(len(nodes), np.int64)
-                # frequent shingles of a long text meet many queries, so they are counted in parts
-                cuts = np.searchsorted(np.cumsum(count), np.arange(0, int(count.sum()), COUNTED), "right").tolist()
-                for first, last in zip(cuts, [*cuts[1:], len(own)]):
-                    some = count[first:last]
-                    at = np.repeat(low[first:last] - (np.cumsum(some) - some), some) + np.arange(int(some.sum()))
-                    common += np.bincount(owner[at], minlength=len(nodes))
-                hit = 100 * common >= similar * (sizes + len(own) - common)
-                hit &= (components != component) & (nodes != node)
-                # the first partner of each other component links the two
-                _, one = np.unique(components[hit], return_index=True)
-                found += [(min(node, int(n)), max(node, int(n))) for n in nodes[hit][one]]
-            a, b = zip(*found) if found else ((), ())
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
-
-    return run
+    if "sketch" not in sketches.columns:
+        sketches = sketches.withColumn("sketch", F.lit(bytearray()))
+    if members.isEmpty():
+        return members.sparkSession.createDataFrame([], "a long, b long")
+    conf = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    short = settle(_short_sketches(sketches))
+    found, closest = None, CLOSEST
+    while True:
+        parts = max(conf, math.ceil(members.count() / PART_SHINGLES))
+        crowded = settle(_in_buckets(members, parts, True))
+        shingles = crowded.join(short.select("node", "n"), "node").agg(F.sum("n")).first()[0] or 0
+        blocks = max(conf, math.ceil(shingles / BLOCK_SHINGLES))
+        rows = crowded.join(short, "node").select("signature", "node", "component", "outside", "n", "short")
+        near = settle(_near(rows.repartition(blocks, "signature"), similar, closest).distinct())
+        pairs = near.filter("left is null").select("a", "b")
+        if found is None:
+            pairs = pairs.unionByName(_in_buckets(members, parts, False)).distinct()
+        links = similar_pairs(pairs, sketches, texts, shingle_words, similar)
+        found = links if found is None else found.unionByName(links)
+        left = settle(near.filter("left is not null").select(F.col("left").alias("signature")))
+        if left.isEmpty():
+            return found
+        so_far = members.select(F.col("node").alias("a"), F.col("component").alias("b")).distinct()
+        members = _mixed(members.join(left, "signature", "left_semi"), so_far.unionByName(found))
+        closest *= 16
 
 
 def group_similar(
