@@ -449,11 +449,12 @@ def test_sets_in_small_and_crowded_buckets_equal_brute_force(spark, monkeypatch,
     assert [got.get(n, n) for n in nodes] == [want[n][1] for n in nodes]
 
 
-def test_outside_sets_take_no_job_of_their_own(spark, monkeypatch):
+@pytest.mark.parametrize("shingle_words, similar", [(4, 85), (corpus_pipeline.COPY_WORDS, corpus_pipeline.COPY_SIMILAR)])
+def test_outside_sets_take_no_job_of_their_own(spark, monkeypatch, shingle_words, similar):
     # each block of such sets was a pass over all of them, so that time grew with the square of their number
     texts = near_copies()
     docs = frame(spark, texts)
-    described = [r for r in ngram_join.describe_sets(docs, "doc_id", "text", 4).collect() if r["n_shingles"]]
+    described = [r for r in ngram_join.describe_sets(docs, "doc_id", "text", shingle_words).collect() if r["n_shingles"]]
     sketches = spark.createDataFrame(
         [(r["doc_id"], r["n_shingles"], r["sketch"]) for r in described], "node long, n long, sketch binary"
     )
@@ -465,7 +466,8 @@ def test_outside_sets_take_no_job_of_their_own(spark, monkeypatch):
         monkeypatch.setattr(ngram_join, "BLOCK_SHINGLES", shingles)
         name = f"blocks of {shingles}"
         spark.sparkContext.setJobGroup(name, name)
-        ngram_join._outside_links(members, sketches, docs.selectExpr("doc_id as node", "text"), 4, 85).collect()
+        texts_of = docs.selectExpr("doc_id as node", "text")
+        ngram_join._outside_links(members, sketches, texts_of, shingle_words, similar).collect()
         jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(name)))
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     assert jobs[1] < jobs[0] + 20

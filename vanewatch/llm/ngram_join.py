@@ -522,12 +522,13 @@ def _outside_links(
         return members.sparkSession.createDataFrame([], "a long, b long")
     conf = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     short = settle(_short_sketches(sketches))
+    # larger sets are in more buckets
+    usual = short.agg(F.sum(F.col("n") * F.col("n")) / F.sum("n")).first()[0] or 0
     found, closest = None, CLOSEST
     while True:
         parts = max(conf, math.ceil(members.count() / PART_SHINGLES))
         crowded = settle(_in_buckets(members, parts, True))
-        shingles = crowded.join(short.select("node", "n"), "node").agg(F.sum("n")).first()[0] or 0
-        blocks = max(conf, math.ceil(shingles / BLOCK_SHINGLES))
+        blocks = max(conf, math.ceil(crowded.count() * usual / BLOCK_SHINGLES))
         rows = crowded.join(short, "node").select("signature", "node", "component", "outside", "n", "short")
         near = settle(_near(rows.repartition(blocks, "signature"), similar, closest).distinct())
         pairs = near.filter("left is null").select("a", "b")
